@@ -19,4 +19,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op8_line_dedup,)}
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.simhash import near_duplicates
+
+    out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, budget=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op8_line_dedup)}
