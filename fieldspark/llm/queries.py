@@ -19,6 +19,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.packing import pack, vocabulary
+
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"), max_tokens=4096, end_id=1)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.simhash import near_duplicates
 
@@ -26,4 +32,4 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op8_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op8_line_dedup)}
