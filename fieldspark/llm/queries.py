@@ -19,6 +19,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "spans")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.packing import pack, vocabulary
 
@@ -32,4 +38,4 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op8_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op8_line_dedup)}
