@@ -16,4 +16,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE = {"op8_line_dedup": OP8}
+OP9 = """
+WITH both_tables AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), split_words AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{M}\\p{N}]+'), lambda x: x <> '') AS w FROM both_tables
+), shingled AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split_words
+), sizes AS (SELECT id, count(*) AS n FROM shingled WHERE kind = 'b' GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, any_value(z.n) AS n_shingles, count(*) AS n_found, count(*) / any_value(z.n) AS containment
+FROM shingled d JOIN shingled b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s JOIN sizes z ON z.id = b.id
+GROUP BY d.id, b.id HAVING count(*) / any_value(z.n) >= 0.8
+"""
+
+ORACLE = {"op8_line_dedup": OP8, "op9_decontamination": OP9}
