@@ -16,6 +16,31 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP6 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 6)) AS p, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS win FROM t WHERE len(w) >= 8
+), twins AS (SELECT doc_id, win FROM windows GROUP BY ALL HAVING count(*) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p + k) AS n FROM windows JOIN twins USING (doc_id, win), range(0, 8) AS r(k) GROUP BY doc_id
+), m AS (
+  SELECT t.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+    CASE WHEN len(w) > 1 THEN len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) ELSE 0 END AS n_same,
+    length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_capitals,
+    len(regexp_extract_all(lower(t), '\b(clown|disgusting|idiot|loser|moron|pathetic|scum|stupid|trash|worthless)\b')) AS n_insults
+  FROM t LEFT JOIN covered c ON c.doc_id = t.doc_id
+), b AS (
+  SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END)
+    + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)
+    + (CASE WHEN 100 * n_same > 20 * n_words THEN 32 ELSE 0 END) + (CASE WHEN 100 * n_capitals > 40 * word_chars THEN 64 ELSE 0 END) + (CASE WHEN n_insults >= 2 THEN 128 ELSE 0 END) AS fail_bits FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits FROM b
+"""
+
 OP9 = """
 WITH both_tables AS (
   SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
@@ -29,4 +54,4 @@ FROM shingled d JOIN shingled b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s J
 GROUP BY d.id, b.id HAVING count(*) / any_value(z.n) >= 0.8
 """
 
-ORACLE = {"op8_line_dedup": OP8, "op9_decontamination": OP9}
+ORACLE = {"op6_quality_rules": OP6, "op8_line_dedup": OP8, "op9_decontamination": OP9}

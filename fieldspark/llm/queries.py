@@ -10,6 +10,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.quality import apply_policy, ledger
+
+    out = apply_policy(ledger(table(spark, sf_dir, "documents")), "v2")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.lines import line_dedup
 
@@ -44,4 +51,4 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8, shingle_words=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op8_line_dedup, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op6_quality_rules, op8_line_dedup, op9_decontamination)}
