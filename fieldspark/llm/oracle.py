@@ -35,7 +35,7 @@ WITH t AS (
   FROM t LEFT JOIN covered c ON c.doc_id = t.doc_id
 ), b AS (
   SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END)
-    + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)
+    + (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)
     + (CASE WHEN 100 * n_same > 20 * n_words THEN 32 ELSE 0 END) + (CASE WHEN 100 * n_capitals > 40 * word_chars THEN 64 ELSE 0 END) + (CASE WHEN n_insults >= 2 THEN 128 ELSE 0 END) AS fail_bits FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits FROM b

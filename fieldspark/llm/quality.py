@@ -33,7 +33,7 @@ RULES = (
     Rule("few_words", 0, lambda: F.col("n_words") < 20),
     Rule("repeated_windows", 1, lambda: 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
     Rule("symbols", 2, lambda: 100 * F.col("n_symbols") > 10 * F.col("n_words")),
-    Rule("duplicate_lines", 3, lambda: 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+    Rule("duplicate_lines", 3, lambda: 100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
     Rule("word_length", 4, lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
     Rule("repeated_words", 5, lambda: 100 * F.col("n_same_words") > 20 * F.col("n_words")),
     Rule("capitals", 6, lambda: 100 * F.col("n_capitals") > 40 * F.col("word_chars")),
@@ -54,23 +54,22 @@ def without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def repeat_words(w: Column, h: Column, window: int = 8) -> Column:
-    """Words inside windows of ``window`` words found twice or more; ``h`` has the windows' hashes."""
-    at = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    twin = F.filter(
-        F.transform(
-            at,
-            lambda s, j: F.when(
-                s["x"].eqNullSafe(F.get(at, j - 1)["x"]) | s["x"].eqNullSafe(F.get(at, j + 1)["x"]), s["i"]
-            ),
-        ),
-        lambda i: i.isNotNull(),
-    )
+def with_repeat_words(t: DataFrame, window: int = 8) -> DataFrame:
+    """Adds n_repeat_words: words of ``w`` inside windows of ``window`` words found twice or more.
+
+    Each step is a column of its own: an expression inside a lambda would be evaluated for every element.
+    """
+    hashes = F.transform(F.sequence(F.lit(1), F.size("w") - window + 1), lambda i: F.xxhash64(F.slice("w", i, window)))
+    t = t.withColumn("h", F.when(F.size("w") >= window, hashes).otherwise(F.array().cast("array<bigint>")))
+    ordered = F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    none = F.array().cast("array<struct<x:bigint,i:int>>")
+    t = t.withColumn("at", F.when(F.size(F.array_distinct("h")) == F.size("h"), none).otherwise(ordered))
+    like = lambda s, j: s["x"].eqNullSafe(F.get(F.col("at"), j)["x"])
+    twin = F.filter(F.transform("at", lambda s, j: F.when(like(s, j - 1) | like(s, j + 1), s["i"])), lambda i: i.isNotNull())
+    t = t.withColumn("twin", F.sort_array(twin))
     start = F.struct(F.lit(0).alias("n"), F.lit(-window).alias("last"))
-    covered = F.aggregate(
-        F.sort_array(twin), start, lambda a, i: F.struct((a["n"] + F.least(F.lit(window), i - a["last"])).alias("n"), i.alias("last"))
-    )["n"]
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered).cast("long")
+    step = lambda a, i: F.struct((a["n"] + F.least(F.lit(window), i - a["last"])).alias("n"), i.alias("last"))
+    return t.withColumn("n_repeat_words", F.aggregate("twin", start, step)["n"].cast("long"))
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -78,8 +77,7 @@ def measure(docs: DataFrame) -> DataFrame:
     t = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     t = t.withColumn("w", F.array_remove(F.split("t", WS), ""))
     t = t.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: without(x, WS_CHARS) != ""))
-    windows = F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.xxhash64(F.slice("w", i, 8)))
-    t = t.withColumn("h", F.when(F.size("w") >= 8, windows).otherwise(F.array().cast("array<bigint>")))
+    t = with_repeat_words(t)
     w = F.col("w")
     same = F.when(F.size(w) > 1, F.size(F.filter(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.get(w, i) == F.get(w, i - 1)))).otherwise(0)
     return t.select(
@@ -89,7 +87,7 @@ def measure(docs: DataFrame) -> DataFrame:
         (F.length("t") - F.length(without(F.col("t"), SYMBOLS))).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("w"), F.col("h")).alias("n_repeat_words"),
+        "n_repeat_words",
         same.cast("long").alias("n_same_words"),
         F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         F.regexp_count(F.lower("t"), F.lit(rf"\b({'|'.join(INSULTS)})\b")).cast("long").alias("n_insults"),
