@@ -54,4 +54,19 @@ FROM shingled d JOIN shingled b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s J
 GROUP BY d.id, b.id HAVING count(*) / any_value(z.n) >= 0.8
 """
 
-ORACLE = {"op6_quality_rules": OP6, "op8_line_dedup": OP8, "op9_decontamination": OP9}
+OP10 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'))
+    + length(replace(replace(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) AS n FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(n + length('<|turn|>') + length('<|end|>') + 2)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLE = {"op6_quality_rules": OP6, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10}

@@ -17,6 +17,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.urls import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.lines import line_dedup
 
@@ -51,4 +57,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8, shingle_words=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op6_quality_rules, op8_line_dedup, op9_decontamination)}
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.chat import format_conversations, read_back
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(rows.unionByName(own)))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op6_quality_rules, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
