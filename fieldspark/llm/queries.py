@@ -10,6 +10,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.packing import vocabulary
+    from fieldspark.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("piece_bpe_32k.model"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.quality import apply_policy, ledger
 
@@ -66,4 +73,4 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op6_quality_rules, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op6_quality_rules, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
