@@ -16,6 +16,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP5 = f"""
+WITH w AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents)
+), g AS (
+  SELECT doc_id, i, w, lag(w) OVER d AS v, lag(w, 2) OVER d AS u FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), c1 AS (SELECT w, count(*) AS c FROM g GROUP BY 1), c2 AS (SELECT v, w, count(*) AS c FROM g WHERE v IS NOT NULL GROUP BY ALL),
+c3 AS (SELECT u, v, w, count(*) AS c FROM g WHERE u IS NOT NULL GROUP BY ALL), n AS (SELECT count(*) AS n FROM g
+), s AS (
+  SELECT g.doc_id, CASE WHEN c3.c >= 2 THEN ln(c3.c / x2.c) WHEN c2.c >= 2 THEN ln(c2.c / x1.c) + CASE WHEN g.u IS NULL THEN 0 ELSE ln(0.4) END
+    ELSE ln(c1.c / n.n) + CASE WHEN g.v IS NULL THEN 0 ELSE ln(0.4) END + CASE WHEN g.u IS NULL THEN 0 ELSE ln(0.4) END END AS s
+  FROM g JOIN c1 ON c1.w = g.w CROSS JOIN n LEFT JOIN c2 ON c2.v = g.v AND c2.w = g.w LEFT JOIN c3 ON c3.u = g.u AND c3.v = g.v AND c3.w = g.w
+  LEFT JOIN c1 x1 ON x1.w = g.v LEFT JOIN c2 x2 ON x2.v = g.u AND x2.w = g.v
+), t AS (SELECT doc_id, count(*) AS n_words, sum(s) AS s FROM s GROUP BY 1)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 4) AS log_score, round(s / n_words, 6) AS mean_log_score FROM documents d LEFT JOIN t USING (doc_id)
+"""
+
 OP6 = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -69,4 +86,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op6_quality_rules": OP6, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10}
+ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10}

@@ -17,6 +17,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("piece_bpe_32k.model"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.lm_scoring import lm_scores
+
+    out = lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), order=3, backoff=0.4, min_count=2)
+    return out.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.quality import apply_policy, ledger
 
@@ -73,4 +80,4 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op6_quality_rules, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
