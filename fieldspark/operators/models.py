@@ -187,9 +187,7 @@ def impute_from_peers(rows: DataFrame, history: DataFrame, since: str = "2013-01
     todo = todo.withColumn("b", F.get("beta", F.col("i"))).drop("beta", "i").persist()
     values = cells.where(F.col(value).isNotNull()).select("basin", "station", "date", value)
     filled = values.where("false")
-    rounds = 0
-    while rounds < 8:
-        rounds += 1
+    while True:  # each round fills at least one more link of a chain of stations, or ends
         have = values.unionByName(filled)
         met = todo.join(have.select("basin", F.col("station").alias("peer"), "date", F.col(value).alias("pv")), ["basin", "peer", "date"], "left")
         met = met.groupBy("basin", "station", "date").agg(F.count_if(F.col("pv").isNull()).alias("lack"), (F.first("intercept") + F.sum(F.col("b") * F.col("pv"))).alias("p"))

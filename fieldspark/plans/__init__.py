@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.plans import feeds, series
+from fieldspark.plans import feeds, models, series
 from fieldspark.plans.catalog import ORACLE, QUERIES, VIEWS, query, with_views
 
-__all__ = ["ORACLE", "QUERIES", "feeds", "flagship", "series"]
+__all__ = ["ORACLE", "QUERIES", "feeds", "flagship", "models", "series"]
 
 
 @query(
