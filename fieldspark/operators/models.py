@@ -171,15 +171,16 @@ def impute_from_peers(rows: DataFrame, history: DataFrame, since: str = "2013-01
     data = own.unionByName(peers).join(history.select("basin", F.col("station").alias("member"), "date", F.col(value).alias("v")), ["basin", "member"])
     start = pd.Timestamp(since)
     kind = dict(rows.dtypes)["station"]
+    none = pd.DataFrame({"key": pd.Series(dtype="int64"), "peers": pd.Series(dtype=object), "intercept": pd.Series(dtype=float), "beta": pd.Series(dtype=object)})
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         key, target, valid = pdf["key"].iloc[0], pdf["station"].iloc[0], list(pdf["valid"].iloc[0])
         wide = pdf.assign(date=pd.to_datetime(pdf["date"])).pivot_table(index="date", columns="member", values="v", aggfunc="first")
         if target not in wide:
-            return pd.DataFrame({"key": [], "peers": [], "intercept": [], "beta": []})
+            return none
         found = choose_peers(wide.rename(columns={target: "y"}), [p for p in valid if p in wide and p != target], start, 3, first_peer_score)
         if found is None:
-            return pd.DataFrame({"key": [], "peers": [], "intercept": [], "beta": []})
+            return none
         return pd.DataFrame({"key": [key], "peers": [found[0]], "intercept": [found[1]], "beta": [list(found[2])]})
 
     fits = data.groupBy("key").applyInPandas(fit, f"key long, peers array<{kind}>, intercept double, beta array<double>")
