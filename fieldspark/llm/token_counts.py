@@ -1,9 +1,10 @@
 """Token counts by a unigram model, with forward scores shared along a trie of pre-tokens.
 
 A pre-token is a run of text between ASCII white space, marked as a word start. Its tokens are the pieces of the best
-unigram segmentation. Distinct pre-tokens go into a trie: a node stands for a prefix, and its forward score (the
-best score of any segmentation of that prefix, and how many pieces it has) is computed once from its ancestors,
-however many pre-tokens share the prefix. A terminal node's count is the pre-token's.
+unigram segmentation. The distinct new pre-tokens of a batch are the paths of a trie, walked depth first: a node
+stands for a prefix, and its forward score (the best score of any segmentation of that prefix, and how many pieces it
+has) is computed once from its ancestors, however many pre-tokens share the prefix. In sorted order the open path is
+all of the trie that is ever needed. A terminal node's count is the pre-token's and is kept, up to a bound.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm.common import arrow_map
 
-NODES, TERMINALS = 600_000, 300_000
+TERMINALS = 600_000
 START = "▁"
 
 
@@ -32,67 +33,51 @@ def piece_scores(path: str) -> dict[str, float]:
 
 
 class ForwardTrie:
-    """Pre-tokens as paths; score[node] and count[node] are the best forward score and its number of pieces.
+    """Best (pieces, score) of pre-tokens, by forward scores along the paths of their trie.
 
     A character that no piece covers falls back to its UTF-8 bytes, each a token of ``byte_score``. Of equal scores
-    the one with fewer pieces counts. The trie starts anew once it is full, so its memory is bounded.
+    the one with fewer pieces counts. The terminals start anew once they are full, so memory is bounded.
     """
 
     def __init__(self, pieces: dict[str, float], byte_score: float | None = None):
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+        #: Ends of pieces: a text that none of them is can be no piece's end, however far it goes back.
+        self.ends = {p[i:] for p in pieces for i in range(len(p))}
         self.byte_score = min(pieces.values(), default=0.0) - 10.0 if byte_score is None else byte_score
-        self.clear()
-
-    def clear(self) -> None:
-        self.children: dict[tuple[int, str], int] = {}
-        self.score, self.count = [0.0], [0]
         self.terminal: dict[str, tuple[int, float]] = {}
 
-    def insert(self, word: str) -> tuple[int, float]:
-        """Pieces and score of a pre-token; only nodes that no other pre-token has made are computed."""
-        found = self.terminal.get(word)
-        if found is not None:
-            return found
-        if len(word) > 10_000:
-            return self.long(word)
-        if len(self.score) > NODES or len(self.terminal) > TERMINALS:
-            self.clear()
-        text = START + word
-        path, node = [0], 0
-        for d, char in enumerate(text, 1):
-            below = self.children.get((node, char))
-            if below is None:
-                best, count = self.forward(text, d, [self.score[x] for x in path[-self.longest :]], [self.count[x] for x in path[-self.longest :]])
-                below = self.children[node, char] = len(self.score)
-                self.score.append(best)
-                self.count.append(count)
-            node = below
-            path.append(node)
-        out = self.terminal[word] = (self.count[node], self.score[node])
-        return out
-
-    def forward(self, text: str, d: int, scores: list[float], counts: list[int]) -> tuple[float, int]:
-        """Best (score, count) of text[:d] from those of the shorter prefixes, of which the last ones are given."""
-        n_bytes = len(text[d - 1].encode())
-        best, count = scores[-1] + n_bytes * self.byte_score, counts[-1] + n_bytes
-        for back in range(1, len(scores) + 1):
-            p = self.pieces.get(text[d - back : d])
-            if p is not None:
-                s, c = scores[-back] + p, counts[-back] + 1
-                if s > best or s == best and c < count:
-                    best, count = s, c
-        return best, count
-
-    def long(self, word: str) -> tuple[int, float]:
-        """A very long pre-token goes by itself and leaves no nodes behind."""
-        text = START + word
+    def insert(self, words: set[str]) -> None:
+        """Makes terminals of the words that are none yet, each node of their trie once."""
+        if len(self.terminal) > TERMINALS:
+            self.terminal.clear()
+        pieces, ends, low, terminal = self.pieces, self.ends, self.byte_score, self.terminal
+        before = ""
         scores, counts = [0.0], [0]
-        for d in range(1, len(text) + 1):
-            s, c = self.forward(text, d, scores[-self.longest :], counts[-self.longest :])
-            scores.append(s)
-            counts.append(c)
-        return counts[-1], scores[-1]
+        for word in sorted(words - terminal.keys()):
+            text = START + word
+            d, n = 0, min(len(text), len(before))
+            while d < n and text[d] == before[d]:  # the shared prefix
+                d += 1
+            del scores[d + 1 :], counts[d + 1 :]
+            for d in range(d + 1, len(text) + 1):
+                best, count = None, 0
+                for i in range(d - 1, -1, -1):
+                    end = text[i:d]
+                    p = pieces.get(end)
+                    if p is not None:
+                        s, c = scores[i] + p, counts[i] + 1
+                        if best is None or s > best or s == best and c < count:
+                            best, count = s, c
+                    elif end not in ends:
+                        break
+                n_bytes = len(text[d - 1].encode())
+                s, c = scores[d - 1] + n_bytes * low, counts[d - 1] + n_bytes
+                if best is None or s > best or s == best and c < count:
+                    best, count = s, c
+                scores.append(best)
+                counts.append(count)
+            terminal[word] = (counts[-1], scores[-1])
+            before = text
 
 
 @lru_cache(maxsize=2)
@@ -110,16 +95,27 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         trie = trie_for(path)
         n_words, n_tokens, scores = [], [], []
+
+        def count(texts: list[list[bytes]]) -> None:
+            words = [x.decode() for text in texts for x in text]
+            trie.insert(set(words))
+            found = list(map(trie.terminal.__getitem__, words))
+            at = 0
+            for text in texts:
+                own = found[at : at + len(text)]
+                at += len(text)
+                n_words.append(len(own))
+                n_tokens.append(sum(c for c, _ in own))
+                scores.append(sum(s for _, s in own))
+
+        part, size = [], 0
         for text in batch.column("text").cast(pa.binary()).to_pylist():
-            words = [w.decode() for w in (text or b"").split()]
-            known = trie.terminal
-            try:
-                found = list(map(known.__getitem__, words))
-            except KeyError:
-                found = list(map(trie.insert, words))
-            n_words.append(len(words))
-            n_tokens.append(sum(c for c, _ in found))
-            scores.append(sum(s for _, s in found))
+            part.append((text or b"").split())
+            size += len(part[-1])
+            if size > 1_000_000:
+                count(part)
+                part, size = [], 0
+        count(part)
         columns = [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(scores, pa.float64())]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_tokens", "score"])
 
