@@ -47,8 +47,12 @@ def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             nonlocal ids, lens, hashes, size
-            codes, words = np.unique(np.concatenate(hashes), return_inverse=True) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            row = [[uuid.uuid4().int >> 65], [size], [ids], [squeeze(np.array(lens, np.int64))], [squeeze(words.astype(np.uint32))], [squeeze(codes)]]
+            codes, words, n = np.unique(np.concatenate(hashes or [np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")  # frequent words get small numbers, which compress better
+            number = np.empty(len(order), np.uint32)
+            number[order] = np.arange(len(order), dtype=np.uint32)
+            codes, words = codes[order], number[words]
+            row = [[uuid.uuid4().int >> 65], [size], [ids], [squeeze(np.array(lens, np.int64))], [squeeze(words)], [squeeze(codes)]]
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
             ids, lens, hashes, size = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=["block_id", "n_words", "doc_ids", "lens", "words", "codes"])
@@ -77,18 +81,24 @@ def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     return view.mapInArrow(run, BLOCK)
 
 
-def ngrams(lens: np.ndarray, hashes: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def hash_bits(total: int) -> int:
+    """Width of n-gram hashes: a given n-gram meets another one's hash with a chance of about one in a million at any size."""
+    return min(64, 20 + max(1, total).bit_length())
+
+
+def ngrams(lens: np.ndarray, hashes: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order from 1 on: (hashes of the n-grams, the place of each one's last word); none crosses documents."""
+    cut = np.uint64(64 - bits)
     n = len(hashes)
     place = np.arange(n) - np.repeat(np.cumsum(lens) - lens, lens)
-    out = [(hashes, np.arange(n))]
+    out = [(hashes >> cut, np.arange(n))]
     h = hashes
     for k in range(2, order + 1):
         h = (h[: n - k + 1] * np.uint64(0x9E3779B97F4A7C15)) ^ hashes[k - 1 :]
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
         at = np.flatnonzero(place[k - 1 :] >= k - 1)
-        out.append((h[at], at + k - 1))
+        out.append((h[at] >> cut, at + k - 1))
     return out
 
 
@@ -97,14 +107,14 @@ def open_block(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return unsqueeze(row["lens"], "i8"), unsqueeze(row["codes"], "u8")[unsqueeze(row["words"], "u4")]
 
 
-def partial_counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
+def partial_counts(blocks: DataFrame, order: int, buckets: int, bits: int) -> DataFrame:
     """Rows (bucket, block_id, ord, hashes, counts): each block's distinct n-grams by hash range, in order of hash."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+    edges = np.array([(i << bits) // buckets for i in range(1, buckets)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for k, (h, _) in enumerate(ngrams(*open_block(row), order), 1):
+                for k, (h, _) in enumerate(ngrams(*open_block(row), order, bits), 1):
                     keys, counts = np.unique(h, return_counts=True)
                     cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
                     out = [(b, row["block_id"], k, squeeze(np.diff(keys[i:j], prepend=np.uint64(0))), squeeze(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if i < j]
@@ -145,13 +155,13 @@ def answers(partial: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "bucket int, block_id long, ord int, counts binary")
 
 
-def score_block(lens: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray], total: int, order: int, backoff: float, min_count: int) -> np.ndarray:
+def score_block(lens: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray], total: int, order: int, backoff: float, min_count: int, bits: int) -> np.ndarray:
     """Sum of log scores of each document; ``counts[k-1]`` are of the block's distinct n-grams in order of hash."""
     n = len(hashes)
     if not n:
         return np.zeros(len(lens))
     of = []  # counts of the n-gram that ends at each word, 0 where there is none
-    for (h, at), c in zip(ngrams(lens, hashes, order), counts, strict=True):
+    for (h, at), c in zip(ngrams(lens, hashes, order, bits), counts, strict=True):
         full = np.zeros(n, np.int64)
         full[at] = c[np.unique(h, return_inverse=True)[1]] if len(at) else 0
         of.append(full)
@@ -171,15 +181,17 @@ def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count:
 
     A word's score is c(n-gram) / c(context) for the longest n-gram that the corpus (all of ``docs``) holds at least
     ``min_count`` times, times ``backoff`` for each shorter order; at last c(word) / all words. At a document's start
-    the orders that don't fit don't count as backing off. Counts are by 64-bit hashes. Null, empty and blank texts
+    the orders that don't fit don't count as backing off. Counts are by hashes of
+    ``hash_bits`` of the number of words. Null, empty and blank texts
     have no words, score 0 and a null mean. Rows that share a doc_id are scored each on its own and all count; other
     columns are ignored; an empty table gives an empty table.
     """
     spark = docs.sparkSession
     blocks = materialize(make_blocks(docs, block_tokens), "lm-blocks")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
+    bits = hash_bits(total)
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 2_000_000, 1)
-    got = answers(partial_counts(blocks, order, buckets))
+    got = answers(partial_counts(blocks, order, buckets, bits))
     both = blocks.withColumn("kind", F.lit(0)).unionByName(got.withColumn("kind", F.lit(1)), allowMissingColumns=True)
     columns = ["block_id", "kind", "ord", "bucket", "doc_ids", "lens", "words", "codes", "counts"]
     dealt = both.select(*columns).repartition("block_id").sortWithinPartitions("block_id", "kind", "ord", "bucket")
@@ -190,7 +202,7 @@ def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count:
         def close() -> pa.RecordBatch:
             lens, hashes = open_block(row)
             counts = [np.concatenate([unsqueeze(c, "i8") for c in held.get(k, [])] or [np.zeros(0, np.int64)]) for k in range(1, order + 1)]
-            sums = score_block(lens, hashes, counts, total, order, backoff, min_count)
+            sums = score_block(lens, hashes, counts, total, order, backoff, min_count, bits)
             mean = pa.array(np.divide(sums, lens, out=np.zeros(len(lens)), where=lens > 0), mask=lens == 0)
             return pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(lens, pa.int64()), pa.array(sums), mean], names=["doc_id", "n_words", "log_score", "mean_log_score"])
 
