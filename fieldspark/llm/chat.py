@@ -159,7 +159,7 @@ class Expression:
         if self.peek("not"):
             self.take()
             return Unary(self.negated())
-        return self.level(lambda: self.level(self.filtered, "+", "~"), "==", "!=")
+        return self.level(lambda: self.level(lambda: self.level(self.filtered, "+"), "~"), "==", "!=")
 
     def filtered(self):
         out = self.primary()

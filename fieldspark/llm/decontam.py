@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import BROADCAST_ROWS, materialize
+from fieldspark.llm.common import BROADCAST_ROWS, free_name, materialize
 
 #: Least size of an item's class and the sketch values asked for in it.
 CLASSES = ((1, 1), (32, 2), (128, 4), (512, 8))
@@ -86,5 +86,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingl
 
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
     """The rows of ``docs`` that hold no test item; columns stay. Rows with a null doc_id stay."""
-    gone = find_leaks(docs, items, threshold, shingle_words).select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone_id"), "left_anti")
+    gone_id = free_name(docs, "gone_id")
+    gone = find_leaks(docs, items, threshold, shingle_words).select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")

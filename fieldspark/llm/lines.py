@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from fieldspark.llm.common import materialize
+from fieldspark.llm.common import free_name, materialize
 
 SPACE = b" \t\n\x0b\x0c\r"
 BLOCK = 1 << 15
@@ -178,8 +178,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per
     it is the only holder. An empty table gives an empty table; other columns pass through unchanged.
     """
     suspected, confirmed, (shared, bits) = repeated_lines(docs, min_chars, min_docs, bits_per_line, max_filter_bytes)
+    drop_id, drop_keys = free_name(docs, "drop_id"), free_name(docs, "drop_keys")
     drop = suspected.join(confirmed, "key").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    drop = drop.groupBy("doc_id").agg(F.collect_set("key").alias("__drop_keys")).withColumnRenamed("doc_id", "__drop_id")
+    drop = drop.groupBy("doc_id").agg(F.collect_set("key").alias(drop_keys)).withColumnRenamed("doc_id", drop_id)
     extra = [c for c in docs.columns if c not in ("line_count", "line_dropped")]
     base = docs.select(*extra)
     schema = base.schema
@@ -194,13 +195,13 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per
 
         return base.mapInArrow(run, schema)
 
-    hit = part(True).join(drop, F.col("doc_id").eqNullSafe(F.col("__drop_id")), "left").drop("__drop_id")
+    hit = part(True).join(drop, F.col("doc_id").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
     fields = list(base.schema.fields)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, dropped = [], [], []
-            for text, gone in zip(batch.column(arrow_text).cast(pa.binary()).to_pylist(), batch.column("__drop_keys").to_pylist(), strict=True):
+            for text, gone in zip(batch.column(arrow_text).cast(pa.binary()).to_pylist(), batch.column(drop_keys).to_pylist(), strict=True):
                 lines = (text or b"").split(b"\n")
                 counts.append(len(lines))
                 if gone:

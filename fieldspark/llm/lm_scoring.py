@@ -30,10 +30,14 @@ BLOCK = "block_id long, n_words long, doc_ids array<long>, lens binary, words bi
 
 def squeeze(values: np.ndarray) -> bytes:
     """Integers with their bytes of like weight together, compressed."""
+    if not len(values):
+        return b""
     return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
 
 
 def unsqueeze(data: bytes, kind: str) -> np.ndarray:
+    if not data:
+        return np.zeros(0, kind)
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import arrow_map, connected_components, materialize
+from fieldspark.llm.common import arrow_map, connected_components, free_name, materialize
 
 PIECE = 200_000
 #: Rows of buckets that a task holds at once, and node pairs that it expands at once.
@@ -230,7 +230,8 @@ def keep_first(docs: DataFrame, shingle_words: int = 4, budget: int = 4) -> Data
     Columns stay as they are. Rows with a null doc_id stay; of rows that share both doc_id and text all stay (they
     are one document). Rows that share a doc_id but not the text stay if that id leads any of their components.
     """
+    gone_id = free_name(docs, "gone_id")
     found = near_duplicates(docs, shingle_words, budget)
     gone = found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("leads")).where("not leads")
-    gone = gone.select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone_id"), "left_anti")
+    gone = gone.select(F.col("doc_id").alias(gone_id))
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
