@@ -233,6 +233,13 @@ def test_url_rules(spark):
     assert bad and all(r.verdict == "block" for r in bad)
 
 
+def test_most_frequent_is_bounded(spark):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("w"), F.when(F.col("id") < 10, 1000 + F.col("id")).otherwise(1).alias("n"))
+    top = urls.most_frequent(rows, "w", F.col("n"), 100)
+    assert {str(i) for i in range(10)} <= {r.w for r in top} and 50 < len(top) < 150
+    assert len(urls.most_frequent(rows, "w", F.col("n"), 5000)) == 3000
+
+
 def test_segmentation_is_the_best_split():
     s = urls.Segmenter({"free": 5, "casino": 3, "win": 4, "wins": 1, "in": 9}, 22)
     assert s.split("freecasinowin") == ("free", "casino", "win")
