@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import CELL_M2, acre_feet, convert
@@ -178,6 +178,31 @@ def union_all(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def union_set(*parts: DataFrame) -> DataFrame:
+    """Distinct rows of all parts, as of configured and chosen exclusions."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
+
+
+#: What the columns of a prediction sheet mean.
+SHEET_COLUMNS = (
+    ("date", "day of the prediction"),
+    ("model", "stations that fill gaps: peers or grid"),
+    ("season", "part of the year that the model was trained on: season, accum or melt"),
+    ("mode", "how gaps were handled in training: drop or impute"),
+    ("band", "elevation band; total is the basin"),
+    ("value", "volume in acre-feet, whole"),
+    ("stations", "stations used, joined by commas"),
+)
+
+
+def sheet_description(spark: SparkSession) -> DataFrame:
+    """One row for each column of the prediction sheets with what it means."""
+    return spark.createDataFrame(list(SHEET_COLUMNS), "column string, meaning string")
+
+
 def combine_networks(a: DataFrame, b: DataFrame, names_b: dict[str, str], feet_b: Sequence[str] = ()) -> DataFrame:
     """Station lists of two networks under one schema; names lower-cased, feet as metres."""
     b = b.withColumnsRenamed(names_b)

@@ -43,6 +43,7 @@ def nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str =
     hit = hit.where(F.abs(gap) <= within)
     best = hit.groupBy(*keys, "date").agg(F.min_by(F.struct("near_date", value), F.struct(F.abs(gap), sign * gap)).alias("m"))
     rest = l.drop("__b").join(best, [*keys, "date"], "left_anti")
+    r = r.join(rest.select(*keys).distinct(), list(keys), "left_semi")  # only series that have such rows
     both = rest.select(*keys, "date", F.lit(None).cast("date").alias("near_date"), F.lit(None).cast(dict(right.dtypes)[value]).alias(value), F.lit(1).alias("__q"))
     both = both.unionByName(r.select(*keys, F.col("near_date").alias("date"), "near_date", value, F.lit(0).alias("__q")))
     w = Window.partitionBy(*keys).orderBy("date", "__q")

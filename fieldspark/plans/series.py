@@ -508,7 +508,7 @@ def _(spark, sf):
 # Sets
 
 
-@query("x1_x3_union", " SELECT basin, date, band, round(value, 2) AS value, CAST(NULL AS INTEGER) AS station FROM labels UNION ALL SELECT basin, date, NULL, value, station FROM obs", ("obs", "labels"))
+@query("x1_union_all", " SELECT basin, date, band, round(value, 2) AS value, CAST(NULL AS INTEGER) AS station FROM labels UNION ALL SELECT basin, date, NULL, value, station FROM obs", ("obs", "labels"))
 def _(spark, sf):
     labels = V.labels(spark, sf).withColumn("value", F.round("value", 2))
     return A.union_all(labels, V.obs(spark, sf)).select("basin", "date", "band", "value", "station")
@@ -531,3 +531,20 @@ def _(spark, sf):
     b = V.table(spark, sf, "customer").select("c_custkey", "c_name", F.lit("CDEC").alias("network"), "c_acctbal")
     out = A.combine_networks(a, b, {"c_custkey": "id", "c_name": "name", "c_acctbal": "elev_m"}, ["elev_m"])
     return out.withColumn("elev_m", F.round("elev_m", 4))
+
+
+@query("x3_union_set", " SELECT DISTINCT station FROM obs WHERE value > 150 UNION SELECT DISTINCT station FROM obs WHERE station % 5 = 0", ("obs",))
+def _(spark, sf):
+    obs = V.obs(spark, sf)
+    return A.union_set(obs.where("value > 150").select("station"), obs.where("station % 5 = 0").select("station"))
+
+
+@query(
+    "m14_station_sheet",
+    ", s AS (SELECT basin, date, list_sort(list(DISTINCT station) FILTER (WHERE value > 40)) AS hi, list_sort(list(DISTINCT station) FILTER (WHERE value <= 40)) AS lo FROM obs GROUP BY ALL) SELECT basin, date, array_to_string(hi, ', ') AS high, array_to_string(lo, ', ') AS low FROM s",
+    ("obs",),
+)
+def _(spark, sf):
+    band = F.when(F.col("value") > 40, "high").otherwise("low").alias("band")
+    lists = V.obs(spark, sf).groupBy("basin", "date", band).agg(F.sort_array(F.collect_set("station")).alias("value"))
+    return A.band_sheet(lists, ["basin", "date"], ["high", "low"], lists=True)
