@@ -180,7 +180,7 @@ def score_block(lens: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray],
     return np.bincount(owner, weights=best, minlength=len(lens))
 
 
-def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2, block_tokens: int = 2_000_000, buckets: int | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2, block_tokens: int = 5_000_000, buckets: int | None = None) -> DataFrame:
     """Rows (doc_id long, n_words long, log_score double, mean_log_score double), one a document.
 
     A word's score is c(n-gram) / c(context) for the longest n-gram that the corpus (all of ``docs``) holds at least
