@@ -12,6 +12,7 @@ The filter has ``bits_per_line`` bits a line up to ``max_filter_bytes``. Beyond
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -116,10 +117,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits
     merged = np.zeros(bits // 8, np.uint8)
     for row in merge_filters(build_filters(view, bits, min_chars)).collect():
         merged[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(row.twice), np.uint8)
-    shared = spark.sparkContext.broadcast(zlib.compress(merged.tobytes(), 1))
+    shared, token = spark.sparkContext.broadcast(zlib.compress(merged.tobytes(), 1)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        suspects = Suspects(shared, bits, min_chars)
+        suspects = Suspects(shared, token, bits, min_chars)
         for batch in batches:
             keys, ids = [], []
             for doc_id, found in zip(batch.column("doc_id").to_pylist(), suspects.of(batch.column("text")), strict=True):
@@ -131,19 +132,18 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits
     confirmed = (
         suspected.distinct().groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id")).where(F.col("n_docs") >= min_docs).select("key", "keep_id")
     )
-    return suspected, materialize(confirmed, "line-confirmed"), (shared, bits)
+    return suspected, materialize(confirmed, "line-confirmed"), (shared, token, bits)
 
 
 class Suspects:
-    """Looks the lines of documents up in the twice filter (unpacked once a worker)."""
+    """Looks the lines of documents up in the twice filter, which is unpacked once a worker and call (``token``)."""
 
-    unpacked: dict[int, np.ndarray] = {}
+    unpacked: dict[str, np.ndarray] = {}
 
-    def __init__(self, shared, bits: int, min_chars: int):
-        key = id(shared.value)
-        if key not in Suspects.unpacked:
-            Suspects.unpacked = {key: np.frombuffer(zlib.decompress(shared.value), np.uint8)}
-        self.filter, self.bits, self.min_chars = Suspects.unpacked[key], bits, min_chars
+    def __init__(self, shared, token: str, bits: int, min_chars: int):
+        if token not in Suspects.unpacked:
+            Suspects.unpacked = {token: np.frombuffer(zlib.decompress(shared.value), np.uint8)}
+        self.filter, self.bits, self.min_chars = Suspects.unpacked[token], bits, min_chars
 
     def of(self, texts: pa.Array) -> list[list[bytes]]:
         """The distinct suspected keys of each text."""
@@ -177,7 +177,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per
     one document and keep or lose a line together. Null doc_ids count as one document, which is never the largest unless
     it is the only holder. An empty table gives an empty table; other columns pass through unchanged.
     """
-    suspected, confirmed, (shared, bits) = repeated_lines(docs, min_chars, min_docs, bits_per_line, max_filter_bytes)
+    suspected, confirmed, (shared, token, bits) = repeated_lines(docs, min_chars, min_docs, bits_per_line, max_filter_bytes)
     drop_id, drop_keys = free_name(docs, "drop_id"), free_name(docs, "drop_keys")
     drop = suspected.join(confirmed, "key").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     drop = drop.groupBy("doc_id").agg(F.collect_set("key").alias(drop_keys)).withColumnRenamed("doc_id", drop_id)
@@ -188,7 +188,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per
 
     def part(want: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            suspects = Suspects(shared, bits, min_chars)
+            suspects = Suspects(shared, token, bits, min_chars)
             for batch in batches:
                 mask = pa.array([bool(x) == want for x in suspects.of(batch.column(arrow_text))], pa.bool_())
                 yield batch.filter(mask)
