@@ -56,6 +56,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        pa.default_memory_pool().release_unused()  # workers live on and share the executor's memory with the JVM
 
     return df.mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ SCRIPTS = (
 STARTS = [a for a, _ in SCRIPTS]
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)
-CACHE = 300_000
+CACHE = 120_000
 NOT_CANDIDATE = -60.0
 
 
@@ -246,7 +246,7 @@ def label_group(m: Model, texts: list[list[str]]) -> list[tuple[str, float, list
     return out
 
 
-def label_texts(m: Model, texts: list[str | None], group: int = 400_000) -> list[tuple[str, float, list[dict]]]:
+def label_texts(m: Model, texts: list[str | None], group: int = 200_000) -> list[tuple[str, float, list[dict]]]:
     """(prediction, score, spans) of each text; texts go together until a group has ``group`` words."""
     if not m.languages:
         return [("und", 0.0, [])] * len(texts)

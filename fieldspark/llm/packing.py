@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm.common import arrow_map, materialize
 
-CHUNKS, CORES = 300_000, 400_000
+CHUNKS, CORES = 120_000, 250_000
 
 
 def vocabulary(name: str) -> str:
