@@ -13,8 +13,8 @@ from fieldspark.llm.common import materialize
 from fieldspark.llm.decontam import drop_leaks
 from fieldspark.llm.langid import keep_identified
 from fieldspark.llm.lines import line_dedup
+from fieldspark.llm.neardup import keep_first_near
 from fieldspark.llm.packing import pack, vocabulary
-from fieldspark.llm.simhash import keep_first
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
-    return keep_first(docs, shingle_words=4, budget=4)
+    """Of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more) the document with the least id stays.
+
+    The links are exact; fingerprints at op3's four bits lose most of these pairs, so the stage doesn't use them.
+    """
+    return keep_first_near(docs, threshold=0.8, shingle_words=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
