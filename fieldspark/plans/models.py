@@ -75,8 +75,7 @@ def _(spark, sf):
 @query("m2_impute_from_peers")
 def _(spark, sf):
     days = full(spark, sf)
-    rows = days.where((F.day("date") == 1) & (F.col("date") >= "1999-01-01"))
-    return M.impute_from_peers(rows, days, since="1996-01-01").select("basin", "station", "date", "imputed", "value")
+    return M.impute_from_peers(days, days, since="1996-01-01").select("basin", "station", "date", "imputed", "value")
 
 
 def survey(spark, sf):
