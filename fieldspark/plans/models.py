@@ -81,25 +81,24 @@ def _(spark, sf):
 def survey(spark, sf):
     """The surveys of every basin's bands against gap-free stations: monthly means, so that all stations have a value."""
     monthly = V.obs(spark, sf).groupBy("basin", "station", F.trunc("date", "month").alias("date")).agg(F.avg("value").alias("value"))
-    months = V.labels(spark, sf).where(F.month("date").isin(3, 6, 9) & (F.col("date") >= "1995-03-01"))
-    return M.survey_table(months, monthly), monthly
+    return M.survey_table(V.labels(spark, sf), monthly), monthly
 
 
 @query("m5_m7_loyo_selection")
 def _(spark, sf):
-    return M.loyo_select(survey(spark, sf)[0], most=4)
+    return M.loyo_select(survey(spark, sf)[0])
 
 
 @query("a29_fold_stations")
 def _(spark, sf):
-    return M.fold_stations(M.loyo_select(survey(spark, sf)[0], most=4))
+    return M.fold_stations(M.loyo_select(survey(spark, sf)[0]))
 
 
 @query("m8_m9_best_subset")
 def _(spark, sf):
     table, _ = survey(spark, sf)
-    cv = M.loyo_select(table, most=3)
-    a = M.best_subset(table, cv, most=3).withColumn("rule", F.lit("subsets"))
+    cv = M.loyo_select(table)
+    a = M.best_subset(table, cv).withColumn("rule", F.lit("subsets"))
     return a.unionByName(M.frequent_subset(table, cv).withColumn("rule", F.lit("frequency")))
 
 
@@ -108,7 +107,7 @@ def _(spark, sf):
     """Back-test: every month of the last years as a test, trained on the surveys before."""
     table, monthly = survey(spark, sf)
     train = table.where("date < '2000-01-01'")
-    chosen = M.best_subset(train, M.loyo_select(train, most=2), most=2)
+    chosen = M.best_subset(train, M.loyo_select(train))
     ids = table.groupBy("basin").agg(F.first("stations").alias("stations"))
     days = monthly.where("date >= '2000-01-01'").groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "value"))).alias("m")).join(F.broadcast(ids), "basin")
     days = days.select("basin", "date", F.transform("stations", lambda s: F.element_at("m", s)).alias("x"))
