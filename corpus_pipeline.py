@@ -1,4 +1,4 @@
-"""Corpus pipeline: language ID, line dedup, SimHash near-dedup, benchmark decontamination, best-fit packing.
+"""Corpus pipeline: language ID, line dedup, near-dedup by exact Jaccard, benchmark decontamination, best-fit packing.
 
 Each stage is (name, function of (spark, docs, sf_dir)); all but the last return the columns of ``documents``.
 ``run`` writes each stage's rows as Parquet in the shared folder and reads them back as the next one's documents.
