@@ -8,9 +8,11 @@ their rank within their length; ranks are counted in salted groups, so that a co
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +22,12 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm.common import arrow_map, materialize
 
-CHUNKS, CORES = 120_000, 250_000
+#: Pre-tokens kept by a worker in each of two generations.
+KEPT = 150_000
+#: The tokenizer's split of lower-cased Latin-1 text; what it can't be sure of is left to the library.
+LETTERS, DIGITS, WHITE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
+PRE_TOKEN = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{DIGITS}]|[^{WHITE}{LETTERS}{DIGITS}]+")
+UNSURE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
 def vocabulary(name: str) -> str:
@@ -30,11 +37,33 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Kept(dict):
+    """Values of ``make`` by key, kept in two generations.
+
+    Once the younger is full it becomes the older; what isn't asked for again until the next turn goes.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], bound: int = KEPT):
+        super().__init__()
+        self.make, self.bound, self.old = make, bound, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 100:
+            if len(self) >= self.bound:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class WordTokenizer:
-    """Ids of a tokenizer that never joins what white space separates, as little-endian unsigned 32-bit bytes.
+    """Ids of a byte-level tokenizer over lower-cased words, as little-endian unsigned 32-bit bytes.
 
-    Chunks between spaces are encoded once and kept, up to a bound. A chunk of Latin letters with trailing dots and
-    commas takes the ids of its lower-cased letters, which are kept apart; all else goes to the library whole.
+    A Latin-1 text is split into the tokenizer's own pre-tokens here, and each pre-token's ids are kept. Other texts
+    go chunk by chunk between spaces; a chunk that isn't Latin-1 goes to the library.
     """
 
     def __init__(self, path: str):
@@ -42,53 +71,34 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {}
+        self.kept = Kept(self.pre_token)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.symbol = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def core(self, word: str) -> bytes:
-        found = self.cores.get(word)
-        if found is None:
-            if len(self.cores) > CORES:
-                self.cores.clear()
-            symbols = word if word.isascii() else "".join(map(self.symbol.__getitem__, word.encode()))
-            found = self.cores[word] = np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
-        return found
-
-    def chunk(self, chunk: str) -> bytes:
-        letters = chunk.rstrip(".,")
-        if letters.isalpha() and max(letters) < "ɐ" and len(letters) < 100:
-            low = letters.lower()
-            if low.isalpha() and (low.isascii() or unicodedata.is_normalized("NFC", letters)):
-                tail = chunk[len(letters) :]
-                return self.core(low) + (self.tail(tail) if tail else b"")
-        return self.whole(chunk)
-
-    def tail(self, marks: str) -> bytes:
-        found = self.cores.get(marks)
-        if found is None:
-            found = self.cores[marks] = self.whole(marks)
-        return found
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def pre_token(self, word: str) -> bytes:
+        symbols = word if word.isascii() else "".join(map(self.symbol.__getitem__, word.encode()))
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def latin(self, text: str) -> bytes:
+        return b"".join(map(self.kept.__getitem__, PRE_TOKEN.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        known = self.chunks
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(known) > CHUNKS:
-            known.clear()
-            known[""] = b""
-        for x in parts:
-            if x not in known and len(x) < 200:
-                known[x] = self.chunk(x)
-        return b"".join([known[x] if len(x) < 200 else self.whole(x) for x in parts])
+        if is_latin(text):
+            return self.latin(text)
+        return b"".join([self.latin(x) if is_latin(x) else self.whole(x) for x in text.replace("\n", " ").split(" ")])
+
+
+def is_latin(text: str) -> bool:
+    """Whether all of the text is Latin-1 (so it is in normal form C) without control tokens and odd separators."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return not any(x in text for x in UNSURE)
 
 
 @lru_cache(maxsize=2)
