@@ -1,19 +1,23 @@
 """Language identification: scripts narrow the candidates, Viterbi over per-word scores labels spans.
 
-A word is what stands between ASCII white space; only its letters count. Its score for a language is the sum of
-smoothed log-probabilities of its hashed character n-grams, learned from labelled documents. Languages that don't
-use a word's script are no candidates for it. A document's words form a chain with a cost for each switch of
-language; the best path gives the spans, the language with most letters the prediction.
+A word is a run of letters. Its score for a language is the sum of smoothed log-probabilities of its hashed character
+n-grams, learned from labelled documents. Only the languages that use a word's script are scored and may label it. A
+document's words form a chain with a cost for each switch of language; the best path gives the spans, the language
+with most letters the prediction. Where no detour can repay one switch, the best path is the best single language and
+needs no chain.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +33,10 @@ SCRIPTS = (
 STARTS = [a for a, _ in SCRIPTS]
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)
-CACHE = 120_000
-NOT_CANDIDATE = -60.0
+#: Words whose scores a worker keeps, longest word kept, and letters of longer ones held before they go.
+KEPT, LONG, LONG_LETTERS = 120_000, 64, 1_000_000
+LATIN_1 = re.compile("[a-zªµºß-öø-ÿ]+")
+ANY = regex.compile(r"\p{L}+")
 
 
 def script_of(char: str) -> str:
@@ -38,39 +44,53 @@ def script_of(char: str) -> str:
     return SCRIPTS[at][1] if at >= 0 else ""
 
 
-def letters_of(chunk: str) -> str:
-    """The letters of a chunk, lower-cased; other characters between letters count as one space."""
-    if chunk.isalpha():
-        return chunk.lower()
-    return " ".join("".join(c if c.isalpha() else " " for c in chunk).split()).lower()
+def lowered(text: str) -> str:
+    """Lower-cased, character by character where that would change the length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower()[0] for c in text)
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams (sizes 1 to 4, word edges included) of all words, and the word that each belongs to."""
+def pattern(low: str) -> re.Pattern:
+    """What finds the runs of letters of a lower-cased text."""
+    try:
+        low.encode("latin-1")
+    except UnicodeEncodeError:
+        return ANY
+    return LATIN_1
+
+
+def words_of(text: str | None) -> list[str]:
+    low = lowered(text or "")
+    return pattern(low).findall(low)
+
+
+def grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size of n-grams: the hashed n-grams of all words, word edges included, and the word of each, rising."""
     joined = "\x02" + "\x02".join(words) + "\x02"
-    codes = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     edge = codes == 2
-    owner = np.cumsum(edge) - 1
-    hashes, owners = [], []
+    owner = np.cumsum(edge, dtype=np.int32) - 1
     h = np.zeros(len(codes), np.uint64)
+    inner = np.zeros(len(codes), np.bool_)
     for k in range(1, max(SIZES) + 1):
         n = len(codes) - k + 1
         if n <= 0:
             break
         h = (h[:n] * np.uint64(0x9E3779B97F4A7C15)) ^ (codes[k - 1 :] + np.uint64(k))
-        inner = np.zeros(n, np.int64)
-        for j in range(1, k - 1):
-            inner += edge[j : j + n]
-        ok = (inner == 0) & ~(edge[:n] & edge[k - 1 :]) if k > 1 else ~edge
-        mixed = h[ok] * np.uint64(0xFF51AFD7ED558CCD)
-        hashes.append(((mixed >> np.uint64(40)) & np.uint64(BUCKETS - 1)).astype(np.int64))
-        owners.append(owner[:n][ok])
-    return np.concatenate(hashes), np.concatenate(owners)
+        if k > 2:
+            inner = inner[:n] | edge[k - 2 : k - 2 + n]
+        ok = ~inner[:n] if k > 1 else ~edge
+        mixed = (h[ok] * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(40)
+        yield (mixed & np.uint64(BUCKETS - 1)).astype(np.int64), owner[:n][ok]
 
 
 @dataclass
 class Model:
-    """Log-probabilities of n-gram buckets by language, log priors, and the scripts that each language uses."""
+    """Log-probabilities of n-gram buckets by language, log priors, and the languages that use each script.
+
+    A script that no language uses narrows nothing: all languages are candidates. A worker keeps scores of words; once
+    they are too many, those go that weren't met twice since the last time.
+    """
 
     languages: list[str]
     table: np.ndarray
@@ -79,39 +99,61 @@ class Model:
     switch_cost: float = 8.0
     index: dict[str, int] = field(default_factory=dict)
     scores: np.ndarray | None = None
-    n_letters: np.ndarray | None = None
+    hits: np.ndarray | None = None
+    long_letters: int = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"index": {}, "scores": None, "n_letters": None}
+        return self.__dict__ | {"index": {}, "scores": None, "hits": None, "long_letters": 0}
+
+    def candidates(self, script: str) -> np.ndarray:
+        return self.scripts.get(script, np.arange(len(self.languages)))
 
     def score(self, words: list[str]) -> np.ndarray:
-        """Scores of words (letters only) by language; words without letters score 0 everywhere."""
-        out = np.zeros((len(words), len(self.languages)), np.float32)
-        some = [i for i, w in enumerate(words) if w]
-        if some:
-            h, owner = grams([words[i] for i in some])
-            at = np.array(some)
-            for lang in range(len(self.languages)):
-                out[at, lang] = np.bincount(owner, weights=self.table[h, lang], minlength=len(some))[: len(some)]
-            for i in some:
-                first = next((s for c in words[i] if (s := script_of(c))), "")
-                if first in self.scripts:
-                    out[i] += self.scripts[first]
+        """Scores of words by language; -inf for languages that aren't candidates."""
+        out = np.full((len(words), len(self.languages)), -np.inf, np.float32)
+        firsts = np.frombuffer("".join([w[0] for w in words]).encode("utf-32-le", "surrogatepass"), "<u4")
+        ranges = np.searchsorted(STARTS, firsts, side="right") - 1
+        by_script: dict[str, list[np.ndarray]] = {}
+        for r in np.unique(ranges).tolist():
+            by_script.setdefault(SCRIPTS[r][1] if r >= 0 else "", []).append(np.flatnonzero(ranges == r))
+        for script, parts in by_script.items():
+            at, able = np.concatenate(parts), self.candidates(script)
+            table = self.table if len(able) == len(self.languages) else self.table[:, able]
+            total = np.zeros((len(at), len(able)), np.float64)
+            for h, owner in grams([words[i] for i in at.tolist()] if len(at) < len(words) else words):
+                if len(h):
+                    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                    total[owner[first]] += np.add.reduceat(table[h], first, axis=0)
+            out[at[:, None], able] = total
         return out
 
-    def rows(self, chunks: list[str]) -> np.ndarray:
-        """The row of each chunk in ``scores``; unseen chunks are scored together."""
-        new = [c for c in dict.fromkeys(chunks) if c not in self.index]
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The row of each word in ``scores``; unseen words are scored together."""
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = list(dict.fromkeys([words[i] for i in np.flatnonzero(at < 0).tolist()]))
+        if self.scores is None or new and (len(self.index) + len(new) > KEPT or self.long_letters > LONG_LETTERS):
+            self.shrink()
+            new = [w for w in dict.fromkeys(words) if w not in self.index]
         if new:
-            if self.scores is None or len(self.index) + len(new) > CACHE:
-                self.index, new = {}, list(dict.fromkeys(chunks))
-                self.scores, self.n_letters = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.int32)
-            words = [letters_of(c) for c in new]
             base = len(self.scores)
             self.index.update(zip(new, range(base, base + len(new)), strict=True))
-            self.scores = np.concatenate([self.scores, self.score(words)])
-            self.n_letters = np.concatenate([self.n_letters, np.array([len(w) - w.count(" ") for w in words], np.int32)])
-        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+            self.scores = np.concatenate([self.scores, self.score(new)])
+            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
+            self.long_letters += sum(len(w) for w in new if len(w) > LONG)
+            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.hits += np.bincount(at, minlength=len(self.hits))
+        return at
+
+    def shrink(self) -> None:
+        if self.scores is None:
+            self.scores, self.hits = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.int64)
+        names = list(self.index)
+        often = np.flatnonzero(self.hits > 1)
+        if len(often) > KEPT // 2:
+            often = np.sort(often[np.argsort(-self.hits[often], kind="stable")[: KEPT // 2]])
+        often = [i for i in often.tolist() if len(names[i]) <= LONG]
+        self.index = {names[i]: k for k, i in enumerate(often)}
+        self.scores, self.hits, self.long_letters = self.scores[often], np.zeros(len(often), np.int64), 0
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, prior: np.ndarray, cost: float) -> np.ndarray:
@@ -179,12 +221,13 @@ def train(docs: DataFrame, max_docs_per_lang: int = 3000, alpha: float = 0.5, sw
         scripts: dict[tuple[str, str], int] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = [w for w in map(letters_of, text.split()) if w]
+                words = words_of(text)
                 if not words:
                     continue
                 table = tables.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for i in range(0, len(words), 100_000):
-                    table += np.bincount(grams(words[i : i + 100_000])[0], minlength=BUCKETS)
+                    for h, _ in grams(words[i : i + 100_000]):
+                        table += np.bincount(h, minlength=BUCKETS)
                 for w in words:
                     key = (lang, script_of(w[0]))
                     scripts[key] = scripts.get(key, 0) + 1
@@ -211,55 +254,77 @@ def train(docs: DataFrame, max_docs_per_lang: int = 3000, alpha: float = 0.5, sw
     for script, n in used.items():
         uses = n >= 0.01 * np.maximum(words, 1)
         if script and uses.any():
-            scripts[script] = np.where(uses, 0.0, NOT_CANDIDATE).astype(np.float32)
+            scripts[script] = np.flatnonzero(uses)
     prior = np.log(np.array([sizes[lang] for lang in languages], float) / sum(sizes.values()))
     return Model(languages, table, prior, scripts, switch_cost)
 
 
-#: White space becomes one space a character, so that offsets stay.
-WHITE = {c: " " for c in (*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 SCHEMA = "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
 
-def label_group(m: Model, texts: list[list[str]]) -> list[tuple[str, float, list[dict]]]:
-    """(prediction, score, spans) of texts given as lists of chunks, all in one Viterbi run."""
-    lengths = np.array([len(p) for p in texts], np.int64)
-    flat = [c for p in texts for c in p]
-    at = m.rows(flat)
-    path, letters = viterbi(m.scores[at], lengths, m.prior, m.switch_cost), m.n_letters[at]
-    n = len(m.languages)
-    by = np.bincount(np.repeat(np.arange(len(texts)), lengths) * n + path, weights=letters, minlength=len(texts) * n).reshape(-1, n)
-    total = by.sum(axis=1)
-    widths = np.fromiter(map(len, flat), np.int64, len(flat)) + 1
-    out = []
-    for k, hi in enumerate(np.cumsum(lengths)):
-        if not total[k]:
-            out.append(("und", 0.0, []))
-            continue
-        lo, top = hi - lengths[k], int(by[k].argmax())
-        own, offset = path[lo:hi], np.cumsum(widths[lo:hi]) - widths[lo:hi]
+def best_single(m: Model, scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best single language of each chain (none empty), and whether a path with switches might be better.
+
+    A detour gains at most the largest sum, over a stretch of words, of the best rival's lead, and the priors' spread;
+    it costs a switch at least.
+    """
+    starts = np.cumsum(lengths) - lengths
+    lead = (np.add.reduceat(scores, starts, axis=0, dtype=np.float64) + m.prior).argmax(axis=1)
+    own, every = np.repeat(lead, lengths), np.arange(len(scores))
+    rival = scores.copy()
+    rival[every, own] = -np.inf
+    with np.errstate(invalid="ignore"):
+        ahead = np.nan_to_num(rival.max(axis=1) - scores[every, own], nan=np.inf).astype(np.float64)
+    ahead = np.clip(ahead, -m.switch_cost - 1, m.switch_cost + 1)
+    after = np.cumsum(ahead) - np.repeat(np.arange(len(lengths)) * (2 * (m.switch_cost + 1) * (len(scores) + 1)), lengths)
+    gain = np.maximum.reduceat(after - np.minimum.accumulate(after - ahead), starts)
+    return lead, gain + m.prior.max() - m.prior[lead] >= m.switch_cost - 1e-6
+
+
+def label_group(m: Model, lows: list[str], texts: list[list[str]]) -> list[tuple[str, float, list[dict]]]:
+    """(prediction, score, spans) of lower-cased texts and their words, the chains among them all in one Viterbi run."""
+    out: list[tuple[str, float, list[dict]]] = [("und", 0.0, [])] * len(lows)
+    some = [k for k, p in enumerate(texts) if p]
+    if not some:
+        return out
+    lengths = np.array([len(texts[k]) for k in some], np.int64)
+    at = m.rows([w for k in some for w in texts[k]])
+    scores = m.scores[at]
+    lead, mixed = best_single(m, scores, lengths)
+    for k, top in zip(some, lead.tolist(), strict=True):
+        out[k] = (m.languages[top], 1.0, [{"start": 0, "end": len(lows[k]), "lang": m.languages[top]}])
+    path = viterbi(scores[np.repeat(mixed, lengths)], lengths[mixed], m.prior, m.switch_cost)
+    hi = 0
+    for k in np.array(some)[mixed].tolist():
+        lo, hi = hi, hi + len(texts[k])
+        own = path[lo:hi]
+        letters = np.bincount(own, weights=[len(w) for w in texts[k]], minlength=len(m.languages))
+        begins = [x.start() for x in pattern(lows[k]).finditer(lows[k])]
         cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist()]
-        ends = [*(int(offset[c]) for c in cuts[1:]), int(offset[-1] + widths[hi - 1] - 1)]
-        spans = [{"start": int(offset[c]), "end": e, "lang": m.languages[own[c]]} for c, e in zip(cuts, ends, strict=True)]
-        out.append((m.languages[top], float(by[k, top] / total[k]), spans))
+        edges = [0, *(begins[c] for c in cuts[1:]), len(lows[k])]
+        spans = [{"start": s, "end": e, "lang": m.languages[own[c]]} for c, s, e in zip(cuts, edges[:-1], edges[1:], strict=True)]
+        top = int(letters.argmax())
+        out[k] = (m.languages[top], float(letters[top] / letters.sum()), spans)
     return out
 
 
-def label_texts(m: Model, texts: list[str | None], group: int = 200_000) -> list[tuple[str, float, list[dict]]]:
+def label_texts(m: Model, texts: list[str | None], group: int = 500_000) -> list[tuple[str, float, list[dict]]]:
     """(prediction, score, spans) of each text; texts go together until a group has ``group`` words."""
     if not m.languages:
         return [("und", 0.0, [])] * len(texts)
     out: list[tuple[str, float, list[dict]]] = []
-    part: list[list[str]] = []
+    lows: list[str] = []
+    words: list[list[str]] = []
     size = 0
     for text in texts:
-        part.append((text or "").translate(WHITE).split(" "))
-        size += len(part[-1])
+        lows.append(lowered(text or ""))
+        words.append(pattern(lows[-1]).findall(lows[-1]))
+        size += len(words[-1])
         if size > group:
-            out += label_group(m, part)
-            part, size = [], 0
-    return out + (label_group(m, part) if part else [])
+            out += label_group(m, lows, words)
+            lows, words, size = [], [], 0
+    return out + (label_group(m, lows, words) if lows else [])
 
 
 def label(docs: DataFrame, model: Model) -> DataFrame:
