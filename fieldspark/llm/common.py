@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 #: Rows up to which a two-column table of longs may be broadcast (16 MB of values).
 BROADCAST_ROWS = 1_000_000
+#: Rows of one node from which it is broadcast in ``with_least``.
+HUB_ROWS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,34 +63,46 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+def with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """``rows`` (u, v) with ``m`` of their ``u`` from ``least`` (u, m, n): no node's rows meet in one task.
+
+    Few nodes (``n`` bounds them) are broadcast. Else the nodes of many rows are (their number is bounded by the rows
+    over HUB_ROWS), and the others meet by a shuffle.
+    """
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(least.select("u", "m")), "u")
+    hubs = least.where(F.col("n") > HUB_ROWS).select("u", "m")
+    if hubs.count() > BROADCAST_ROWS:
+        return rows.join(least.select("u", "m"), "u")
+    others = least.where(F.col("n") <= HUB_ROWS).select("u", "m")
+    by_hub = rows.join(F.broadcast(hubs), "u")
+    return by_hub.unionByName(rows.join(F.broadcast(hubs.select("u")), "u", "left_anti").join(others, "u"))
+
+
 def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as ``(src, dst)`` longs: rows ``(node, label)`` with the least node as label.
 
     Alternates large-star and small-star rounds (Kiveris et al. 2014); each round is two keyed aggregations and joins
     on a table in the shared folder, so nothing is gathered on the driver. Self loops and repeated edges are allowed.
+    A star's centre is no hot key: its rows are aggregated before they move, and meet its least node by broadcast.
     """
-    edges = materialize(
-        edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), name
-    )
-    state = None
+    tally = (F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v")))
+    edges = materialize(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), name)
+    state, n = None, edges.count()
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        least = least if n <= BROADCAST_ROWS // 2 else materialize(least, name)
+        large = with_least(both.where("v > u"), least, 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where("u <> v").distinct(), name)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = (
-            small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .distinct()
-        )
-        edges = materialize(small, name)
-        seen = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == tuple(seen):
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = least if n <= BROADCAST_ROWS // 2 else materialize(least, name)
+        small = with_least(large, least, 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), name)
+        seen = tuple(edges.agg(*tally).first())
+        if state == seen:
             break
-        state = tuple(seen)
+        state, n = seen, max(n, seen[0])
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(

@@ -1,10 +1,11 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked by a binary trie self-join.
 
-Distinct fingerprints are dealt to buckets so that every pair within the error budget meets in one: of ``n_blocks``
-bit blocks, ``n_blocks - budget`` are equal in such a pair, so each choice of that many blocks is one table and its
-bits are the bucket's key. Inside its bucket a fingerprint is a path in a binary trie: node pairs are traversed
-together from the root, their differing bits add up, and a pair is pruned once it exceeds the budget or once both
-nodes belong to one component already. A bucket gives a spanning star for each component, never all its pairs.
+Distinct fingerprints are dealt to wide buckets so that every pair within the error budget meets in one: of
+``n_blocks`` bit blocks, ``n_blocks - budget`` are equal in such a pair, so each choice of that many blocks is one
+table and its bits are the bucket's key. A bucket holds dozens of fingerprints. Inside it a fingerprint is a path in a
+binary trie: node pairs are traversed together from the root down to single fingerprints, their differing bits add
+up, and a pair is pruned once it exceeds the budget or once both nodes belong to one component already. A bucket gives
+a spanning star for each component, never all its pairs.
 """
 
 from __future__ import annotations
@@ -78,20 +79,20 @@ class Labels:
         return np.concatenate([[0], np.cumsum(self.label[1:] != self.label[:-1])])
 
 
-def trie_self_join(bucket: np.ndarray, fp: np.ndarray, budget: int) -> np.ndarray:
-    """Component label of each row, linking rows of one bucket whose fingerprints differ in at most ``budget`` bits.
+def trie_pairs(bucket: np.ndarray, fp: np.ndarray, budget: int, labels: Labels, leaf: int = 1, tally: dict[str, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of one bucket whose fingerprints differ in at most ``budget`` bits, but for those of one label.
 
-    Rows are ordered by bucket and unsigned fingerprint, so a trie node is a range of rows.
+    Rows are ordered by bucket and unsigned fingerprint, so a trie node is a range of rows. Node pairs of at most
+    ``leaf`` combinations are compared bit by bit at once. ``tally`` counts node pairs that were split, pruned and
+    compared. The caller may link labels between two steps; what they join is no longer traversed.
     """
     n = len(fp)
-    labels = Labels(n)
-    if n < 2:
-        return labels.label
-    near = (bucket[1:] == bucket[:-1]) & (np.bitwise_count(fp[1:] ^ fp[:-1]) <= budget)
-    at = np.flatnonzero(near)
-    labels.link(at, at + 1)
+    tally = {} if tally is None else tally
     ones: dict[int, np.ndarray] = {}
 
+    def count(what: str, k: int) -> None:
+        tally[what] = tally.get(what, 0) + k
+
     def before(level: int) -> np.ndarray:
         """Ones at the level's bit before each row."""
         if level not in ones:
@@ -100,36 +101,50 @@ def trie_self_join(bucket: np.ndarray, fp: np.ndarray, budget: int) -> np.ndarra
             ones[level] = np.concatenate([[0], np.cumsum((fp >> np.uint64(63 - level)) & np.uint64(1), dtype=np.int64)])
         return ones[level]
 
-    def leaves(pairs: np.ndarray) -> None:
+    def leaves(pairs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Compare all rows of small node pairs."""
-        for part in np.array_split(pairs, max(1, ceil(len(pairs) / 20_000))):
+        sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
+        if sizes.max() > FRONTIER:  # many rows of one fingerprint: a few of them at a time
+            cut = [(s, min(s + step, p[1]), *p[2:]) for p in pairs.tolist() for step in [max(1, FRONTIER // (p[3] - p[2]))] for s in range(p[0], p[1], step)]
+            pairs = np.array(cut, np.int64)
+            sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
+        parts = np.searchsorted(np.cumsum(sizes), np.arange(FRONTIER, sizes.sum(), FRONTIER))
+        for part in np.split(pairs, parts):
             a_lo, a_hi, b_lo, b_hi, _ = part.T
             wide = b_hi - b_lo
             size = (a_hi - a_lo) * wide
             k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             w = np.repeat(wide, size)
             i, j = np.repeat(a_lo, size) + k // w, np.repeat(b_lo, size) + k % w
-            ok = (i < j) & (np.bitwise_count(fp[i] ^ fp[j]) <= budget)
-            labels.link(i[ok], j[ok])
+            ok = (i < j) & (labels.label[i] != labels.label[j])
+            i, j = i[ok], j[ok]
+            ok = np.bitwise_count(fp[i] ^ fp[j]) <= budget
+            if ok.any():
+                yield i[ok], j[ok]
 
-    def expand(pairs: np.ndarray, level: int) -> None:
+    def expand(pairs: np.ndarray, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         while len(pairs):
             if len(pairs) > FRONTIER:
                 for part in np.array_split(pairs, ceil(len(pairs) / FRONTIER * 2)):
-                    expand(part, level)
+                    yield from expand(part, level)
                 return
             run = labels.runs()
             a_lo, a_hi, b_lo, b_hi, d = pairs.T
             joined = (run[a_lo] == run[a_hi - 1]) & (run[b_lo] == run[b_hi - 1]) & (labels.label[a_lo] == labels.label[b_lo])
-            pairs = pairs[~joined & (d <= budget)]
+            keep = ~joined & (d <= budget)
+            count("pruned", int(len(pairs) - keep.sum()))
+            pairs = pairs[keep]
             a_lo, a_hi, b_lo, b_hi, d = pairs.T
-            small = (a_hi - a_lo) * (b_hi - b_lo) <= 64
+            small = (a_hi - a_lo) * (b_hi - b_lo) <= leaf
             if level == 64:
                 small[:] = True
-            leaves(pairs[small])
+            if small.any():
+                count("compared", int(small.sum()))
+                yield from leaves(pairs[small])
             pairs = pairs[~small]
             if not len(pairs):
                 return
+            count("split", len(pairs))
             a_lo, a_hi, b_lo, b_hi, d = pairs.T
             c = before(level)
             a_mid, b_mid = a_hi - (c[a_hi] - c[a_lo]), b_hi - (c[b_hi] - c[b_lo])
@@ -140,11 +155,24 @@ def trie_self_join(bucket: np.ndarray, fp: np.ndarray, budget: int) -> np.ndarra
             pairs = pairs[(pairs[:, 0] < pairs[:, 1]) & (pairs[:, 2] < pairs[:, 3])]
             level += 1
 
-    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    starts = np.flatnonzero(np.concatenate([[n > 0], bucket[1:] != bucket[:-1]]))
     ends = np.concatenate([starts[1:], [n]])
     many = ends - starts > 1
     lo, hi = starts[many], ends[many]
-    expand(np.stack([lo, hi, lo, hi, np.zeros_like(lo)], axis=1), 0)
+    yield from expand(np.stack([lo, hi, lo, hi, np.zeros_like(lo)], axis=1), 0)
+
+
+def trie_self_join(bucket: np.ndarray, fp: np.ndarray, budget: int, tally: dict[str, int] | None = None) -> np.ndarray:
+    """Component label of each row (the least row), linking rows of one bucket within ``budget`` bits.
+
+    Rows are ordered by bucket and unsigned fingerprint.
+    """
+    labels = Labels(len(fp))
+    if len(fp) > 1:
+        at = np.flatnonzero((bucket[1:] == bucket[:-1]) & (np.bitwise_count(fp[1:] ^ fp[:-1]) <= budget))
+        labels.link(at, at + 1)
+        for i, j in trie_pairs(bucket, fp, budget, labels, tally=tally):
+            labels.link(i, j)
     return labels.label
 
 
@@ -153,12 +181,17 @@ def bucket_key(fp: Column, blocks: list[tuple[int, int]], table: int, cell: Colu
     return F.xxhash64(F.lit(table), *bits, *([] if cell is None else [cell]))
 
 
-def link_fingerprints(fps: DataFrame, budget: int = 4, n_blocks: int = 6) -> DataFrame:
-    """Edges (src, dst) that join the components of distinct fingerprints ``fp`` at ``budget`` differing bits."""
+def dealt(fps: DataFrame, budget: int, n_blocks: int) -> DataFrame:
+    """Rows (fp, bucket): each fingerprint in one bucket of every choice of blocks."""
     edges = [64 * i // n_blocks for i in range(n_blocks + 1)]
     spans = list(zip(edges, edges[1:], strict=False))
     keys = [bucket_key(F.col("fp"), list(c), t) for t, c in enumerate(combinations(spans, n_blocks - budget))]
-    rows = fps.select("fp", F.explode(F.array(*keys)).alias("bucket"))
+    return fps.select("fp", F.explode(F.array(*keys)).alias("bucket"))
+
+
+def link_fingerprints(fps: DataFrame, budget: int = 4, n_blocks: int = 5) -> DataFrame:
+    """Edges (src, dst) that join the components of distinct fingerprints ``fp`` at ``budget`` differing bits."""
+    rows = dealt(fps, budget, n_blocks)
     hot = materialize(rows.groupBy("bucket").count().where(F.col("count") > BUCKET), "simhash-hot")
     n_hot = hot.count()
     if n_hot:
@@ -200,8 +233,8 @@ def link_fingerprints(fps: DataFrame, budget: int = 4, n_blocks: int = 6) -> Dat
 
 
 def blocks_for(n: int) -> int:
-    """More blocks give longer bucket keys: about 21, 27 and 32 bits."""
-    return 6 if n < 4_000_000 else 7 if n < 200_000_000 else 8
+    """More blocks give longer bucket keys (about 13, 21, 27 and 32 bits) and more tables: some dozens a bucket."""
+    return 5 if n < 1_000_000 else 6 if n < 200_000_000 else 7 if n < 10_000_000_000 else 8
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, budget: int = 4, n_blocks: int | None = None) -> DataFrame:
