@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import materialize
+from fieldspark.llm.common import free_name, materialize
 from fieldspark.llm.decontam import drop_leaks
 from fieldspark.llm.langid import keep_identified
 from fieldspark.llm.lines import line_dedup
@@ -18,31 +18,49 @@ from fieldspark.llm.packing import pack, vocabulary
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a language over 40 % of their letters, go."""
+    """Documents without letters (null and empty texts too), or without a language over 40 % of their letters, go.
+
+    Repeated rows are judged each on its own; columns of any name stay; an empty table stays empty.
+    """
     return keep_identified(docs, min_score=0.4)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that three documents share stay in one of them; n_chars follows the text."""
-    out = line_dedup(docs, min_chars=20, min_docs=3).drop("line_count", "line_dropped")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+    """Lines that three documents share stay in the one of the largest doc_id; n_chars follows the text.
+
+    Null and empty texts stay; rows that share a doc_id lose a line together; a null doc_id counts as one document;
+    columns of any name stay as they are; an empty table stays empty.
+    """
+    counts = {c: free_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("line_count", "line_dropped")}
+    out = line_dedup(docs.withColumnsRenamed(counts), min_chars=20, min_docs=3).drop("line_count", "line_dropped")
+    out = out.withColumnsRenamed({new: old for old, new in counts.items()})
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out.select(*docs.columns)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more) the document with the least id stays.
 
-    The links are exact; fingerprints at op3's four bits lose most of these pairs, so the stage doesn't use them.
+    The trie self-join of SimHash fingerprints gives the candidates inside the buckets of shared shingles, at a distance
+    that fits this similarity (four bits, as in op3_simhash, lose most of these pairs); links are verified exactly. Null
+    and blank texts are copies of one another; rows with a null doc_id and columns of any name stay; of rows that share a
+    doc_id all stay if it leads; an empty table stays empty.
     """
     return keep_first_near(docs, threshold=0.8, shingle_words=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold 0.8 of a benchmark item's shingles go; null and empty texts hold nothing.
+
+    Rows with a null doc_id stay; rows that share a doc_id go together; columns of any name stay.
+    """
     return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), threshold=0.8, shingle_words=5)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a piece of a document in a sequence of at most 4096 tokens."""
+    """One row a piece of a document in a sequence of at most 4096 tokens; null and empty texts are one end token.
+
+    Rows that share a doc_id are packed each on its own; other columns are left out; an empty table gives no rows.
+    """
     return pack(docs, vocabulary("word_bpe_49k.json"), max_tokens=4096, end_id=1)
 
 
@@ -54,7 +72,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Viterbi, SimHash and tokenisation have no SQL; tests/llm/test_pipeline.py holds the stages against plain Python.
+#: Viterbi, SimHash and tokenisation have no SQL; test_pipeline_stages in tests/llm/test_brute.py and
+#: tests/llm/test_neardup.py hold the stages against plain Python.
 ORACLE_SQL = None
 
 

@@ -1,14 +1,19 @@
-"""Near copies by exact Jaccard similarity of word shingles: a prefix-filter join, verified on the shingles themselves.
+"""Near copies by SimHash candidates and exact Jaccard similarity of word shingles.
 
-Two sets of similarity ``t`` share one of the first n - ceil(t n) + 1 members of each in any common order, so meeting
-in these members' buckets misses no pair. The order is by hash, with frequent members last; it decides the cost only.
-Equal sets are one node. Small buckets give all pairs that sizes and positions allow; large ones give pairs with a few
-hubs first, then what pairs are left between components. So a large group of near copies isn't compared pair by pair.
+A fingerprint of all bits can't be searched at the distance that a similarity of 0.8 means (15 % of the bits), so a
+shared shingle deals the documents to buckets: two sets of similarity ``t`` share one of the first n - ceil(t n) + 1
+members of each in any common order. The order is by hash with frequent members last; it decides the cost only. Inside
+a bucket the trie self-join of ``simhash`` gives the pairs within ``BUDGET`` differing bits, and the pairs are verified
+on the shingle hashes themselves.
+
+Equal sets are one node. A large bucket first meets its hubs only, the members nearest to its bitwise majority; the
+trie then takes what pairs are left between components. So a large group of near copies isn't compared pair by pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -16,187 +21,243 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import arrow_map, connected_components, free_name, materialize
+from fieldspark.llm.common import BROADCAST_ROWS, arrow_map, connected_components, free_name, materialize
+from fieldspark.llm.simhash import BUCKET, Labels, trie_pairs
 
-#: Members of a bucket up to which all its pairs are compared at once; hubs of a larger one, in each of some rounds.
-SMALL, HUBS, HUB_ROUNDS = 32, 8, 3
+#: Members of a bucket up to which all its pairs are candidates at once; hubs of a larger one.
+SMALL, HUBS = 32, 8
 #: Frequent members put last in the order (any number gives the same result), and pairs in a batch.
 FREQUENT, PAIRS = 100_000, 500_000
+#: Differing bits of candidates. At a similarity of 0.8 a bit differs with a chance of 0.152, so 9.7 of 64 do (standard
+#: deviation 2.9); more than 24 have a chance below one in a million.
+BUDGET = 24
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_set(text: bytes | None, n: int) -> set[bytes]:
-    """Runs of ``n`` words; fewer words are one run, none are none. Words as in ``simhash.fingerprint``."""
+def shingle_hashes(text: bytes | None, n: int) -> np.ndarray:
+    """Rising distinct hashes of the runs of ``n`` words; fewer words are one run, none are none. Words as in ``simhash``."""
     words = (text or b"").lower().split()
-    return {b" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    if len(w) < n:
+        return np.array([xxhash.xxh64_intdigest(w.tobytes())], np.uint64) if len(w) else w
+    m = len(w) - n + 1
+    h = np.zeros(m, np.uint64)
+    for k in range(n):
+        h = (h ^ w[k : k + m]) * MIX
+        h ^= h >> np.uint64(29)
+    return np.unique(h)
 
 
-def hashes(text: bytes | None, n: int) -> np.ndarray:
-    """Rising distinct XXH64 of the shingles."""
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(s) for s in shingle_set(text, n)], np.uint64))
+def signature(h: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(h.tobytes())
 
 
-def signature(h: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(h.tobytes())).view(np.int64))
+def majority(h: np.ndarray) -> int:
+    """SimHash of the set: a bit is set if over half the members set it."""
+    if not len(h):
+        return 0
+    ones = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def least_overlap(size: np.ndarray, threshold: float) -> np.ndarray:
-    return np.ceil(size * threshold - 1e-9).astype(np.int64)
+def prefix(h: np.ndarray, threshold: float) -> np.ndarray:
+    return h[: len(h) - ceil(len(h) * threshold - 1e-9) + 1]
 
 
-def prefixes(docs: DataFrame, threshold: float, n: int, frequent: np.ndarray) -> DataFrame:
-    """Rows (h, sig, size, at): the prefix of each document's set; ``at`` is the place in it."""
-    seen = docs.sparkSession.sparkContext.broadcast(frequent)
+def among(h: np.ndarray, rising: np.ndarray) -> np.ndarray:
+    return rising[np.minimum(np.searchsorted(rising, h), len(rising) - 1)] == h
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] * 4]
-        for text in batch.column("text").cast(pa.binary()).to_pylist():
-            h = hashes(text, n)
-            size, sig = len(h), signature(h)
-            late = np.isin(h, seen.value, assume_unique=True)
-            h = np.concatenate([h[~late], h[late]])[: size - int(least_overlap(np.int64(size), threshold)) + 1]
-            out.append([h.view(np.int64), np.full(len(h), sig), np.full(len(h), size), np.arange(len(h))])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], names=["h", "sig", "size", "at"])
 
-    return arrow_map(docs.select(F.col("text").cast("string").alias("text")), one, "h long, sig long, size long, at long")
+def signed(x: list[int]) -> pa.Array:
+    return pa.array(np.array(x, np.uint64).view(np.int64))
 
 
-def bucket_pairs(rows: DataFrame, threshold: float, salt: int | None) -> DataFrame:
-    """Rows (a, b) of ``rows`` (h, sig, size, at, label), which has only buckets above one member.
+def lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    flat = np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
-    Pairs of one label aren't given. With a ``salt`` buckets above SMALL give only the pairs with some hubs.
-    """
 
-    def pairs(sig, size, at, label, hub) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        order = np.argsort(size, kind="stable")
-        sig, size, at, label = sig[order], size[order], at[order], label[order]
-        if hub is None or len(sig) <= SMALL:
-            firsts = np.arange(len(sig))
-        else:
-            firsts = np.argsort(xxhash_of(sig, hub), kind="stable")[:HUBS]
-        lo, hi = np.searchsorted(size, least_overlap(size, threshold)), np.searchsorted(size, size / threshold + 1e-9, "right")
-        whole = len(firsts) == len(sig)
-        for i in firsts.tolist():
-            j = np.arange(i + 1 if whole else lo[i], hi[i])
-            room = np.minimum(size[i] - at[i], size[j] - at[j])
-            j = j[(label[j] != label[i]) & (room * (1 + threshold) >= threshold * (size[i] + size[j]) - 1e-6)]
-            if len(j):
-                yield np.minimum(sig[i], sig[j]), np.maximum(sig[i], sig[j])
+def sketches(docs: DataFrame, threshold: float, n: int) -> DataFrame:
+    """Rows (doc_id, sig, size, fp, pre): identity, size, fingerprint and prefix by hash of each document's shingle set."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_hashes(t, n) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        columns = [signed([signature(h) for h in sets]), pa.array([len(h) for h in sets], pa.int32()), signed([majority(h) for h in sets]), lists([prefix(h, threshold) for h in sets])]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "sig", "size", "fp", "pre"])
+
+    return arrow_map(docs, one, "doc_id long, sig long, size int, fp long, pre array<long>")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sig", "size", "at", "label"]
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        rest: dict[str, np.ndarray] = {c: np.empty(0, np.int64) for c in ["h", *names]}
-
-        def flush() -> pa.RecordBatch:
-            both = np.unique(np.stack([np.concatenate(c) for c in zip(*held, strict=True)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
-        def solve(chunk: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            edges = np.flatnonzero(np.concatenate([[True], chunk["h"][1:] != chunk["h"][:-1], [True]]))
-            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                for pair in pairs(*(chunk[c][s:e] for c in names), salt):
-                    held.append(pair)
-                    if len(held) % 1000 == 0 and sum(len(p[0]) for p in held) > PAIRS:
-                        yield flush()
-                        held = []
-
-        for batch in batches:
-            rest = {c: np.concatenate([rest[c], batch.column(c).to_numpy()]) for c in rest}
-            cut = int(np.searchsorted(rest["h"], rest["h"][-1])) if len(rest["h"]) else 0
-            if cut:
-                yield from solve({c: v[:cut] for c, v in rest.items()})
-                rest = {c: v[cut:] for c, v in rest.items()}
-        if len(rest["h"]):
-            yield from solve(rest)
-        if held:
-            yield flush()
 
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long").distinct()
+def of_some(docs: DataFrame, ids: DataFrame, n: int, frequent: np.ndarray | None, threshold: float) -> DataFrame:
+    """Rows (sig, pre) of the documents in ``ids`` (doc_id): the prefix with ``frequent`` members last, or the whole set."""
+    ids = materialize(ids.select("doc_id").distinct(), "near-ids")
+    texts = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_semi").select("text")
+    late = None if frequent is None else docs.sparkSession.sparkContext.broadcast(frequent)
 
+    def ordered(h: np.ndarray) -> np.ndarray:
+        if late is None:
+            return h
+        last = among(h, late.value)
+        return prefix(np.concatenate([h[~last], h[last]]), threshold)
 
-def xxhash_of(sig: np.ndarray, salt: int) -> np.ndarray:
-    """The same order of nodes in each bucket, another one for each salt."""
-    with np.errstate(over="ignore"):
-        x = (sig.view(np.uint64) + np.uint64(2 * salt + 1)) * np.uint64(0x9E3779B97F4A7C15)
-        return (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_hashes(t, n) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        return pa.RecordBatch.from_arrays([signed([signature(h) for h in sets]), lists([ordered(h) for h in sets])], names=["sig", "pre"])
+
+    return arrow_map(texts, one, "sig long, pre array<long>")  # repeated rows give repeated pairs only
+
+
+def in_groups(batches: Iterator[pa.RecordBatch], chunk: int = 100_000) -> Iterator[np.ndarray]:
+    """The columns of batches that are sorted by the first one, as whole groups of at least ``chunk`` rows."""
+    held: list[np.ndarray] = []
+    size = 0
+    for batch in batches:
+        held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
+        size += batch.num_rows
+        if size >= chunk:
+            rows = np.concatenate(held, axis=1)
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            held, size = [rows[:, cut:]], rows.shape[1] - cut
+            if cut:
+                yield rows[:, :cut]
+    if size:
+        yield np.concatenate(held, axis=1)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: DataFrame, threshold: float, n: int) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of at least ``threshold``, as edges (src, dst)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(least, "sig").select(F.col("least_id").alias("doc_id")).distinct()
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """Rows (h, sig, size, fp, n) of ``rows`` (h, sig, size, fp) whose h has ``n`` > 1 of them."""
+    counts = materialize(rows.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > 1), "near-shared")
+    return materialize(rows.join(F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts, "h"), "near-buckets")
 
-    def signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = batch.column("text").cast(pa.binary())
-        sigs = pa.array([signature(hashes(t, n)) for t in text.to_pylist()], pa.int64())
-        return pa.RecordBatch.from_arrays([sigs, batch.column("text")], names=["sig", "text"])
 
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi").select("text")
-    texts = materialize(arrow_map(texts, signed, "sig long, text string").dropDuplicates(["sig"]), "near-texts")
-    both = pairs.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("s")), "a").join(texts.select(F.col("sig").alias("b"), F.col("text").alias("t")), "b")
+def candidates(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``rows`` (h, sig, size, fp, n, label) in one bucket, of other labels, by the trie self-join.
 
-    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held: dict[bytes, set[bytes]] = {}
+    A bucket above ``BUCKET`` is cut into cells of two of its parts each.
+    """
+    parts = F.ceil(F.col("n") / BUCKET).cast("int")
+    mine = F.pmod(F.xxhash64("sig", F.lit(7)), parts).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.xxhash64("h", F.least(j, mine), F.greatest(j, mine)))
+    rows = rows.select(F.explode(F.when(parts > 1, cells).otherwise(F.array("h"))).alias("h"), "sig", "size", "fp", "label")
 
-        def of(text: bytes) -> set[bytes]:
-            if text not in held:
-                if len(held) > 64:
-                    held.clear()
-                held[text] = shingle_set(text, n)
-            return held[text]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in in_groups(batches):
+            x = x[:, np.lexsort((x[3].view(np.uint64), x[0]))]
+            h, sig, size, fp, label = x
+            labels = Labels(len(h))
+            labels.label = label
+            held: list[np.ndarray] = []
+            for i, j in trie_pairs(h, fp.view(np.uint64), BUDGET, labels, leaf=64):
+                ok = np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9
+                held.append(np.stack([np.minimum(sig[i], sig[j])[ok], np.maximum(sig[i], sig[j])[ok]]))
+                if sum(p.shape[1] for p in held) > PAIRS:
+                    yield given(held)
+                    held = []
+            if held:
+                yield given(held)
+
+    def given(held: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.unique(np.concatenate(held, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+
+
+def hub_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of each bucket's members with its hubs: of each eighth the member nearest to the bitwise majority."""
+    bits = [F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1)) for b in range(64)]
+    half = rows.groupBy("h").agg(F.count("*").alias("m"), *[F.sum(x).alias(f"b{b}") for b, x in enumerate(bits)])
+    centre = sum((F.when(2 * F.col(f"b{b}") > F.col("m"), F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0)) for b in range(1, 64)), F.when(2 * F.col("b0") > F.col("m"), 1).otherwise(0).cast("long"))
+    centre = materialize(half.select("h", centre.alias("centre")), "near-centres")
+    near = rows.join(F.broadcast(centre) if centre.count() <= BROADCAST_ROWS else centre, "h").withColumn("far", F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))))
+    hub = near.groupBy("h", F.pmod(F.xxhash64("sig"), F.lit(HUBS)).alias("eighth")).agg(F.min(F.struct("far", "sig", "size", "fp")).alias("hub"))
+    hub = materialize(hub.select("h", F.col("hub.sig").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.fp").alias("hub_fp")), "near-hubs")
+    met = rows.join(F.broadcast(hub) if hub.count() <= BROADCAST_ROWS // 2 else hub, "h")
+    close = (F.col("sig") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub_fp"))) <= BUDGET)
+    alike = F.least("size", "hub_size") >= F.greatest("size", "hub_size") * threshold - 1e-9
+    return met.where(close & alike).select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose shingle sets (sig, pre) have a Jaccard similarity of at least ``threshold``, as edges (src, dst)."""
+    both = pairs.distinct().join(sets.select(F.col("sig").alias("b"), F.col("pre").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("pre").alias("x")), "a")
 
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         ok = []
-        for s, t in zip(batch.column("s").cast(pa.binary()).to_pylist(), batch.column("t").cast(pa.binary()).to_pylist(), strict=True):
-            x, y = of(s), of(t)
-            common = len(x & y)
-            ok.append(common >= threshold * (len(x) + len(y) - common) - 1e-9)
+        columns = []
+        for c in ("x", "y"):
+            at = batch.column(c)
+            columns.append((at.flatten().to_numpy(), np.cumsum([0, *at.value_lengths().to_pylist()])))
+        (x, xe), (y, ye) = columns
+        for i in range(batch.num_rows):
+            p, q = x[xe[i] : xe[i + 1]].view(np.uint64), y[ye[i] : ye[i + 1]].view(np.uint64)
+            p, q = (p, q) if len(p) <= len(q) else (q, p)
+            at = np.searchsorted(q, p)
+            common = int((q[np.minimum(at, len(q) - 1)] == p).sum()) if len(p) else 0
+            ok.append(common >= threshold * (len(p) + len(q) - common) - 1e-9)
         out = batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
         return pa.RecordBatch.from_arrays(out.columns, names=["src", "dst"])
 
-    return arrow_map(both.select("a", "b", "s", "t"), check, "src long, dst long")
+    return materialize(arrow_map(both.select("a", "b", "x", "y"), check, "src long, dst long"), "near-links")
 
 
 def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
     """Rows (doc_id, component_id): components of the links between sets of Jaccard similarity of at least ``threshold``.
 
-    Rows with a null doc_id take no part. Texts without words are equal. component_id is the least doc_id reachable.
+    Words are separated by ASCII white space after lower-casing A-Z; fewer words than a shingle are one shingle. Null,
+    empty and blank texts have the empty set and are copies of one another, of nothing else. Rows with a null doc_id
+    take no part; rows that share a doc_id count each with their own text. component_id is the least doc_id reachable
+    (ties don't arise). An empty table gives an empty table; other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    n = shingle_words
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sigs = pa.array([signature(hashes(t, n)) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.int64())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), sigs], names=["doc_id", "sig"])
-
-    own = materialize(arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), one, "doc_id long, sig long"), "near-sigs")
-    least = materialize(own.groupBy("sig").agg(F.min("doc_id").alias("least_id")), "near-distinct")
-    single = docs.join(least.select(F.col("least_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    first = prefixes(single, threshold, n, np.empty(0, np.uint64)).groupBy("h").count().where(F.col("count") > SMALL)
-    often = np.array([r.h for r in first.orderBy(F.desc("count"), "h").limit(FREQUENT).collect()], np.int64).view(np.uint64)
-    met = prefixes(single, threshold, n, often).dropDuplicates(["h", "sig"])
-    counts = met.groupBy("h").count().where("count > 1").select("h", "count")
-    buckets = materialize(met.join(counts, "h"), "near-buckets")
-    edges = None
-    labelled = buckets.withColumn("label", F.col("sig"))
-    for turn in range(HUB_ROUNDS + 1):
-        salt = turn if turn < HUB_ROUNDS else None
-        pairs = materialize(bucket_pairs(labelled.drop("count"), threshold, salt), "near-pairs")
-        found = materialize(verified(pairs, docs, least, threshold, n), "near-links")
-        edges = found if edges is None else edges.unionByName(found)
-        parts = materialize(connected_components(edges, "near-cc").withColumnRenamed("node", "sig"), "near-parts")
-        large = buckets.where(F.col("count") > SMALL)
-        if large.isEmpty():
-            break
-        labelled = large.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    own = materialize(sketches(docs, threshold, shingle_words), "near-sketches")
+    nodes = own.groupBy("sig").agg(F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("pre").alias("pre"))
+    nodes = materialize(nodes, "near-nodes")
+    least = nodes.select("sig", "least_id")
+    often = nodes.select(F.explode("pre").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
+    often = np.array([r.h for r in often.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()], np.int64)
+    often = np.sort(often.view(np.uint64))
+    rows = nodes.select(F.explode("pre").alias("h"), "sig", F.col("size").cast("long").alias("size"), "fp")
+    if len(often):
+        shared = docs.sparkSession.sparkContext.broadcast(often)
+
+        def holds(batch: pa.RecordBatch) -> pa.RecordBatch:
+            lengths = batch.column("pre").value_lengths().to_numpy()
+            hit = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=among(batch.column("pre").flatten().to_numpy().view(np.uint64), shared.value), minlength=len(lengths))
+            return pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(hit > 0)], names=["sig", "again"])
+
+        again = materialize(arrow_map(nodes.select("sig", "pre"), holds, "sig long, again boolean").where("again").select("sig"), "near-again")
+        again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+        late = of_some(docs, least.join(again, "sig").select(F.col("least_id").alias("doc_id")), shingle_words, often, threshold)
+        late = materialize(late.join(again, "sig"), "near-late").join(nodes.drop("pre"), "sig")
+        rows = nodes.join(again, "sig", "left_anti").select(F.explode("pre").alias("h"), "sig", F.col("size").cast("long").alias("size"), "fp")
+        rows = rows.unionByName(late.select(F.explode("pre").alias("h"), "sig", F.col("size").cast("long").alias("size"), "fp"))
+    buckets = shared_buckets(rows)
+    met = materialize(buckets.select("sig").distinct().join(least, "sig"), "near-met")
+    sets = materialize(of_some(docs, met.select(F.col("least_id").alias("doc_id")), shingle_words, None, threshold), "near-sets")
+    large = buckets.where(F.col("n") > SMALL)
+    pairs = candidates(buckets.where(F.col("n") <= SMALL).withColumn("label", F.col("sig")), threshold)
+    links = verified(pairs.unionByName(hub_pairs(large, threshold)), sets, threshold)
+    parts = materialize(connected_components(links, "near-cc").withColumnRenamed("node", "sig"), "near-parts")
+    left = large.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    left = materialize(left, "near-left")
+    mixed = left.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
+    more = verified(candidates(left.join(mixed, "h"), threshold), sets, threshold)
+    if not more.isEmpty():
+        parts = materialize(connected_components(links.unionByName(more), "near-cc").withColumnRenamed("node", "sig"), "near-parts")
     named = least.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     member = named.join(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "label").select("sig", "component_id")
-    return own.join(materialize(member, "near-members"), "sig").select("doc_id", "component_id")
+    return own.select("doc_id", "sig").join(materialize(member, "near-members"), "sig").select("doc_id", "component_id")
 
 
 def keep_first_near(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's id, as ``simhash.keep_first``; columns and null ids stay."""
+    """The rows of ``docs`` whose doc_id is its component's id; columns stay, and so do rows with a null doc_id.
+
+    Of rows that share a doc_id all stay if that id leads any of their components.
+    """
     gone_id = free_name(docs, "gone_id")
     found = near_copies(docs, threshold, shingle_words)
     gone = found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("leads")).where("not leads")
-    return docs.join(gone.select(F.col("doc_id").alias(gone_id)), F.col("doc_id") == F.col(gone_id), "left_anti")
+    gone = materialize(gone.select(F.col("doc_id").alias(gone_id)), "near-gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, F.col("doc_id") == F.col(gone_id), "left_anti")

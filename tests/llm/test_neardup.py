@@ -2,25 +2,32 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from fieldspark.llm import neardup
+from fieldspark.llm import neardup, simhash
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
 def kept(rows):
-    sets = {d: neardup.shingle_set((t or "").encode(), 5) for d, t in rows}
+    sets = {d: shingle_set(t) for d, t in rows}
     up = {d: d for d in sets}
     for a in sets:
         for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) > 0):
                 old, new = max(up[a], up[b]), min(up[a], up[b])
                 up = {d: new if u == old else u for d, u in up.items()}
     return {d for d in sets if up[d] == d}
 
 
-@pytest.mark.parametrize("small,hubs", [(neardup.SMALL, neardup.HUBS), (2, 1)])
-def test_near_copies_go(spark, monkeypatch, small, hubs):
+@pytest.mark.parametrize("small,hubs,bucket", [(neardup.SMALL, neardup.HUBS, neardup.BUCKET), (2, 1, 3)])
+def test_near_copies_go(spark, monkeypatch, small, hubs, bucket):
+    monkeypatch.setattr(neardup, "BUCKET", bucket)
     monkeypatch.setattr(neardup, "SMALL", small)
     monkeypatch.setattr(neardup, "HUBS", hubs)
     rng = random.Random(3)
@@ -47,3 +54,44 @@ def test_stage_on_corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()} == kept(rows)
+
+
+def test_repeated_ids_and_other_columns_stay(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long, "x"), (1, "other words altogether", "y"), (2, long + " end", "z"), (None, long, "n"), (3, None, "a"), (4, "  ", "b")]
+    out = corpus_pipeline.simhash_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, gone_id string"), "")
+    assert sorted(r.gone_id for r in out.collect()) == ["a", "n", "x", "y"]
+    assert corpus_pipeline.simhash_dedup(spark, out.limit(0), "").count() == 0
+
+
+def test_a_large_group_of_one_fingerprint(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 50)
+    fp = np.zeros(40, np.uint64)
+    labels = simhash.Labels(40)
+    pairs = [p for i, j in simhash.trie_pairs(np.zeros(40, np.int64), fp, 4, labels) for p in zip(i, j, strict=True)]
+    assert sorted(pairs) == [(i, j) for i in range(40) for j in range(i + 1, 40)]
+
+
+def test_trie_splits_and_prunes():
+    rng = np.random.default_rng(5)
+    fp = np.sort(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    base = fp[:40]
+    fp = np.unique(np.concatenate([fp, base ^ (np.uint64(1) << rng.integers(0, 63, 40).astype(np.uint64)), base ^ np.uint64(0b11111)]))
+    tally = {}
+    label = simhash.trie_self_join(np.zeros(len(fp), np.int64), fp, 4, tally)
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4
+    want = simhash.Labels(len(fp))
+    want.link(*np.nonzero(near))
+    assert (label == want.label).all() and len(np.unique(label)) < len(fp)
+    assert tally["split"] > 0 and tally["pruned"] > 0 and tally["compared"] < len(fp) ** 2 / 4
+
+
+def test_trie_descends_on_the_corpus(spark):
+    """The distinct fingerprints of a table, dealt as the operator deals them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    fps = simhash.fingerprints(docs).select("fp").distinct()
+    rows = simhash.dealt(fps, 4, 5).toPandas().sort_values(["bucket", "fp"])
+    order = np.lexsort((rows.fp.to_numpy().view(np.uint64), rows.bucket.to_numpy()))
+    tally = {}
+    simhash.trie_self_join(rows.bucket.to_numpy()[order], rows.fp.to_numpy()[order].view(np.uint64), 4, tally)
+    assert tally["split"] > 0 and tally["pruned"] > 0
