@@ -2,8 +2,10 @@
 
 A fingerprint of all bits can't be searched at the distance that a similarity of 0.8 means (15 % of the bits), so a
 shared shingle deals the documents to buckets: two sets of similarity ``t`` share one of the first n - ceil(t n) + 1
-members of each in any common order. The order is by hash with frequent members last; it decides the cost only. Inside
-a bucket the trie self-join of ``simhash`` gives the pairs within ``BUDGET`` differing bits, and the pairs are verified
+members of each in any common order. The order is by hash with frequent members last; it decides the cost only. More
+than PREFIX members aren't needed: for none of so many to be shared, the least PREFIX members of the union must all be
+in one set alone, for which the chance is 0.2 ** 12, four in a billion, at a similarity of 0.8 and less above. Inside a
+bucket the trie self-join of ``simhash`` gives the pairs within ``BUDGET`` differing bits, and the pairs are verified
 on the shingle hashes themselves.
 
 Equal sets are one node. A large bucket first meets its hubs only, the members nearest to its bitwise majority; the
@@ -31,6 +33,7 @@ FREQUENT, PAIRS = 100_000, 500_000
 #: Differing bits of candidates. At a similarity of 0.8 a bit differs with a chance of 0.152, so 9.7 of 64 do (standard
 #: deviation 2.9); more than 24 have a chance below one in a million.
 BUDGET = 24
+PREFIX = 12
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,7 +64,7 @@ def majority(h: np.ndarray) -> int:
 
 
 def prefix(h: np.ndarray, threshold: float) -> np.ndarray:
-    return h[: len(h) - ceil(len(h) * threshold - 1e-9) + 1]
+    return h[: min(PREFIX, len(h) - ceil(len(h) * threshold - 1e-9) + 1)]
 
 
 def among(h: np.ndarray, rising: np.ndarray) -> np.ndarray:
@@ -79,7 +82,7 @@ def lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(docs: DataFrame, threshold: float, n: int) -> DataFrame:
-    """Rows (doc_id, sig, size, fp, pre): identity, size, fingerprint and prefix by hash of each document's shingle set."""
+    """Rows (doc_id, sig, size, fp, pre): its set's identity, size, fingerprint and prefix by hash of each document's shingle set."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_hashes(t, n) for t in batch.column("text").cast(pa.binary()).to_pylist()]
@@ -181,7 +184,7 @@ def hub_pairs(rows: DataFrame, threshold: float) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose shingle sets (sig, pre) have a Jaccard similarity of at least ``threshold``, as edges (src, dst)."""
-    both = pairs.distinct().join(sets.select(F.col("sig").alias("b"), F.col("pre").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("pre").alias("x")), "a")
+    both = pairs.join(sets.select(F.col("sig").alias("b"), F.col("pre").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("pre").alias("x")), "a")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         ok = []
@@ -211,14 +214,17 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5)
     (ties don't arise). An empty table gives an empty table; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    own = materialize(sketches(docs, threshold, shingle_words), "near-sketches")
-    nodes = own.groupBy("sig").agg(F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("pre").alias("pre"))
-    nodes = materialize(nodes, "near-nodes")
+    own = materialize(sketches(docs, threshold, shingle_words).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    least = own.groupBy("sig").agg(F.min(F.struct("doc_id", "row")).alias("x")).select("sig", F.col("x.doc_id").alias("least_id"), "x.row")
+    least = materialize(least, "near-distinct")
+    least = F.broadcast(least) if least.count() <= BROADCAST_ROWS else least
+    nodes = materialize(own.drop("doc_id").join(least, ["sig", "row"]).select("sig", "least_id", F.col("size").cast("long").alias("size"), "fp", "pre"), "near-nodes")
     least = nodes.select("sig", "least_id")
     often = nodes.select(F.explode("pre").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
     often = np.array([r.h for r in often.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()], np.int64)
     often = np.sort(often.view(np.uint64))
-    rows = nodes.select(F.explode("pre").alias("h"), "sig", F.col("size").cast("long").alias("size"), "fp")
+    listed = lambda d: d.select(F.explode("pre").alias("h"), "sig", "size", "fp")
+    rows = listed(nodes)
     if len(often):
         shared = docs.sparkSession.sparkContext.broadcast(often)
 
@@ -230,20 +236,25 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5)
         again = materialize(arrow_map(nodes.select("sig", "pre"), holds, "sig long, again boolean").where("again").select("sig"), "near-again")
         again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
         late = of_some(docs, least.join(again, "sig").select(F.col("least_id").alias("doc_id")), shingle_words, often, threshold)
-        late = materialize(late.join(again, "sig"), "near-late").join(nodes.drop("pre"), "sig")
-        rows = nodes.join(again, "sig", "left_anti").select(F.explode("pre").alias("h"), "sig", F.col("size").cast("long").alias("size"), "fp")
-        rows = rows.unionByName(late.select(F.explode("pre").alias("h"), "sig", F.col("size").cast("long").alias("size"), "fp"))
+        late = materialize(late.join(again, "sig").dropDuplicates(["sig"]), "near-late").join(nodes.drop("pre"), "sig")
+        rows = listed(nodes.join(again, "sig", "left_anti")).unionByName(listed(late))
     buckets = shared_buckets(rows)
-    met = materialize(buckets.select("sig").distinct().join(least, "sig"), "near-met")
-    sets = materialize(of_some(docs, met.select(F.col("least_id").alias("doc_id")), shingle_words, None, threshold), "near-sets")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(least, "sig").select(F.col("least_id").alias("doc_id"))
+        return materialize(of_some(docs, ids, shingle_words, None, threshold), "near-sets")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs.distinct(), "near-pairs")
+        return verified(pairs, sets_of(pairs), threshold)
+
     large = buckets.where(F.col("n") > SMALL)
     pairs = candidates(buckets.where(F.col("n") <= SMALL).withColumn("label", F.col("sig")), threshold)
-    links = verified(pairs.unionByName(hub_pairs(large, threshold)), sets, threshold)
+    links = links_of(pairs.unionByName(hub_pairs(large, threshold)))
     parts = materialize(connected_components(links, "near-cc").withColumnRenamed("node", "sig"), "near-parts")
-    left = large.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    left = materialize(left, "near-left")
+    left = materialize(large.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig")), "near-left")
     mixed = left.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    more = verified(candidates(left.join(mixed, "h"), threshold), sets, threshold)
+    more = links_of(candidates(left.join(mixed, "h"), threshold))
     if not more.isEmpty():
         parts = materialize(connected_components(links.unionByName(more), "near-cc").withColumnRenamed("node", "sig"), "near-parts")
     named = least.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
