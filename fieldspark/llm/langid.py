@@ -34,7 +34,7 @@ STARTS = [a for a, _ in SCRIPTS]
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)
 #: Words whose scores a worker keeps, longest word kept, and letters of longer ones held before they go.
-KEPT, LONG, LONG_LETTERS = 120_000, 64, 1_000_000
+KEPT, LONG, LONG_LETTERS = 80_000, 64, 1_000_000
 LATIN_1 = re.compile("[a-zªµºß-öø-ÿ]+")
 ANY = regex.compile(r"\p{L}+")
 
@@ -309,7 +309,7 @@ def label_group(m: Model, lows: list[str], texts: list[list[str]]) -> list[tuple
     return out
 
 
-def label_texts(m: Model, texts: list[str | None], group: int = 500_000) -> list[tuple[str, float, list[dict]]]:
+def label_texts(m: Model, texts: list[str | None], group: int = 250_000) -> list[tuple[str, float, list[dict]]]:
     """(prediction, score, spans) of each text; texts go together until a group has ``group`` words."""
     if not m.languages:
         return [("und", 0.0, [])] * len(texts)

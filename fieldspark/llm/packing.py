@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from fieldspark.llm.common import arrow_map, materialize
 
 #: Pre-tokens kept by a worker in each of two generations.
-KEPT = 150_000
+KEPT = 100_000
 #: The tokenizer's split of lower-cased Latin-1 text; what it can't be sure of is left to the library.
 LETTERS, DIGITS, WHITE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 PRE_TOKEN = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{DIGITS}]|[^{WHITE}{LETTERS}{DIGITS}]+")
