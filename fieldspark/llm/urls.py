@@ -1,25 +1,27 @@
 """URL filters: host rules, word segmentation of hosts by unigram Viterbi, naive Bayes over the segmented tokens.
 
-The unigram model counts the words of all pages' titles, headings and paths (host names are what it splits); a page
-whose tokens hold a seed word is a positive example for naive Bayes, every other page a negative one. Both
-tables are aggregated by Spark; what reaches the tasks is bounded by ``max_words`` and ``max_tokens``.
+The unigram model counts the words of all pages' titles, headings and paths (host names are what it splits). Every
+distinct name meets the counts of its own substrings by a join, so the vocabulary is whole and a task holds no more
+than one name's words. No table labels pages, so rows whose segmented host or path holds a seed word are the positive
+examples, every other row a negative one; token counts, odds and the scores of each URL are aggregated and joined by
+Spark, over all tokens.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 from math import log
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import arrow_map, materialize
+from fieldspark.llm.common import BROADCAST_ROWS, arrow_map, materialize
 
-#: Words of names that sell what a corpus doesn't want; a parameter of ``train``.
+#: Words of names that sell what a corpus doesn't want: the supervision, a parameter of ``judge``.
 SEEDS = ("adult", "bet", "bets", "betting", "casino", "escort", "gambling", "jackpot", "lottery", "malware", "phishing", "pills", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "win", "xxx")
+#: Letters of the longest word of the unigram model; longer words, and those of one letter, are unknown to it.
 MAX_WORD = 24
 
 
@@ -65,143 +67,108 @@ def match_rules(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return pages.withColumns({"rule": F.col("__fit.rule"), "rule_verdict": F.col("__fit.verdict")}).drop("__fit")
 
 
-@dataclass
-class Segmenter:
-    """Unigram Viterbi: the split of a name into words of greatest probability."""
-
-    counts: dict[str, int]
-    total: int
-
-    def __post_init__(self):
-        self.logp = {w: log(n / self.total) for w, n in self.counts.items()}
-        self.cached = lru_cache(maxsize=200_000)(self._split)
-
-    def __getstate__(self):
-        return {"counts": self.counts, "total": self.total}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.__post_init__()
-
-    def _split(self, name: str) -> tuple[str, ...]:
-        if len(name) > 256:
-            return (name,)
-        best, back = [0.0], [0]
-        floor = -log(self.total + 1) - 2.0
-        for j in range(1, len(name) + 1):
-            options = []
-            for i in range(max(0, j - MAX_WORD), j):
-                p = self.logp.get(name[i:j])
-                if p is None:  # unknown words cost more the longer they are
-                    p = floor - 2.5 * (j - i)
-                options.append((best[i] + p, i))
-            score, i = max(options)
-            best.append(score)
-            back.append(i)
-        words, j = [], len(name)
-        while j:
-            words.append(name[back[j] : j])
-            j = back[j]
-        return tuple(reversed(words))
-
-    def split(self, name: str) -> tuple[str, ...]:
-        return self.cached(name)
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Segmented words of host labels and path parts, marked by where they stand; digits are one token."""
-        out = []
-        for where, text in (("h", host), ("p", path.lower())):
-            for part in re.findall(r"[^\W\d_]+|\d+", text):
-                out += [f"{where}:#"] if part[0].isdigit() else [f"{where}:{w}" for w in self.split(part)]
-        return out
-
-
-@dataclass
-class Bayes:
-    """Multinomial naive Bayes: log-odds of each token for the blocked class."""
+def best_split(name: str, logp: dict[str, float], floor: float) -> list[str]:
+    """Unigram Viterbi: the split of a name into words of greatest probability; unknown words cost more the longer they are."""
+    best, back = [0.0], [0]
+    for j in range(1, len(name) + 1):
+        options = []
+        for i in range(max(0, j - MAX_WORD), j):
+            p = logp.get(name[i:j])
+            options.append((best[i] + (floor - 2.5 * (j - i) if p is None else p), i))
+        score, i = max(options)
+        best.append(score)
+        back.append(i)
+    words, j = [], len(name)
+    while j:
+        words.append(name[back[j] : j])
+        j = back[j]
+    return words[::-1]
 
-    odds: dict[str, float]
-    prior: float
-    unknown: float
 
-    def score(self, tokens: list[str]) -> float:
-        return self.prior + sum(self.odds.get(t, self.unknown) for t in tokens)
+def counted(df: DataFrame) -> DataFrame:
+    """The written table ``df``, marked for broadcast if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS // 4 else df
 
 
-def most_frequent(counts: DataFrame, key: str, n: Column, most: int) -> list:
-    """About ``most`` rows of the table ``counts`` with the greatest ``n``, found by classes of n.
-
-    Classes (eight to a doubling) are counted first, so that no more than the rows wanted reach the driver, from
-    however many tasks; the last class is admitted by a hash of the key as far as there is room.
-    """
-    rows = counts.withColumn("__class", F.floor(F.log2(n.cast("double") + 1) * 8))
-    sizes = {r["__class"]: r["count"] for r in rows.groupBy("__class").count().collect()}
-    room, last, share = most, None, 0.0
-    for c in sorted(sizes, reverse=True):
-        if sizes[c] > room:
-            last, share = c, room / sizes[c]
-            break
-        room -= sizes[c]
-    if last is not None:
-        part = (F.col("__class") == last) & (F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
-        rows = rows.where((F.col("__class") > last) | part)
-    return rows.drop("__class").collect()
-
-
-def unigrams(pages: DataFrame, seeds: tuple[str, ...] = SEEDS, max_words: int = 100_000) -> Segmenter:
-    """Word counts of all pages' titles, headings and paths, with the seed words; the ``max_words`` most frequent stay."""
+def unigrams(pages: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+    """Rows (w, n): counts of the words of all pages' titles, headings and paths; seed words have the mean at least."""
     _, path = split_url(F.col("url"))
     html = F.coalesce(F.col("html"), F.lit("")) if "html" in pages.columns else F.lit("")
     heads = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<(?:title|h1)[^>]*>(.*?)</(?:title|h1)>"), F.lit(1)), " ")
     text = F.concat_ws(" ", path, heads)
     words = pages.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("w")).where(F.length("w").between(2, MAX_WORD))
-    top = most_frequent(materialize(words.groupBy("w").agg(F.count("*").alias("n")), "url-words"), "w", F.col("n"), max_words)
-    counts = {r["w"]: r["n"] for r in top}
-    mean = max(1, sum(counts.values()) // max(1, len(counts)))
-    for w in seeds:
-        counts[w] = max(counts.get(w, 0), mean)
-    return Segmenter(counts, max(2, sum(counts.values())))
+    counts = materialize(words.groupBy("w").agg(F.count("*").alias("n")), "url-words")
+    mean = counts.agg(F.greatest(F.lit(1), F.floor(F.sum("n") / F.count("*")))).first()[0] or 1
+    own = pages.sparkSession.createDataFrame([(w, int(mean)) for w in sorted(set(seeds))], "w string, n long")
+    return counts.unionByName(own).groupBy("w").agg(F.max("n").alias("n"))
+
+
+def segments(names: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows (name, words array<string>) of the distinct ``names``, split by the counts ``words`` (w, n)."""
+    words = materialize(words, "url-unigrams")
+    total = max(2, words.agg(F.sum("n")).first()[0] or 0)
+    names = names.select("name").distinct()
+    at = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i"))
+    part = at.select("name", "i", F.explode(F.sequence(F.lit(2), F.least(F.lit(MAX_WORD), F.length("name") - F.col("i") + 1).cast("int"))).alias("k")).where("i + k <= length(name) + 1 AND k > 1")
+    found = part.select("name", F.substring(F.col("name"), F.col("i"), F.col("k")).alias("w")).distinct().join(counted(words), "w")
+    known = found.groupBy("name").agg(F.collect_list(F.struct("w", "n")).alias("known"))  # at most MAX_WORD a letter of one name
 
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for name, own in zip(batch.column("name").to_pylist(), batch.column("known").to_pylist(), strict=True):
+            out.append(best_split(name, {x["w"]: log(x["n"] / total) for x in own or ()}, -log(total + 1) - 2.0))
+        return pa.RecordBatch.from_arrays([batch.column("name"), pa.array(out, pa.list_(pa.string()))], names=["name", "words"])
 
-def train(urls: DataFrame, segmenter: Segmenter, seeds: tuple[str, ...] = SEEDS, max_tokens: int = 200_000, alpha: float = 1.0) -> Bayes:
-    """Token counts of both classes over all (host, path) rows; a row is positive if its host or path has a seed word."""
-    shared, bad = urls.sparkSession.sparkContext.broadcast(segmenter), frozenset(seeds)
+    return arrow_map(names.join(known, "name", "left"), one, "name string, words array<string>")
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = [shared.value.tokens(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
-        blocked = [any(t[2:] in bad for t in ts) for ts in tokens]
-        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.list_(pa.string())), pa.array(blocked, pa.bool_())], names=["tokens", "blocked"])
-
-    found = arrow_map(urls.select("host", "path"), one, "tokens array<string>, blocked boolean")
-    rows = found.select(F.explode(F.concat("tokens", F.array(F.lit("")))).alias("t"), "blocked").groupBy("t").agg(F.count_if("blocked").alias("bad"), F.count_if(~F.col("blocked")).alias("good"))
-    rows = most_frequent(materialize(rows, "url-tokens"), "t", F.col("bad") + F.col("good"), max_tokens)
-    counts = {r["t"]: (r["bad"], r["good"]) for r in rows}
-    n_bad, n_good = counts.pop("", (0, 0))
-    size = len(counts) + 1
-    bad_total, good_total = (sum(c[i] for c in counts.values()) + alpha * size for i in (0, 1))
-    odds = {t: log((b + alpha) / bad_total) - log((g + alpha) / good_total) for t, (b, g) in counts.items()}
-    return Bayes(odds, log((n_bad + 1) / (n_good + 1)), log(alpha / bad_total) - log(alpha / good_total) if n_bad else 0.0)
-
-
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS, max_words: int = 100_000, threshold: float = 0.0) -> DataFrame:
+
+def tokenized(urls: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows (id, tokens): the segmented words of host labels and path parts of ``urls`` (id, host, path), in order.
+
+    Tokens are marked by where they stand; a run of digits is one token.
+    """
+    marked = lambda where: lambda x: F.struct(F.lit(where).alias("where"), x.alias("name"))
+    runs = lambda text: F.regexp_extract_all(text, F.lit(r"(\p{L}+|\p{Nd}+)"), F.lit(1))
+    parts = F.concat(F.transform(runs(F.col("host")), marked("h")), F.transform(runs(F.lower("path")), marked("p")))
+    rows = materialize(urls.select("id", F.posexplode(parts)).select("id", "pos", "col.where", "col.name"), "url-parts")
+    digits = F.col("name").rlike(r"^\p{Nd}")
+    split = counted(materialize(segments(rows.where(~digits), words), "url-segments"))
+    named = rows.where(~digits).join(split, "name").select("id", "pos", F.transform("words", lambda w: F.concat(F.col("where"), F.lit(":"), w)).alias("t"))
+    named = named.unionByName(rows.where(digits).select("id", "pos", F.array(F.concat(F.col("where"), F.lit(":#"))).alias("t")))
+    return named.groupBy("id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"])).alias("tokens"))
+
+
+def bayes(rows: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, float, float]:
+    """(rows (t, odds), odds of a token never seen, prior): multinomial naive Bayes of ``rows`` (tokens, n, blocked).
+
+    Every token of every row counts, ``n`` times.
+    """
+    sums = lambda c: (F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias("bad"), F.coalesce(F.sum(F.when(~c, F.col("n"))), F.lit(0)).alias("good"))
+    n_bad, n_good = rows.agg(*sums(F.col("blocked"))).first()
+    counts = materialize(rows.select(F.explode("tokens").alias("t"), "n", "blocked").groupBy("t").agg(*sums(F.col("blocked"))), "url-tokens")
+    bad, good, size = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0)), F.count("*")).first()
+    bad, good = bad + alpha * (size + 1), good + alpha * (size + 1)
+    odds = F.log((F.col("bad") + alpha) / F.lit(bad)) - F.log((F.col("good") + alpha) / F.lit(good))
+    return counts.select("t", odds.alias("odds")), log(alpha / bad) - log(alpha / good) if n_bad else 0.0, log((n_bad + 1) / (n_good + 1))
+
+
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS, threshold: float = 0.0) -> DataFrame:
     """One row a page: page_id, host, path, rule, verdict, tokens, score.
 
     The longest rule that fits decides; else the page is blocked if its log-odds are above ``threshold``. Null URLs
     and ones without ``://`` have empty host and path, no tokens, and the verdict of the prior alone. Rows that share
-    a page_id or a URL are judged each on its own; other columns are ignored; an empty table gives an empty table.
+    a page_id or a URL are judged each on its own, equally; very long names are segmented whole; equal odds block
+    nothing; other columns are ignored; an empty table gives an empty table.
     """
     host, path = split_url(F.col("url"))
-    urls = match_rules(pages.select("page_id", host.alias("host"), path.alias("path")), rules)
-    segmenter = unigrams(pages, seeds, max_words)
-    shared = pages.sparkSession.sparkContext.broadcast((segmenter, train(urls, segmenter, seeds)))
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        segment, bayes = shared.value
-        tokens = [segment.tokens(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
-        scores = [bayes.score(t) for t in tokens]
-        verdicts = [v or ("block" if s > threshold else "allow") for v, s in zip(batch.column("rule_verdict").to_pylist(), scores, strict=True)]
-        columns = [batch.column(c) for c in ("page_id", "host", "path", "rule")]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(verdicts, pa.string()), pa.array(tokens, pa.list_(pa.string())), pa.array(scores, pa.float64())], names=["page_id", "host", "path", "rule", "verdict", "tokens", "score"])
-
-    urls = urls.withColumn("page_id", F.col("page_id").cast("long"))
-    return arrow_map(urls, one, "page_id long, host string, path string, rule string, verdict string, tokens array<string>, score double")
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
+    urls = materialize(own.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "url-distinct")
+    tokens = urls.join(tokenized(urls, unigrams(pages, seeds)), "id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    tokens = materialize(tokens.withColumn("blocked", F.exists("tokens", lambda t: F.substring(t, 3, MAX_WORD + 1).isin(*seeds))), "url-tokenized")
+    odds, unknown, prior = bayes(tokens)
+    told = tokens.select("id", F.explode("tokens").alias("t")).join(counted(materialize(odds, "url-odds")), "t", "left")
+    scores = told.groupBy("id").agg(F.round(F.sum(F.coalesce("odds", F.lit(unknown))), 9).alias("sum"))
+    scored = tokens.join(scores, "id", "left").select("host", "path", "tokens", (F.lit(prior) + F.coalesce("sum", F.lit(0.0))).alias("score"))
+    out = match_rules(own, rules).join(counted(materialize(scored, "url-scores")), ["host", "path"])
+    verdict = F.coalesce("rule_verdict", F.when(F.col("score") > threshold, "block").otherwise("allow"))
+    return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "tokens", "score")

@@ -1,10 +1,11 @@
 """Each operator against a plain version of its rule."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -57,6 +58,70 @@ def test_mixed_text_has_spans(spark, docs):
     assert abs(row.spans[1].start - 3 * len(en)) < 40 and row.spans[0].end == row.spans[1].start
 
 
+def plain_label(m, text):
+    """Prediction and score, word by word and n-gram by n-gram, with the whole chain."""
+    words = [w for w in re.findall(r"[^\W\d_]+", (text or "").lower()) if w.isalpha()]
+    if not words:
+        return "und", 0.0
+    mask, paths = (1 << 64) - 1, {x: (m.prior[x], ()) for x in range(len(m.languages))}
+    for at, word in enumerate(words):
+        codes = [2, *map(ord, word), 2]
+        total = np.zeros(len(m.languages))
+        for k in (1, 2, 3, 4):
+            for i in range(len(codes) - k + 1):
+                run = codes[i : i + k]
+                if run == [2] or 2 in run[1:-1]:
+                    continue
+                h = 0
+                for size, c in enumerate(run, 1):
+                    h = (h * 0x9E3779B97F4A7C15 & mask) ^ (c + size)
+                total += m.table[(h * 0xFF51AFD7ED558CCD & mask) >> 40 & (langid.BUCKETS - 1)]
+        able = m.scripts.get(langid.script_of(word[0]), range(len(m.languages)))
+        top = max(paths, key=lambda x: paths[x][0])
+        step = {}
+        for x in able:
+            stay = paths.get(x, (-np.inf, ()))
+            move = (paths[top][0] - m.switch_cost, paths[top][1])
+            best = move if at and move[0] > stay[0] else stay
+            step[x] = (best[0] + total[x], (best[1], x))
+        paths = step
+    path, letters = max(paths.values(), key=lambda p: p[0])[1], [0] * len(m.languages)
+    for word in reversed(words):
+        path, x = path
+        letters[x] += len(word)
+    return m.languages[int(np.argmax(letters))], max(letters) / sum(letters)
+
+
+def test_language_against_the_plain_chain(spark, docs, texts):
+    model = langid.train(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op1_language_id"](spark, SF).collect()}
+    for doc_id, text in texts.items():
+        want = plain_label(model, text)
+        assert got[doc_id][0] == want[0] and np.isclose(got[doc_id][1], want[1]), doc_id
+
+
+def test_language_eviction_changes_nothing(docs, monkeypatch):
+    model = langid.train(docs)
+    some = [r.text for r in docs.orderBy("doc_id").limit(60).collect()]
+    want = langid.label_texts(model, some)
+    monkeypatch.setattr(langid, "KEPT", 50)
+    monkeypatch.setattr(langid, "LONG", 6)
+    monkeypatch.setattr(langid, "LONG_LETTERS", 100)
+    model.index, model.scores, model.hits = {}, None, None
+    assert langid.label_texts(model, some, group=40) == want
+
+
+def test_other_scripts_are_no_candidates():
+    table = np.zeros((langid.BUCKETS, 2), np.float32)
+    table[:, 0] = -20  # the only language of Cyrillic is a bad match for everything
+    model = langid.Model(["ru", "en"], table, np.zeros(2), {"Cyrillic": np.array([0]), "Latin": np.array([1])})
+    long = "невероятнодлинноеслово" * 5
+    (one, two, three) = langid.label_texts(model, [long, f"some english words {long} and more", "123 ½ ²"])
+    assert one[:2] == ("ru", 1.0) and three == ("und", 0.0, [])
+    assert [(s["lang"], s["start"]) for s in two[2]] == [("en", 0), ("ru", 19), ("en", 20 + len(long))]
+    assert np.isneginf(model.score([long])[0, 1]) and np.isfinite(model.score(["ไทย"])).all()
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(0)
     for _ in range(20):
@@ -233,17 +298,59 @@ def test_url_rules(spark):
     assert bad and all(r.verdict == "block" for r in bad)
 
 
-def test_most_frequent_is_bounded(spark):
-    rows = spark.range(3000).select(F.col("id").cast("string").alias("w"), F.when(F.col("id") < 10, 1000 + F.col("id")).otherwise(1).alias("n"))
-    top = urls.most_frequent(rows, "w", F.col("n"), 100)
-    assert {str(i) for i in range(10)} <= {r.w for r in top} and 50 < len(top) < 150
-    assert len(urls.most_frequent(rows, "w", F.col("n"), 5000)) == 3000
-
-
-def test_segmentation_is_the_best_split():
-    s = urls.Segmenter({"free": 5, "casino": 3, "win": 4, "wins": 1, "in": 9}, 22)
-    assert s.split("freecasinowin") == ("free", "casino", "win")
-    assert s.split("") == () and s.split("zz") == ("zz",)
+def test_url_bayes_and_segments_over_all_pages(spark):
+    """Every token and score, from plain counts of the whole table."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    parts = lambda url: re.match(r"([^/?#]*)([^?#]*)", (url or "").partition("://")[2]).groups()
+    counts = Counter()
+    for r in pages:
+        heads = " ".join(x[1] for x in re.findall(r"(?is)<(title|h1)[^>]*>(.*?)</(?:title|h1)>", r.html or ""))
+        counts.update(w for w in re.split(r"[\W\d_]+", f"{parts(r.url)[1]} {heads}".lower()) if 2 <= len(w) <= urls.MAX_WORD)
+    mean = max(1, sum(counts.values()) // len(counts))
+    for w in urls.SEEDS:
+        counts[w] = max(counts[w], mean)
+    total = sum(counts.values())
+    logp = {w: math.log(n / total) for w, n in counts.items()}
+    tokens = {}
+    for r in pages:
+        host, path = parts(r.url)
+        tokens[r.page_id] = [
+            f"{where}:{w}" for where, text in (("h", host.lower()), ("p", path.lower())) for x in re.findall(r"[^\W\d_]+|\d+", text)
+            for w in (["#"] if x[0].isdigit() else urls.best_split(x, logp, -math.log(total + 1) - 2.0))
+        ]
+    bad, good, n_bad = Counter(), Counter(), 0
+    for ts in tokens.values():
+        blocked = any(t[2:] in urls.SEEDS for t in ts)
+        n_bad += blocked
+        (bad if blocked else good).update(ts)
+    size = len(bad.keys() | good.keys()) + 1
+    odds = lambda t: math.log((bad[t] + 1) / (bad.total() + size)) - math.log((good[t] + 1) / (good.total() + size))
+    prior = math.log((n_bad + 1) / (len(tokens) - n_bad + 1))
+    got = {r.page_id: r for r in QUERIES["op7_url_filters"](spark, SF).collect()}
+    assert len(got) == len(tokens)
+    for page_id, ts in tokens.items():
+        assert got[page_id].tokens == ts
+        assert abs(got[page_id].score - prior - sum(map(odds, ts))) < 1e-6
+        assert got[page_id].rule or (got[page_id].verdict == "block") == (prior + sum(map(odds, ts)) > 0)
+
+
+def test_segmentation_is_the_best_split(spark):
+    rows = [("free", 5), ("casino", 3), ("win", 4), ("wins", 1), ("in", 9)]
+    logp = {w: math.log(n / 22) for w, n in rows}
+    assert urls.best_split("freecasinowin", logp, -5.0) == ["free", "casino", "win"]
+    assert urls.best_split("", logp, -5.0) == [] and urls.best_split("zz", logp, -5.0) == ["zz"]
+    names = spark.createDataFrame([("freecasino" * 30,), ("winsin",), ("x",), ("winsin",)], "name string")
+    got = {r.name: r.words for r in urls.segments(names, spark.createDataFrame(rows, "w string, n long")).collect()}
+    assert got == {"freecasino" * 30: ["free", "casino"] * 30, "winsin": ["wins", "in"], "x": ["x"]}
+
+
+def test_long_and_repeated_urls(spark):
+    long = "http://" + "a" * 5000 + ".example.com/" + "freebets" * 500
+    rows = [(1, long, None), (2, long, "<title>free</title>"), (2, None, None), (3, "no scheme", ""), (None, "http://x.net/casino", "")]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id or 0, r.host[:3]) for r in got) == [(0, "x.n"), (1, "aaa"), (2, ""), (2, "aaa"), (3, "")]
+    assert len({(tuple(r.tokens), r.score, r.verdict) for r in got if r.host[:1] == "a"}) == 1
+    assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
 @pytest.mark.parametrize("max_bytes", [1 << 25, 1])
@@ -315,8 +422,10 @@ def test_pipeline_stages(spark, docs, texts):
                 held[x.strip()].add(d)
     gone = {k: max(v) for k, v in held.items() if len(v) >= 3}
     assert deduped == {d: "\n".join(x for x in t.split("\n") if gone.get(x.strip().encode().lower(), d) == d) for d, t in lang.items()}
-    fps = {d: plain_fingerprint(t) for d, t in deduped.items()}
-    part = components(sorted(fps), [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 4])
+    split = {d: (t or "").encode().lower().split() for d, t in deduped.items()}
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for d, w in split.items()}
+    alike = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
+    part = components(sorted(sets), [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])])
     assert unique == {d: t for d, t in deduped.items() if part[d] == d}
     words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     sh = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
