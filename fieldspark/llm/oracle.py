@@ -33,8 +33,14 @@ c3 AS (SELECT u, v, w, count(*) AS c FROM g WHERE u IS NOT NULL GROUP BY ALL), n
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 4) AS log_score, round(s / n_words, 6) AS mean_log_score FROM documents d LEFT JOIN t USING (doc_id)
 """
 
-OP6 = r"""
-WITH t AS (
+LEDGER = r"""
+WITH labelled AS (
+  SELECT l.toxic, unnest(list_distinct(list_filter(regexp_split_to_array(lower(d.text), '[^\p{L}]+'), lambda x: x <> ''))) AS w FROM labels l JOIN documents d USING (doc_id) WHERE l.toxic IS NOT NULL AND d.text IS NOT NULL
+), lexicon AS (
+  SELECT w FROM labelled GROUP BY w HAVING count(*) FILTER (WHERE toxic = 1) >= 4 AND count(*) FILTER (WHERE toxic = 1) >= 20 * count(*) FILTER (WHERE toxic <> 1)
+), bad AS (
+  SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}]+')) AS w FROM documents) JOIN lexicon USING (w) GROUP BY doc_id
+), t AS (
   SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
 ), windows AS (
@@ -48,14 +54,26 @@ WITH t AS (
     coalesce(c.n, 0)::BIGINT AS n_repeat_words,
     CASE WHEN len(w) > 1 THEN len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) ELSE 0 END AS n_same,
     length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_capitals,
-    len(regexp_extract_all(lower(t), '\b(clown|disgusting|idiot|loser|moron|pathetic|scum|stupid|trash|worthless)\b')) AS n_insults
-  FROM t LEFT JOIN covered c ON c.doc_id = t.doc_id
+    coalesce(x.n, 0)::BIGINT AS n_toxic
+  FROM t LEFT JOIN covered c ON c.doc_id = t.doc_id LEFT JOIN bad x ON x.doc_id = t.doc_id
 ), b AS (
   SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END)
     + (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)
-    + (CASE WHEN 100 * n_same > 20 * n_words THEN 32 ELSE 0 END) + (CASE WHEN 100 * n_capitals > 40 * word_chars THEN 64 ELSE 0 END) + (CASE WHEN n_insults >= 2 THEN 128 ELSE 0 END) AS fail_bits FROM m
+    + (CASE WHEN 100 * n_same > 20 * n_words THEN 32 ELSE 0 END) + (CASE WHEN 100 * n_capitals > 40 * word_chars THEN 64 ELSE 0 END) + (CASE WHEN n_toxic >= 2 AND 1000 * n_toxic >= n_words THEN 128 ELSE 0 END) AS fail_bits FROM m
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits FROM b
+"""
+
+OP6 = LEDGER + """
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, n_toxic, fail_bits::BIGINT AS fail_bits,
+  (CASE WHEN bit_count(fail_bits) = 1 THEN fail_bits ELSE 0 END)::BIGINT AS lone_bit FROM b
+"""
+
+ABLATIONS = LEDGER + """
+, p AS (SELECT * FROM (VALUES ('base', 3), ('v1', 127), ('v2', 255)) v(policy, mask)), r AS (
+  SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('word_length', 16), ('repeated_words', 32), ('capitals', 64), ('toxic_words', 128)) v(rule, bit)
+)
+SELECT policy, rule, count(*) FILTER (WHERE (fail_bits & mask) <> 0) AS rejected, count(*) FILTER (WHERE (fail_bits & mask) = bit) AS only_rule
+FROM p JOIN r ON (mask & bit) <> 0 LEFT JOIN b ON TRUE GROUP BY policy, rule
 """
 
 OP9 = """
@@ -86,4 +104,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10}
+ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10}

@@ -25,10 +25,19 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fieldspark.llm.quality import apply_policy, ledger
+    from fieldspark.llm.quality import apply_policy, ledger, toxic_words
 
-    out = apply_policy(ledger(table(spark, sf_dir, "documents")), "v2")
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+    docs = table(spark, sf_dir, "documents")
+    out = apply_policy(ledger(docs, toxic_words(docs, table(spark, sf_dir, "labels"))), "v2")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_toxic", "fail_bits", "lone_bit")
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy of op6 rejects, and rejects alone, from the bits of the ledger."""
+    from fieldspark.llm.quality import ablations, ledger, toxic_words
+
+    docs = table(spark, sf_dir, "documents")
+    return ablations(ledger(docs, toxic_words(docs, table(spark, sf_dir, "labels"))))
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,4 +89,4 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
