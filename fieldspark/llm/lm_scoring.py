@@ -1,19 +1,19 @@
 """Stupid-backoff scores: n-gram count tables partitioned by hash, joined to the documents' n-grams, summed a document.
 
 1. Documents become blocks of about ``block_tokens`` words, coded by a dictionary of word hashes, in a shared table.
-2. Each block sends the distinct hashes of its n-grams of every order, with their counts there, to the hash range
-   (bucket) that they fall in. A bucket is one part of the count table: it adds its blocks' counts up.
-3. Buckets answer each block with the corpus counts in the order asked. The block joins them to its n-grams and sums
-   the scores of each document.
-
-A frequent n-gram is one entry a block, so no bucket grows with how often it occurs. What is gathered is as large as
-the corpus has distinct n-grams in its blocks; nothing but the number of words reaches the driver.
+2. Each block's n-grams of every order are exploded to rows (h, block_id, n), its repeats of one n-gram counted already.
+   The rows are partitioned by hash once; the count table is their sum by h.
+3. The table is joined to the rows on h, which gives each block how often its n-grams occur elsewhere. What only one
+   block has needs no answer. The block adds its own counts, and the scores of its documents are summed.
+
+A frequent n-gram is one row a block, so no partition grows with how often it occurs. Nothing but the numbers of words
+and blocks reaches the driver. Only the arithmetic inside a block is numpy's: one row a position, joined four times,
+would shuffle several times the input's size.
 """
 
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,21 +25,9 @@ from pyspark.sql import functions as F
 from fieldspark.llm.common import materialize
 
 WORDS = 400_000
-BLOCK = "block_id long, n_words long, doc_ids array<long>, lens binary, words binary, codes binary"
-
-
-def squeeze(values: np.ndarray) -> bytes:
-    """Integers with their bytes of like weight together, compressed."""
-    if not len(values):
-        return b""
-    return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
-
-
-def unsqueeze(data: bytes, kind: str) -> np.ndarray:
-    if not data:
-        return np.zeros(0, kind)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
+BLOCK = "block_id long, n_words long, doc_ids array<long>, lens array<int>, words array<int>, codes array<long>"
+#: Rows of n-grams in a partition.
+ROWS = 1_000_000
 
 
 def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
@@ -56,10 +44,10 @@ def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
             number = np.empty(len(order), np.uint32)
             number[order] = np.arange(len(order), dtype=np.uint32)
             codes, words = codes[order], number[words]
-            row = [[uuid.uuid4().int >> 65], [size], [ids], [squeeze(np.array(lens, np.int64))], [squeeze(words)], [squeeze(codes)]]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            row = [pa.array([uuid.uuid4().int >> 65]), pa.array([size], pa.int64()), one(pa.array(ids, pa.int64())), one(pa.array(lens, pa.int32())), one(pa.array(words.view(np.int32))), one(pa.array(codes.view(np.int64)))]
             ids, lens, hashes, size = [], [], [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=["block_id", "n_words", "doc_ids", "lens", "words", "codes"])
+            return pa.RecordBatch.from_arrays(row, names=["block_id", "n_words", "doc_ids", "lens", "words", "codes"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
@@ -85,89 +73,56 @@ def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     return view.mapInArrow(run, BLOCK)
 
 
-def hash_bits(total: int) -> int:
-    """Width of n-gram hashes: a given n-gram meets another one's hash with a chance of about one in a million at any size."""
-    return min(64, 20 + max(1, total).bit_length())
-
+def ngrams(lens: np.ndarray, hashes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order from 1 on: (64-bit hashes of the n-grams, the place of each one's last word); none crosses documents.
 
-def ngrams(lens: np.ndarray, hashes: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order from 1 on: (hashes of the n-grams, the place of each one's last word); none crosses documents."""
-    cut = np.uint64(64 - bits)
+    The orders are hashed apart.
+    """
     n = len(hashes)
     place = np.arange(n) - np.repeat(np.cumsum(lens) - lens, lens)
-    out = [(hashes >> cut, np.arange(n))]
-    h = hashes
-    for k in range(2, order + 1):
-        h = (h[: n - k + 1] * np.uint64(0x9E3779B97F4A7C15)) ^ hashes[k - 1 :]
+    h = np.zeros(n, np.uint64)
+    for k in range(1, order + 1):
+        h = ((h[: n - k + 1] if k > 1 else h) * np.uint64(0x9E3779B97F4A7C15)) ^ hashes[k - 1 :]
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
         at = np.flatnonzero(place[k - 1 :] >= k - 1)
-        out.append((h[at] >> cut, at + k - 1))
-    return out
+        yield h[at] + np.uint64(k), at + k - 1
 
 
-def open_block(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(lens, word hashes) of a block."""
-    return unsqueeze(row["lens"], "i8"), unsqueeze(row["codes"], "u8")[unsqueeze(row["words"], "u4")]
+def open_block(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return codes.view(np.uint64)[words]
 
 
-def partial_counts(blocks: DataFrame, order: int, buckets: int, bits: int) -> DataFrame:
-    """Rows (bucket, block_id, ord, hashes, counts): each block's distinct n-grams by hash range, in order of hash."""
-    edges = np.array([(i << bits) // buckets for i in range(1, buckets)], np.uint64)
+def exploded(blocks: DataFrame, order: int) -> DataFrame:
+    """Rows (h, block_id, n) of the blocks' n-grams, each once a block with its number there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                for k, (h, _) in enumerate(ngrams(*open_block(row), order, bits), 1):
-                    keys, counts = np.unique(h, return_counts=True)
-                    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                    out = [(b, row["block_id"], k, squeeze(np.diff(keys[i:j], prepend=np.uint64(0))), squeeze(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if i < j]
-                    columns = list(zip(*out, strict=True)) or [()] * 5
-                    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["bucket", "block_id", "ord", "hashes", "counts"])
-
-    return blocks.mapInArrow(run, "bucket int, block_id long, ord int, hashes binary, counts binary")
-
-
-def answers(partial: DataFrame) -> DataFrame:
-    """Rows (bucket, block_id, ord, counts): the corpus counts of what each block asked for, in its order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def total() -> pa.RecordBatch:
-            asked = [np.cumsum(unsqueeze(h, "u8"), dtype=np.uint64) for _, h, _ in held]
-            keys, place = np.unique(np.concatenate(asked), return_inverse=True)
-            sums = np.zeros(len(keys), np.int64)
-            np.add.at(sums, place, np.concatenate([unsqueeze(c, "i8") for _, _, c in held]))
-            ends = np.cumsum([len(a) for a in asked])[:-1]
-            counts = [squeeze(sums[p]) for p in np.split(place, ends)]
-            n = len(held)
-            return pa.RecordBatch.from_arrays([pa.array([key[0]] * n, pa.int32()), pa.array([b for b, _, _ in held], pa.int64()), pa.array([key[1]] * n, pa.int32()), pa.array(counts, pa.binary())], names=["bucket", "block_id", "ord", "counts"])
-
-        for batch in batches:
-            for bucket, block_id, k, h, c in zip(*(batch.column(n).to_pylist() for n in ("bucket", "block_id", "ord", "hashes", "counts")), strict=True):
-                if key != (bucket, k):
-                    if held:
-                        yield total()
-                    key, held = (bucket, k), []
-                held.append((block_id, h, c))
-        if held:
-            yield total()
+            for i in range(batch.num_rows):
+                lens, words, codes = (batch.column(c)[i].values.to_numpy() for c in ("lens", "words", "codes"))
+                for h, _ in ngrams(lens, open_block(words, codes), order):
+                    keys, n = np.unique(h, return_counts=True)
+                    for j in range(0, len(keys), 200_000):
+                        part = keys[j : j + 200_000]
+                        block_id = pa.array(np.full(len(part), batch.column("block_id")[i].as_py()))
+                        yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), block_id, pa.array(n[j : j + 200_000].astype(np.int32))], names=["h", "block_id", "n"])
 
-    dealt = partial.repartition("bucket", "ord").sortWithinPartitions("bucket", "ord")
-    return dealt.mapInArrow(run, "bucket int, block_id long, ord int, counts binary")
+    return blocks.select("block_id", "lens", "words", "codes").mapInArrow(run, "h long, block_id long, n int")
 
 
-def score_block(lens: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray], total: int, order: int, backoff: float, min_count: int, bits: int) -> np.ndarray:
-    """Sum of log scores of each document; ``counts[k-1]`` are of the block's distinct n-grams in order of hash."""
+def score_block(lens: np.ndarray, hashes: np.ndarray, others: tuple[np.ndarray, np.ndarray], total: int, order: int, backoff: float, min_count: int) -> np.ndarray:
+    """Sum of log scores of each document; ``others`` are rising hashes and how often other blocks have them."""
     n = len(hashes)
     if not n:
         return np.zeros(len(lens))
     of = []  # counts of the n-gram that ends at each word, 0 where there is none
-    for (h, at), c in zip(ngrams(lens, hashes, order, bits), counts, strict=True):
+    for h, at in ngrams(lens, hashes, order):
+        keys, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
+        if len(others[0]) and len(keys):
+            found = np.minimum(np.searchsorted(others[0], keys), len(others[0]) - 1)
+            counts = counts + np.where(others[0][found] == keys, others[1][found], 0)
         full = np.zeros(n, np.int64)
-        full[at] = c[np.unique(h, return_inverse=True)[1]] if len(at) else 0
+        full[at] = counts[inverse]
         of.append(full)
     best = np.log(of[0] / total)
     for k in range(1, order):
@@ -180,46 +135,40 @@ def score_block(lens: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray],
     return np.bincount(owner, weights=best, minlength=len(lens))
 
 
-def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2, block_tokens: int = 2_000_000, buckets: int | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2, block_tokens: int = 2_000_000, partitions: int | None = None) -> DataFrame:
     """Rows (doc_id long, n_words long, log_score double, mean_log_score double), one a document.
 
     A word's score is c(n-gram) / c(context) for the longest n-gram that the corpus (all of ``docs``) holds at least
     ``min_count`` times, times ``backoff`` for each shorter order; at last c(word) / all words. At a document's start
-    the orders that don't fit don't count as backing off. Counts are by hashes of
-    ``hash_bits`` of the number of words. Null, empty and blank texts
-    have no words, score 0 and a null mean. Rows that share a doc_id are scored each on its own and all count; other
-    columns are ignored; an empty table gives an empty table.
+    the orders that don't fit don't count as backing off. N-grams are told apart by 64-bit hashes. Null, empty and
+    blank texts have no words, score 0 and a null mean. Rows that share a doc_id are scored each on its own and all
+    count; other columns are ignored; an empty table gives an empty table.
     """
     spark = docs.sparkSession
     blocks = materialize(make_blocks(docs, block_tokens), "lm-blocks")
-    total = blocks.agg(F.sum("n_words")).first()[0] or 0
-    bits = hash_bits(total)
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 2_000_000, 1)
-    got = answers(partial_counts(blocks, order, buckets, bits))
-    both = blocks.withColumn("kind", F.lit(0)).unionByName(got.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    columns = ["block_id", "kind", "ord", "bucket", "doc_ids", "lens", "words", "codes", "counts"]
-    dealt = both.select(*columns).repartition("block_id").sortWithinPartitions("block_id", "kind", "ord", "bucket")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, held = None, {}
-
-        def close() -> pa.RecordBatch:
-            lens, hashes = open_block(row)
-            counts = [np.concatenate([unsqueeze(c, "i8") for c in held.get(k, [])] or [np.zeros(0, np.int64)]) for k in range(1, order + 1)]
-            sums = score_block(lens, hashes, counts, total, order, backoff, min_count, bits)
-            mean = pa.array(np.divide(sums, lens, out=np.zeros(len(lens)), where=lens > 0), mask=lens == 0)
-            return pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(lens, pa.int64()), pa.array(sums), mean], names=["doc_id", "n_words", "log_score", "mean_log_score"])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x = {n: batch.column(j)[i].as_py() for j, n in enumerate(columns)}
-                if x["kind"] == 0:
-                    if row is not None:
-                        yield close()
-                    row, held = x, {}
-                else:
-                    held.setdefault(x["ord"], []).append(x["counts"])
-        if row is not None:
-            yield close()
-
-    return dealt.mapInArrow(run, "doc_id long, n_words long, log_score double, mean_log_score double")
+    total, n_blocks = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = exploded(blocks, order).repartition(partitions or max(least, total // ROWS), "h")
+    counts = rows.groupBy("h").agg(F.sum("n").alias("c"), F.count("block_id").alias("n_blocks")).where("n_blocks > 1")
+    # both sides keep all columns, so that one exchange serves both
+    answers = rows.join(counts.hint("shuffle_hash"), "h").select("block_id", "h", (F.col("c") - F.col("n")).alias("others"))
+    dealt = max(least, n_blocks // 4)
+    both = blocks.repartition(dealt, "block_id").groupBy("block_id").cogroup(answers.repartition(dealt, "block_id").groupBy("block_id"))
+
+    def score(block: pa.Table, answer: pa.Table) -> pa.Table:
+        out = [[pa.array([], pa.int64())], [np.empty(0, np.int64)], [np.empty(0)]]
+        block = block.combine_chunks()
+        for i in range(block.num_rows):
+            ids, lens, words, codes = (block.column(c)[i].values for c in ("doc_ids", "lens", "words", "codes"))
+            lens = lens.to_numpy().astype(np.int64)
+            h, n = answer.column("h").to_numpy().view(np.uint64), answer.column("others").to_numpy()
+            by = np.argsort(h)
+            out[0].append(ids)
+            out[1].append(lens)
+            out[2].append(score_block(lens, open_block(words.to_numpy(), codes.to_numpy()), (h[by], n[by]), total, order, backoff, min_count))
+        ids = pa.concat_arrays(out[0])
+        lens, sums = np.concatenate(out[1]), np.concatenate(out[2])
+        mean = pa.array(np.divide(sums, lens, out=np.zeros(len(lens)), where=lens > 0), mask=lens == 0)
+        return pa.Table.from_arrays([ids, pa.array(lens), pa.array(sums), mean], names=["doc_id", "n_words", "log_score", "mean_log_score"])
+
+    return both.applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
