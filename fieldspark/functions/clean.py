@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,9 +12,8 @@ from pyspark.sql import functions as F
 #: Readings that mean "missing" (fixed values of the feeds).
 SENTINELS = (-9999.0, -999.0, -99.0)
 NUMBER = r"([-+]?\d*\.?\d+)"
-#: Header scores of a value column, best first (fixed values).
-HEADER_SCORES = ((r"\bswe\b|snow water equiv", 100), (r"w\.?c\.?", 95), (r"water\s*content", 90), (r"value", 10))
-BLOCKED = r"date|time|flag|qc|depth|density|station|sensor"
+#: Words of a header that never name a value column (fixed values).
+BLOCKED = ("date", "measured", "time", "depth", "density", "station", "id", "elev", "elevation", "lat", "lon", "long", "location", "site", "name")
 #: Monthly sensors in order of preference (fixed values).
 MONTHLY_PRIORITY = (76, 3, 82)
 
@@ -31,10 +31,14 @@ def lenient_timestamp(obs_date: Column, date: Column | None = None, time: Column
     return F.coalesce(*tries)
 
 
+def plain_number(text: Column) -> Column:
+    return F.regexp_replace(F.trim(text), ",", "").try_cast("double")
+
+
 def lenient_number(df: DataFrame, column: str, alias: str, by: Sequence[str] = ()) -> DataFrame:
     """Adds ``alias``: the column as a number. If fewer than max(3, 10 %) of a group's rows parse, each row gives its
     first signed decimal instead (T2)."""
-    plain = F.regexp_replace(F.trim(column), ",", "").try_cast("double")
+    plain = plain_number(F.col(column))
     counts = df.groupBy(*by).agg(F.count(plain).alias("__ok"), F.count("*").alias("__n"))
     few = F.col("__ok") < F.greatest(F.lit(3.0), F.col("__n") * 0.1)
     joined = df.join(counts, list(by)) if by else df.crossJoin(F.broadcast(counts))  # one row
@@ -47,20 +51,29 @@ def clean_value(value: Column, sentinels: Sequence[float] = SENTINELS) -> Column
 
 
 def header_score(name: Column) -> Column:
-    low = F.lower(name)
-    score = F.lit(1)
-    for pattern, points in reversed(HEADER_SCORES):
-        score = F.when(low.rlike(pattern), points).otherwise(score)
-    return F.when(~low.rlike(BLOCKED), score)
+    """Points of a header by its words: snow water equivalent 100, W.C. 95, water content 90, value 10, others 1.
+
+    Null if one of the words is blocked or the header starts with "unnamed".
+    """
+    plain = F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", " "))
+    words = F.split(plain, " ")
+    has = lambda *parts: reduce(lambda a, b: a & b, [F.contains(plain, F.lit(p)) for p in parts])
+    score = F.when(F.replace(plain, F.lit(" "), F.lit("")).isin("wc", "w"), 95).when(has("snow", "water", "equiv") | F.array_contains(words, "swe"), 100)
+    score = score.when(has("water", "content"), 90).when(F.array_contains(words, "value"), 10).otherwise(1)
+    return F.when(~F.arrays_overlap(words, F.array(*map(F.lit, BLOCKED))) & ~F.startswith(plain, F.lit("unnamed")), score)
 
 
 def best_column(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The column of each group whose header scores best, then with most numbers, then leftmost."""
+    """The column of each group whose header scores best, then with most numbers, then leftmost.
+
+    Columns without a number don't count; numbers are read as in ``lenient_number``.
+    """
     rank = {c: i for i, c in enumerate(columns)}
-    long = df.select(*by, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(list(by), list(columns), "column", "text")
+    long = df.select(*by, *[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot(list(by), [F.col(f"`{c}`") for c in columns], "column", "text")
     order = F.create_map(*[x for c, i in rank.items() for x in (F.lit(c), F.lit(-i))])
-    counts = long.groupBy(*by, "column").agg(F.count(F.col("text").try_cast("double")).alias("n"))
-    scored = counts.withColumn("score", header_score(F.col("column"))).where("score IS NOT NULL")
+    plain, first = F.count(plain_number(F.col("text"))), F.count(F.regexp_extract("text", NUMBER, 1).try_cast("double"))
+    counts = long.groupBy(*by, "column").agg(F.when(plain < F.greatest(F.lit(3.0), F.count("*") * 0.1), first).otherwise(plain).alias("n"))
+    scored = counts.withColumn("score", header_score(F.col("column"))).where("score IS NOT NULL AND n > 0")
     return scored.groupBy(*by).agg(F.max_by("column", F.struct("score", "n", order[F.col("column")].alias("o"))).alias("column"))
 
 
@@ -110,11 +123,16 @@ def normalize_headers(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def html_location(html: Column) -> Column:
-    """Struct (lat, lon, elev_ft) of a station page's text; parts that it lacks are null."""
-    part = lambda p: F.regexp_extract(html, p, 1).try_cast("double")
-    return F.struct(
-        part(r"(?i)latitude[^-\d]{0,40}(-?\d+(?:\.\d+)?)").alias("lat"), part(r"(?i)longitude[^-\d]{0,40}(-?\d+(?:\.\d+)?)").alias("lon"), part(r"(?i)elevation[^-\d]{0,40}(-?\d+(?:\.\d+)?)").alias("elev_ft")
-    )
+    """Struct (lat, lon, elev_ft) of a station page's text.
+
+    Latitude and longitude come as a pair, the longitude after the latitude, or are both null; the elevation is a number
+    of feet, with or without separators of thousands.
+    """
+    signed = r"([-+]?\d+(?:\.\d+)?)"
+    pair = rf"(?is)latitude\s*{signed}\D+longitude\s*{signed}"
+    part = lambda i: F.regexp_extract(html, pair, i).try_cast("double")
+    feet = F.regexp_extract(html, r"(?i)elevation\s*(\d[\d,]*(?:\.\d+)?)\s*ft", 1)
+    return F.struct(part(1).alias("lat"), part(2).alias("lon"), F.replace(feet, F.lit(","), F.lit("")).try_cast("double").alias("elev_ft"))
 
 
 def html_facts(html: Column) -> Column:

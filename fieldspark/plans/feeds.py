@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.functions import clean as C
@@ -13,12 +10,7 @@ from fieldspark.operators import calendars as K
 from fieldspark.plans.catalog import query
 from fieldspark.sources import io as S
 from fieldspark.sources import views as V
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for a query's files: the shared checkpoint folder if the session has one, else the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from fieldspark.sources.tables import scratch
 
 
 @query("s1_s2_series_dates", "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderdate IS NOT NULL ORDER BY 1 DESC")
@@ -38,12 +30,11 @@ def _(spark, sf):
 
 @query(
     "s5_s18_wide_to_long",
-    ", m AS (SELECT date, station, sum(value) AS value FROM obs WHERE station < 5 GROUP BY ALL), d AS (SELECT DISTINCT date FROM m), s AS (SELECT DISTINCT station FROM m) SELECT d.date, CAST(s.station AS VARCHAR) AS station, m.value FROM d CROSS JOIN s LEFT JOIN m USING (date, station)",
+    ", m AS (SELECT date, station, sum(value) AS value FROM obs GROUP BY ALL), d AS (SELECT DISTINCT date FROM m), s AS (SELECT DISTINCT station FROM m) SELECT d.date, CAST(s.station AS VARCHAR) AS station, m.value FROM d CROSS JOIN s LEFT JOIN m USING (date, station)",
     ("obs",),
 )
 def _(spark, sf):
-    long = V.obs(spark, sf).where("station < 5")
-    wide = long.groupBy("date").pivot("station").agg(F.sum("value"))
+    wide = V.obs(spark, sf).groupBy("date").pivot("station").agg(F.sum("value"))
     return S.wide_to_long(wide)
 
 
@@ -91,7 +82,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch(spark, "grid")
     rows = V.grid(spark, sf).withColumn("wy", U.water_year(F.col("date")))
-    S.write_partitioned(rows.where("wy < 2000"), path, ["wy"])
+    S.write_partitioned(rows, path, ["wy"])
     years = S.discover(spark.read.parquet(path), r"wy=(\d{4})", "int")
     picked = S.read_grid(spark, path, "part", [1997, 1998])
     return picked.join(F.broadcast(years.select(F.col("found").alias("wy"))), "wy").groupBy("wy").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
@@ -120,12 +111,12 @@ def _(spark, sf):
     return S.last_rows(rows, ["o_custkey"], [F.desc("date"), F.desc("o_orderkey")], 2)
 
 
-@query("s16_s17_incremental", "SELECT basin, date, count(*) AS n, sum(value) AS total FROM obs WHERE date < DATE '1996-01-01' GROUP BY ALL", ("obs",))
+@query("s16_s17_incremental", "SELECT basin, date, count(*) AS n, sum(value) AS total FROM obs GROUP BY ALL", ("obs",))
 def _(spark, sf):
     path = scratch(spark, "means")
     means = V.obs(spark, sf).groupBy("basin", "date").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     S.append_new_dates(means.where("date < '1995-09-01'"), path, ["basin", "date"])
-    return S.append_new_dates(means.where("date < '1996-01-01'"), path, ["basin", "date"])
+    return S.append_new_dates(means, path, ["basin", "date"])
 
 
 @query("s19_register_survey", "SELECT date, y, x, value FROM grid WHERE date = DATE '1998-03-01' AND y IN (SELECT y FROM cells WHERE elev >= 4000)", ("grid", "cells"))
@@ -161,14 +152,16 @@ def _(spark, sf):
     return V.table(spark, sf, "events").select("event_id", C.clean_value(raw).alias("value"))
 
 
-@query("c2_best_column", "SELECT event_type AS sensor, CASE WHEN event_type = 'error' THEN 'value' ELSE 'snow water equivalent' END AS col FROM events GROUP BY ALL")
+@query("c2_best_column", "SELECT event_type AS sensor, CASE event_type WHEN 'error' THEN 'candidate value' WHEN 'click' THEN 'W.C.' ELSE 'snow water equivalent' END AS col FROM events GROUP BY ALL")
 def _(spark, sf):
-    e = V.table(spark, sf, "events")
-    swe = F.when(F.col("event_type") != "error", F.col("value").cast("string")).otherwise("n/a")
-    tab = e.select(F.col("event_type").alias("sensor"), F.col("value").alias("snow depth"), F.col("value").alias("value"), swe.alias("snow water equivalent"), F.lit("x").alias("water content"))
-    best = C.best_column(tab.drop("snow water equivalent").withColumnRenamed("water content", "remark"), ["sensor"], ["snow depth", "value", "remark"]).where("sensor = 'error'")
-    other = C.best_column(tab.where("sensor <> 'error'"), ["sensor"], ["snow depth", "value", "snow water equivalent", "water content"])
-    return best.unionByName(other).select("sensor", F.col("column").alias("col"))
+    """Blocked words (with numbers below them), columns without a number and numbers with a unit beside the wanted one."""
+    sensor, v = F.col("event_type"), F.col("value").cast("string")
+    columns = {
+        "Measured Date": v, "Elevation": v, "Site ID": v, "Unnamed: 5": v, "raw count": v, "candidate value": F.concat(v, F.lit(" in")), "water content": F.lit("x"),
+        "W.C.": F.when(sensor == "click", v).otherwise("n/a"), "snow water equivalent": F.when(sensor.isin("error", "click"), "n/a").otherwise(v),
+    }
+    tab = V.table(spark, sf, "events").select(sensor.alias("sensor"), *[c.alias(n) for n, c in columns.items()])
+    return C.best_column(tab, ["sensor"], list(columns)).select("sensor", F.col("column").alias("col"))
 
 
 @query(
@@ -209,6 +202,18 @@ def _(spark, sf):
     return C.station_kind(cal).withColumn("coverage", F.round("coverage", 9))
 
 
+@query(
+    "c5_listed_kind",
+    ", d AS (SELECT station, min(CAST(ts AS DATE)) AS a, count(DISTINCT CASE WHEN value IS NOT NULL THEN date_trunc('month', ts) END) AS months, avg(CAST(value IS NOT NULL AS INT)) AS coverage FROM feed GROUP BY station) SELECT station, CASE WHEN station % 4 = 0 THEN 'pillow' WHEN station % 4 = 1 THEN 'snow_course' WHEN coverage >= 0.15 THEN 'pillow' WHEN months >= 2 THEN 'snow_course' ELSE 'unknown' END AS kind FROM d",
+    ("feed",),
+)
+def _(spark, sf):
+    """The listed durations decide before coverage and months do; a daily one goes before a monthly one."""
+    k = F.col("station") % 4
+    listed = F.when((k == 0) & (F.col("seq") % 2 == 0), "(Event)").when(k == 0, "Daily").when((k == 1), "(Monthly)").when(k == 2, "annual")
+    return C.station_kind(V.raw_feed(spark, sf).withColumns({"date": F.to_date("ts"), "listed": listed}), durations="listed").select("station", "kind")
+
+
 @query("c6_header_names", "SELECT n_nationkey AS station, n_name AS name, n_regionkey AS network FROM nation")
 def _(spark, sf):
     return C.normalize_headers(V.table(spark, sf, "nation"), {r"nation\s*key": "station", r"name": "name", r"region": "network"})
@@ -220,6 +225,18 @@ def _(spark, sf):
     return pages.select("page_id", "f.title", "f.n_links")
 
 
+@query(
+    "c7_html_location",
+    "SELECT s_suppkey, CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey % 90 + 0.25 END AS lat, CASE WHEN s_suppkey % 5 > 0 THEN -(s_suppkey % 180) - 0.5 END AS lon, CASE WHEN s_suppkey % 7 > 0 THEN CAST(s_suppkey * 37 + 900 AS DOUBLE) END AS elev_ft FROM supplier",
+)
+def _(spark, sf):
+    """Station pages as text: pairs and lone latitudes, elevations with separators, and in metres."""
+    k = F.col("s_suppkey")
+    lat, lon = F.format_string("Latitude  %.2f&deg; N", k % 90 + F.lit(0.25)), F.format_string("<td>LONGITUDE %.1f</td>", -(k % 180) - F.lit(0.5))
+    html = F.concat(F.lit("<b>"), lat, F.when(k % 5 > 0, F.concat(F.lit("<br>"), lon)).otherwise(""), F.lit("</b> Elevation "), F.format_number(k * 37 + 900, 0), F.when(k % 7 > 0, " ft").otherwise(" m"))
+    return V.table(spark, sf, "supplier").withColumn("at", C.html_location(html)).select("s_suppkey", "at.lat", "at.lon", "at.elev_ft")
+
+
 @query("c8_course_cadence", "SELECT p_brand AS station, bool_and(p_partkey % 7 < 6) AS monthly FROM part WHERE p_size IN (18, 3, 82) GROUP BY ALL")
 def _(spark, sf):
     p = V.table(spark, sf, "part").select(F.col("p_brand").alias("station"), F.col("p_size").alias("number"), F.when(F.col("p_partkey") % 7 < 6, "Monthly").otherwise("hourly").alias("duration"))

@@ -102,9 +102,13 @@ def _(spark, sf):
     return J.survey_with_stations(V.labels(spark, sf), V.obs(spark, sf)).withColumn("survey", F.round("survey", 2))
 
 
-@query("j3_wide_table", ", o AS (SELECT * FROM obs WHERE station <= 3) SELECT b.date, max(value) FILTER (WHERE station = 1) AS \"1\", max(value) FILTER (WHERE station = 2) AS \"2\", max(value) FILTER (WHERE station = 3) AS \"3\" FROM (SELECT DISTINCT date FROM obs WHERE station = 1) b JOIN o USING (date) GROUP BY b.date", ("obs",))
+#: All station ids of the example network, the one that gives the dates first.
+STATIONS = [1, 0, *range(2, 25)]
+
+
+@query("j3_wide_table", " SELECT b.date, " + ", ".join(f'max(value) FILTER (WHERE station = {s}) AS "{s}"' for s in STATIONS) + " FROM (SELECT DISTINCT date FROM obs WHERE station = 1) b JOIN obs USING (date) GROUP BY b.date", ("obs",))
 def _(spark, sf):
-    return J.wide_table(V.obs(spark, sf).where("station <= 3"), [1, 2, 3], outer=False)
+    return J.wide_table(V.obs(spark, sf), STATIONS, outer=False)
 
 
 def near_sql(tie: str) -> str:
