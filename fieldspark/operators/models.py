@@ -16,6 +16,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldspark.functions.units import FACTORS, water_year
+from fieldspark.operators.joins import season_part
+from fieldspark.sources.tables import small_side, written
+
 KEYS = ("basin", "station")
 
 
@@ -70,7 +74,7 @@ def predict(xs: Sequence[str], intercept: Column, beta: Column) -> Column:
 def interval_score(df: DataFrame, fits: DataFrame, by: Sequence[str], xs: Sequence[str]) -> DataFrame:
     """``df`` with pred and se, the standard error of a new observation: sigma sqrt(1 + 1/n + d' inverse d) (M1, Q3)."""
     k = len(xs)
-    joined = df.join(F.broadcast(fits), list(by), "left")  # one row a group of the network
+    joined = df.join(small_side(written(fits, "fits")), list(by), "left")
     d = [F.col(x) - F.get("mean", F.lit(i)) for i, x in enumerate(xs)]
     quad = reduce(lambda a, b: a + b, [d[i] * d[j] * F.get("inverse", F.lit(i * k + j)) for i in range(k) for j in range(k)])
     se = F.col("sigma") * F.sqrt(1 + 1 / F.col("n") + F.greatest(quad, F.lit(0.0)))
@@ -79,8 +83,8 @@ def interval_score(df: DataFrame, fits: DataFrame, by: Sequence[str], xs: Sequen
 
 def fitted(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], clip: bool = False) -> DataFrame:
     """In-sample fit on all predictors: ``df`` with yhat and resid (M4)."""
-    fits = fit_ols(df, by, y, xs).select(*by, "intercept", "beta")
-    out = df.join(F.broadcast(fits), list(by), "left").withColumn("yhat", predict(xs, F.col("intercept"), F.col("beta"))).drop("intercept", "beta")
+    fits = written(fit_ols(df, by, y, xs).select(*by, "intercept", "beta"), "fits")
+    out = df.join(small_side(fits), list(by), "left").withColumn("yhat", predict(xs, F.col("intercept"), F.col("beta"))).drop("intercept", "beta")
     if clip:
         out = out.withColumn("yhat", F.when(F.col("yhat").isNotNull(), F.greatest("yhat", F.lit(0.0))))
     return out.withColumn("resid", F.col(y) - F.col("yhat"))
@@ -95,8 +99,8 @@ def impute_from_grid(rows: DataFrame, history: DataFrame, predictors: Sequence[s
     One fit a station over the history from ``since`` on with at least ``min_n`` complete days; predictions are
     clipped at zero and made where all predictors exist. Adds ``imputed``.
     """
-    fits = fit_ols(history.where(F.col("date") >= F.lit(since).cast("date")), KEYS, value, predictors, min_n).select(*KEYS, "intercept", "beta")
-    out = rows.join(F.broadcast(fits), list(KEYS), "left").withColumn("__p", predict(predictors, F.col("intercept"), F.col("beta")))
+    fits = written(fit_ols(history.where(F.col("date") >= F.lit(since).cast("date")), KEYS, value, predictors, min_n).select(*KEYS, "intercept", "beta"), "fits")
+    out = rows.join(small_side(fits), list(KEYS), "left").withColumn("__p", predict(predictors, F.col("intercept"), F.col("beta")))
     fill = F.when(F.col(value).isNull() & F.col("__p").isNotNull(), F.greatest("__p", F.lit(0.0)))
     return out.withColumn("imputed", fill.isNotNull()).withColumn(value, F.coalesce(value, fill)).drop("intercept", "beta", "__p")
 
@@ -105,99 +109,102 @@ def adjusted(r2: float, n: int, k: int) -> float:
     return 1 - (1 - r2) * (n - 1) / (n - k - 1) if n > k + 1 else -np.inf
 
 
-def choose_peers(data: pd.DataFrame, peers: list, since: pd.Timestamp, most: int = 3, first_peer_score: bool = False) -> tuple[list, float, np.ndarray] | None:
-    """Up to ``most`` peers by adjusted r², the first over all days and later ones from ``since`` on; and their fit.
+def station_values(df: DataFrame, value: str) -> DataFrame:
+    """(basin, date, m): a day's values by station; of repeated rows the least value."""
+    one = df.where(F.col(value).isNotNull()).groupBy("basin", "station", "date").agg(F.min(F.col(value).cast("double")).alias("v"))
+    return one.groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "v"))).alias("m"))  # a basin's stations
+
+
+def complete_days(sets: DataFrame, days: DataFrame, k: int) -> DataFrame:
+    """Rows (basin, station, chosen, y, c0..) of each set's station and its ``k`` chosen peers, on days that have all."""
+    rows = small_side(sets).join(days, "basin")
+    rows = rows.select(*KEYS, "chosen", "m", F.try_element_at("m", F.col("station")).alias("y"), *[F.try_element_at("m", F.get("chosen", F.lit(i))).alias(f"c{i}") for i in range(k)])
+    return rows.where(reduce(lambda a, c: a & F.col(c).isNotNull(), [f"c{i}" for i in range(k)], F.col("y").isNotNull()))
 
-    ``data`` has the target in column ``y`` and a column for each peer. A later peer joins only if it improves on
-    the score before. ``first_peer_score`` scores later stages by the correlation with the first peer alone, on the
-    days that the candidate has, as the original procedure does.
+
+def peer_scores(sets: DataFrame, days: DataFrame, k: int, first_peer_score: bool) -> DataFrame:
+    """(basin, station, chosen, peer, score): adjusted r² with each further peer, from the moments of complete days."""
+    rows = complete_days(sets, days, k).select(*KEYS, "chosen", "y", *[f"c{i}" for i in range(k)], F.explode("m").alias("peer", "pv"))
+    rows = rows.where((F.col("peer") != F.col("station")) & ~F.array_contains("chosen", F.col("peer")))
+    stats = moments(rows, [*KEYS, "chosen", "peer"], "y", [*[f"c{i}" for i in range(k)], "pv"]).where(F.col("n") > k + 2)
+
+    def score(n: int, mean: np.ndarray, cov: np.ndarray) -> float:
+        if cov[0, 0] <= 0:
+            r2 = 0.0
+        elif first_peer_score or not k:
+            r2 = cov[0, 1] ** 2 / (cov[0, 0] * cov[1, 1]) if cov[1, 1] > 0 else 0.0
+        else:
+            r2 = float(solve(n, mean, cov)[1] @ cov[1:, 0]) / cov[0, 0]
+        return round(adjusted(min(1.0, max(0.0, r2)), n, k + 1), 10)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[[*KEYS, "chosen", "peer"]].assign(score=[score(int(n), np.array(m), np.array(c).reshape(k + 2, k + 2)) for n, m, c in zip(pdf["n"], pdf["mean"], pdf["cov"], strict=True)])
+
+    kinds = dict(stats.dtypes)
+    return stats.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (*KEYS, "chosen", "peer")) + ", score double")
+
+
+def choose_peers(keys: DataFrame, days: DataFrame, since: str, most: int = 3, first_peer_score: bool = False) -> DataFrame:
+    """``keys`` (basin, station, valid) with ``chosen``: up to ``most`` valid peers, added while the score rises.
+
+    The first peer is scored over all ``days``, later ones from ``since`` on; of equal scores the first valid one wins.
+    ``first_peer_score`` scores later stages by the correlation with the first peer alone, on the days that the
+    candidate has, as the original procedure does. Each stage aggregates moments once for each distinct (station,
+    chosen), however many sets of valid peers share it.
     """
-    chosen: list = []
-    best = -np.inf
+    key = [*KEYS, "valid"]
+    state = keys.select(*key, F.filter("valid", lambda _: F.lit(False)).alias("chosen"), F.lit(float("-inf")).alias("best"))
     for stage in range(most):
-        scores = {}
-        for p in peers:
-            if p in chosen:
-                continue
-            part = data[["y", *chosen, p]].dropna()
-            if stage:
-                part = part[part.index >= since]
-            k = stage + 1
-            if len(part) <= k + 1:
-                continue
-            y, x = part["y"].to_numpy(), part[[*chosen, p]].to_numpy()
-            if stage and not first_peer_score:
-                a = np.column_stack([np.ones(len(y)), x])
-                yhat = a @ np.linalg.lstsq(a, y, rcond=None)[0]
-                r = np.corrcoef(y, yhat)[0, 1] if y.std() > 0 and yhat.std() > 0 else 0.0
-            else:
-                r = np.corrcoef(y, x[:, 0])[0, 1] if y.std() > 0 and x[:, 0].std() > 0 else 0.0
-            scores[p] = round(adjusted(float(r * r), len(y), k), 12)
-        if not scores:
-            break
-        top = max(scores, key=lambda p: (scores[p], -peers.index(p)))
-        if scores[top] <= best:
-            break
-        best = scores[top]
-        chosen.append(top)
-    if not chosen:
-        return None
-    part = data[["y", *chosen]].dropna()
-    part = part[part.index >= since]
-    if len(part) < 2:
-        return None
-    a = np.column_stack([np.ones(len(part)), part[chosen].to_numpy()])
-    fit = np.linalg.lstsq(a, part["y"].to_numpy(), rcond=None)[0]
-    return chosen, float(fit[0]), fit[1:]
+        state = written(state, "peers-chosen")
+        active = state.where(F.size("chosen") == stage)
+        sets = written(active.select(*KEYS, "chosen").distinct(), "peers-sets")
+        scores = peer_scores(sets, days if stage == 0 else days.where(F.col("date") >= F.lit(since).cast("date")), stage, first_peer_score)
+        able = active.join(scores, [*KEYS, "chosen"]).where(F.array_contains("valid", F.col("peer")) & (F.col("score") > F.col("best")))
+        top = able.groupBy(*key).agg(F.max_by(F.struct("peer", "score"), F.struct("score", -F.array_position("valid", F.col("peer")))).alias("top"))
+        joined = state.join(top, key, "left")
+        grown = F.when(F.col("top").isNotNull(), F.concat("chosen", F.array("top.peer"))).otherwise(F.col("chosen"))
+        state = joined.select(*key, grown.alias("chosen"), F.coalesce("top.score", "best").alias("best"))
+    return written(state.select(*key, "chosen"), "peers-chosen")
+
+
+def peer_models(sets: DataFrame, days: DataFrame, most: int = 3) -> DataFrame:
+    """(basin, station, chosen, intercept, beta): least squares on the complete days, of which there are two at least."""
+    parts = []
+    for k in range(1, most + 1):
+        rows = complete_days(sets.where(F.size("chosen") == k), days, k)
+        parts.append(fit_ols(rows, [*KEYS, "chosen"], "y", [f"c{i}" for i in range(k)], 2).select(*KEYS, "chosen", "intercept", "beta"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def impute_from_peers(rows: DataFrame, history: DataFrame, since: str = "2013-01-01", first_peer_score: bool = False, value: str = "value") -> DataFrame:
     """Missing values of (basin, station, date) rows from up to three peers that are valid that day (M2).
 
-    Stations take their turn by id, and a filled value is a valid peer for later stations. The peers depend only on
-    the target and the set of valid peers, so each distinct pair of these is fitted once, in a group of its own; the
-    fills then follow in rounds, each filling what has all its peers by then. Clipped at zero. Adds ``imputed``.
+    Stations take their turn by id, and a filled value is a valid peer for later stations; a day without any value
+    stays as it is. Peers depend only on the target and the set of valid peers, the fit only on the target and the
+    chosen ones; both come from moments that Spark aggregates. A day's gaps are then filled in one ordered pass.
+    Clipped at zero. Adds ``imputed``.
     """
-    cells = rows.select("basin", "station", "date", value)
-    days = Window.partitionBy("basin", "date")
-    known = F.collect_list(F.when(F.col(value).isNotNull(), F.col("station"))).over(days)
-    before = F.collect_list(F.when(F.col(value).isNull(), F.col("station"))).over(days.orderBy("station").rowsBetween(Window.unboundedPreceding, -1))
-    gaps = cells.withColumns({"__k": known, "__b": before}).where(F.col(value).isNull())
-    fillable = F.when(F.size("__k") > 0, F.concat("__k", "__b")).otherwise(F.array().cast(gaps.schema["__k"].dataType))
-    gaps = gaps.select("basin", "station", "date", F.sort_array(fillable).alias("valid")).where(F.size("valid") > 0)
-    keys = gaps.select("basin", "station", "valid").distinct().withColumn("key", F.xxhash64("basin", "station", "valid"))
-    own = keys.select("key", "basin", "station", "valid", F.col("station").alias("member"))
-    peers = keys.select("key", "basin", "station", "valid", F.explode("valid").alias("member"))
-    data = own.unionByName(peers).join(history.select("basin", F.col("station").alias("member"), "date", F.col(value).alias("v")), ["basin", "member"])
-    start = pd.Timestamp(since)
+    gaps = rows.where(F.col(value).isNull()).groupBy("basin", "date").agg(F.sort_array(F.collect_set("station")).alias("missing"))
+    days = written(gaps.join(station_values(rows, value), ["basin", "date"]), "impute-days")
+    valid = F.sort_array(F.concat(F.map_keys("m"), F.filter("missing", lambda s: s < F.col("station"))))
+    wanted = days.select("basin", "date", "m", "missing", F.explode("missing").alias("station")).select("basin", "date", "m", "station", valid.alias("valid"))
+    past = written(station_values(history, value), "impute-history")
+    chosen = choose_peers(wanted.select(*KEYS, "valid").distinct(), past, since, 3, first_peer_score)
+    sets = written(chosen.where(F.size("chosen") > 0).select(*KEYS, "chosen").distinct(), "impute-sets")
+    models = written(peer_models(sets, past.where(F.col("date") >= F.lit(since).cast("date"))), "impute-models")
+    plan = chosen.join(small_side(models), [*KEYS, "chosen"])
+    todo = wanted.join(plan, [*KEYS, "valid"]).groupBy("basin", "date").agg(F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("station", "chosen", "intercept", "beta"))).alias("gaps"))
+
+    def fill(m: Column, gap: Column) -> Column:
+        terms = F.zip_with(gap["chosen"], gap["beta"], lambda peer, b: F.try_element_at(m, peer) * b)
+        p = F.aggregate(terms, gap["intercept"], lambda a, t: a + t)
+        return F.when(p.isNotNull(), F.map_concat(m, F.create_map(gap["station"], F.greatest(p, F.lit(0.0))))).otherwise(m)
+
     kind = dict(rows.dtypes)["station"]
-    none = pd.DataFrame({"key": pd.Series(dtype="int64"), "peers": pd.Series(dtype=object), "intercept": pd.Series(dtype=float), "beta": pd.Series(dtype=object)})
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, target, valid = pdf["key"].iloc[0], pdf["station"].iloc[0], list(pdf["valid"].iloc[0])
-        wide = pdf.assign(date=pd.to_datetime(pdf["date"])).pivot_table(index="date", columns="member", values="v", aggfunc="first")
-        if target not in wide:
-            return none
-        found = choose_peers(wide.rename(columns={target: "y"}), [p for p in valid if p in wide and p != target], start, 3, first_peer_score)
-        if found is None:
-            return none
-        return pd.DataFrame({"key": [key], "peers": [found[0]], "intercept": [found[1]], "beta": [list(found[2])]})
-
-    fits = data.groupBy("key").applyInPandas(fit, f"key long, peers array<{kind}>, intercept double, beta array<double>")
-    todo = gaps.withColumn("key", F.xxhash64("basin", "station", "valid")).join(fits, "key").select("basin", "station", "date", "intercept", F.posexplode("peers").alias("i", "peer"), "beta")
-    todo = todo.withColumn("b", F.get("beta", F.col("i"))).drop("beta", "i").persist()
-    values = cells.where(F.col(value).isNotNull()).select("basin", "station", "date", value)
-    filled = values.where("false")
-    while True:  # each round fills at least one more link of a chain of stations, or ends
-        have = values.unionByName(filled)
-        met = todo.join(have.select("basin", F.col("station").alias("peer"), "date", F.col(value).alias("pv")), ["basin", "peer", "date"], "left")
-        met = met.groupBy("basin", "station", "date").agg(F.count_if(F.col("pv").isNull()).alias("lack"), (F.first("intercept") + F.sum(F.col("b") * F.col("pv"))).alias("p"))
-        new = met.where("lack = 0").select("basin", "station", "date", F.greatest("p", F.lit(0.0)).alias(value)).persist()
-        if new.count() == filled.count():
-            break
-        filled = new
-    fill = filled.withColumnRenamed(value, "__f")
-    out = rows.join(fill, ["basin", "station", "date"], "left")
+    done = todo.select("basin", "date", "gaps", F.aggregate("gaps", F.col("m").cast(f"map<{kind},double>"), fill).alias("m"))
+    found = done.select("basin", "date", "m", F.explode("gaps.station").alias("station")).select(*KEYS, "date", F.try_element_at("m", F.col("station")).alias("__f"))
+    out = rows.join(found, [*KEYS, "date"], "left")
     return out.withColumn("imputed", F.col(value).isNull() & F.col("__f").isNotNull()).withColumn(value, F.coalesce(value, "__f")).drop("__f")
 
 
@@ -392,8 +399,9 @@ def frequent_subset(table: DataFrame, cv: DataFrame, by: Sequence[str] = ("basin
 def predict_days(table: DataFrame, chosen: DataFrame, days: DataFrame, by: Sequence[str] = ("basin", "band"), zero_row: bool = True) -> DataFrame:
     """Daily predictions with the chosen stations (M12): (by, date, pred), clipped at zero.
 
-    ``days`` has (basin, date, x) in the order of the table's stations. One fit a group on its survey rows and, if
-    ``zero_row``, an all-zero one; scaling by a factor scales the result, so units are converted afterwards.
+    ``days`` has the date, x in the order of the table's stations and those of the group's columns that x depends on.
+    One fit a group on its survey rows and, if ``zero_row``, an all-zero one; scaling by a factor scales the result, so
+    units are converted afterwards (``in_units``).
     """
     rows = table.join(chosen.select(*by, "features"), list(by)).select(*by, "y", "x", "features")
     data = rows.groupBy(*by).agg(F.collect_list(F.struct("y", "x")).alias("rows"), F.first("features").alias("features")).select(*by, F.col("rows.y").alias("y"), F.col("rows.x").alias("x"), "features")
@@ -410,17 +418,88 @@ def predict_days(table: DataFrame, chosen: DataFrame, days: DataFrame, by: Seque
             yield pdf[[*by, "features"]].assign(intercept=[b[0] for b in fits], beta=[b[1:] for b in fits])
 
     schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", features array<int>, intercept double, beta array<double>"
-    fits = data.mapInPandas(run, schema)
-    joined = days.join(F.broadcast(fits), ["basin"])  # one row a (basin, band)
+    fits = written(data.mapInPandas(run, schema), "day-fits")
+    joined = days.join(small_side(fits), [c for c in by if c in days.columns])
     terms = F.zip_with("features", "beta", lambda f, b: F.get("x", f) * b)
     pred = F.aggregate(terms, F.col("intercept"), lambda a, t: a + t)
     return joined.select(*by, "date", F.when(pred.isNotNull(), F.greatest(pred, F.lit(0.0))).alias("pred"))
 
 
-def station_sets(usable: DataFrame, by: Sequence[str] = ("basin",)) -> tuple[DataFrame, DataFrame]:
-    """(distinct sets of usable stations with a key, days with their set's key): one training serves all its days."""
-    days = usable.groupBy(*by, "date").agg(F.sort_array(F.collect_set("station")).alias("stations")).withColumn("set_key", F.xxhash64("stations"))
-    return days.groupBy(*by, "set_key").agg(F.first("stations").alias("stations"), F.count("*").alias("n_days")), days.select(*by, "date", "set_key")
+def in_units(pred: DataFrame, areas: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataFrame:
+    """Predictions in mm as mm, inches and, over the group's area (``area_m2``), acre-feet."""
+    mm = F.col("pred")
+    joined = pred.join(small_side(areas.select(*by, "area_m2")), list(by), "left")
+    acre_feet = mm * 0.001 * F.col("area_m2") * F.lit(FACTORS["m3", "acreft"])
+    return joined.select("*", mm.alias("mm"), (mm * F.lit(FACTORS["mm", "in"])).alias("inches"), acre_feet.alias("acre_ft")).drop("pred", "area_m2")
+
+
+def validate(table: DataFrame, chosen: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataFrame:
+    """Leave-one-year-out again with the chosen stations: (by, n, r2, rmse) of the held-out predictions (M8)."""
+    data = table.join(small_side(chosen.select(*by, "features")), list(by)).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("date", "y", "x"))).alias("rows"), F.first("features").alias("features"))
+    data = data.select(*by, F.transform("rows.date", lambda d: F.year(d)).alias("year"), F.col("rows.y").alias("y"), F.col("rows.x").alias("x"), "features")  # a group's surveys
+    kinds = dict(table.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for year, y, x, f in zip(pdf["year"], pdf["y"], pdf["x"], pdf["features"], strict=True):
+                year, y, x = np.array(year), np.array(y, float), np.nan_to_num(np.array(list(x), float))[:, [int(i) for i in f]]
+                p = np.zeros(len(y))
+                for fold in np.unique(year):
+                    held = year == fold
+                    if not held.all():
+                        b = lstsq(x[~held], y[~held])
+                        p[held] = b[0] + x[held] @ b[1:]
+                out.append((len(y), r2_of(y, p), float(np.sqrt(np.mean((p - y) ** 2)))))
+            yield pdf[list(by)].assign(n=[o[0] for o in out], r2=[o[1] for o in out], rmse=[o[2] for o in out])
+
+    return data.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in by) + ", n long, r2 double, rmse double")
+
+
+def train(table: DataFrame, by: Sequence[str] = ("basin", "band"), most: int = 5) -> DataFrame:
+    """The whole training of each group: selection by years, best subset, validation (M10): (by, features, score, n, r2, rmse)."""
+    table = written(table, "train-table")
+    chosen = written(best_subset(table, written(loyo_select(table, by), "train-folds"), by, most), "train-chosen")
+    return chosen.join(validate(table, chosen, by), list(by))
+
+
+def station_sets(usable: DataFrame, baseline: DataFrame, by: Sequence[str] = ("basin",)) -> tuple[DataFrame, DataFrame]:
+    """(distinct sets with their days' number, days with their set): one training serves all days of a set.
+
+    A set is the usable stations of a day (rows of ``usable``) and those of them that are in ``baseline`` (by,
+    station); ``set_key`` spells both out.
+    """
+    base = baseline.select(*by, "station").distinct().withColumn("__b", F.lit(True))
+    rows = usable.select(*by, "date", "station").distinct().join(small_side(base), [*by, "station"], "left")
+    listed = lambda c: F.sort_array(F.collect_list(F.when(c, F.col("station"))))
+    days = rows.groupBy(*by, "date").agg(listed(F.lit(True)).alias("usable"), listed(F.col("__b")).alias("baseline"))
+    text = lambda c: F.array_join(F.transform(c, lambda s: s.cast("string")), ",")
+    days = days.withColumn("set_key", F.concat(text("usable"), F.lit("|"), text("baseline")))
+    sets = days.groupBy(*by, "set_key").agg(F.first("usable").alias("usable"), F.first("baseline").alias("baseline"), F.count("*").alias("n_days"))
+    return sets, days.select(*by, "date", "set_key")
+
+
+def only_stations(rows: DataFrame, stations: str, keep: str) -> DataFrame:
+    """``rows`` with x (in the order of ``stations``) cut to the stations in ``keep``, in that order; both are arrays."""
+    at = F.map_from_arrays(F.col(stations), F.col("x"))
+    return rows.withColumn("x", F.transform(keep, lambda s: F.try_element_at(at, s)))
+
+
+def season_tables(table: DataFrame, thresholds: DataFrame, seasons: Sequence[str] = ("season", "accum", "melt")) -> DataFrame:
+    """``table`` once a season, with the column ``season``: all rows, those before, those from the threshold on.
+
+    ``thresholds`` is (year, band, threshold).
+    """
+    keyed = table.withColumn("year", F.year("date"))
+    parts = [keyed if s == "season" else season_part(keyed, thresholds, s, ("year", "band")).drop("threshold") for s in seasons]
+    return reduce(lambda a, b: a.unionByName(b), [p.drop("year").withColumn("season", F.lit(s)) for p, s in zip(parts, seasons, strict=True)])
+
+
+def split_years(table: DataFrame, years: Sequence[int], train: str = "earlier") -> DataFrame:
+    """The training rows of each test water year, with the column ``test_wy`` (M15): the earlier rows, or all others."""
+    wy = water_year(F.col("date"))
+    tests = F.array(*[F.lit(y) for y in years])
+    return table.withColumn("test_wy", F.explode(F.filter(tests, lambda y: wy < y if train == "earlier" else wy != y)))
 
 
 def model_specs(table: DataFrame, modes: Sequence[str] = ("drop", "impute"), stacks: Sequence[str] = ("peers", "grid"), seasons: Sequence[str] = ("season", "accum", "melt")) -> DataFrame:
@@ -433,9 +512,7 @@ def model_specs(table: DataFrame, modes: Sequence[str] = ("drop", "impute"), sta
 
 def training_report(table: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], test: DataFrame) -> DataFrame:
     """Train rows with fit and residual, then the test rows with their prediction."""
-    fits = F.broadcast(fit_ols(table, by, y, xs).select(*by, "intercept", "beta"))
+    fits = small_side(written(fit_ols(table, by, y, xs).select(*by, "intercept", "beta"), "fits"))
     score = lambda d, kind: d.join(fits, list(by)).withColumns({"model": F.lit(kind), "yhat": predict(xs, F.col("intercept"), F.col("beta"))}).drop("intercept", "beta")
     train = score(table, "train").withColumn("resid", F.col(y) - F.col("yhat"))
     return train.unionByName(score(test.withColumn(y, F.lit(None).cast("double")), "test").withColumn("resid", F.lit(None).cast("double")))
-
-

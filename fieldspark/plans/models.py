@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldspark.functions.units import CELL_M2, water_year
 from fieldspark.operators import models as M
 from fieldspark.operators import qa as Q
 from fieldspark.operators.calendars import daily_calendar
 from fieldspark.plans.catalog import query
 from fieldspark.plans.series import full, history, ranking
 from fieldspark.sources import views as V
+from fieldspark.sources.tables import small_side, written
 
 CELLS = ["g1", "g2", "g3"]
 CELLS_SQL = "WITH c AS (SELECT n_regionkey AS basin, s_nationkey AS station, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS value, sum(l_extendedprice) / 1000 AS g1, sum(l_tax) * 100 AS g2, CAST(count(*) AS DOUBLE) AS g3 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)"
@@ -66,10 +70,36 @@ def _(spark, sf):
     return M.model_specs(V.labels(spark, sf))
 
 
-@query("m11_station_sets", ", s AS (SELECT basin, date, list_sort(list(DISTINCT station)) AS stations FROM obs WHERE value > 30 GROUP BY ALL) SELECT basin, stations, count(*) AS n_days FROM s GROUP BY ALL", ("obs",))
+@query(
+    "m11_station_sets",
+    ", s AS (SELECT basin, date, list_sort(list(DISTINCT station)) AS usable, coalesce(list_sort(list(DISTINCT station) FILTER (WHERE station % 5 < 3)), []) AS baseline FROM obs WHERE value > 30 GROUP BY ALL) SELECT basin, usable, baseline, count(*) AS n_days FROM s GROUP BY ALL",
+    ("obs",),
+)
+def _(spark, sf):
+    sets, _ = M.station_sets(*usable_days(spark, sf))
+    return sets.select("basin", "usable", "baseline", "n_days")
+
+
+def usable_days(spark, sf):
+    """Stations of each day by a bound on their value, and the stations of the baseline."""
+    obs = V.obs(spark, sf)
+    return obs.where("value > 30"), obs.where("station % 5 < 3").select("basin", "station").distinct()
+
+
+@query("m11_sets_served")
 def _(spark, sf):
-    sets, _ = M.station_sets(V.obs(spark, sf).where("value > 30"))
-    return sets.select("basin", "stations", "n_days")
+    """One training for each distinct (usable, baseline) set; every day is predicted with its own set's model."""
+    table, monthly = survey(spark, sf)
+    months = lambda d: d.withColumn("date", F.trunc("date", "month"))
+    usable, baseline = usable_days(spark, sf)
+    sets, days = M.station_sets(months(usable).join(table.select("basin", F.explode("stations").alias("station")).distinct(), ["basin", "station"]), baseline)
+    sets = written(sets.where(F.size("baseline") > 0), "served-sets")
+    by = ("basin", "band", "set_key")
+    rows = M.only_stations(table.join(small_side(sets), "basin"), "stations", "baseline")
+    chosen = M.train(rows.select(*by, "date", "y", "x"), by)
+    tests = M.only_stations(wide_days(table, monthly).join(days, ["basin", "date"]).join(small_side(sets), ["basin", "set_key"]), "stations", "baseline")
+    pred = M.predict_days(rows, chosen, tests.select("basin", "set_key", "date", "x"), by)
+    return pred.join(chosen.select(*by, "features", "score", "r2", "rmse"), list(by))
 
 
 @query("m2_impute_from_peers")
@@ -81,7 +111,8 @@ def _(spark, sf):
 def survey(spark, sf):
     """The surveys of every basin's bands against gap-free stations: monthly means, so that all stations have a value."""
     monthly = V.obs(spark, sf).groupBy("basin", "station", F.trunc("date", "month").alias("date")).agg(F.avg("value").alias("value"))
-    return M.survey_table(V.labels(spark, sf), monthly), monthly
+    monthly = written(monthly, "survey-months")
+    return written(M.survey_table(V.labels(spark, sf), monthly), "survey-table"), monthly
 
 
 @query("m5_m7_loyo_selection")
@@ -102,16 +133,56 @@ def _(spark, sf):
     return a.unionByName(M.frequent_subset(table, cv).withColumn("rule", F.lit("frequency")))
 
 
+def wide_days(table, monthly):
+    """Every month (basin, date, stations, x) with the values of the table's stations in their order."""
+    ids = table.groupBy("basin").agg(F.first("stations").alias("stations"))
+    days = monthly.groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "value"))).alias("m")).join(small_side(ids), "basin")
+    return days.select("basin", "date", "stations", F.transform("stations", lambda s: F.try_element_at("m", s)).alias("x"))
+
+
+def areas(spark, sf):
+    """Area of each band: its number of survey customers as cells (the example has no other)."""
+    return V.labels(spark, sf).groupBy("basin", "band").agg((F.count("*") * F.lit(CELL_M2)).alias("area_m2"))
+
+
 @query("m12_m15_predict_days")
 def _(spark, sf):
-    """Back-test: every month of the last years as a test, trained on the surveys before."""
+    """Back-test: each water year is predicted by what was trained on the years before it, in three units."""
     table, monthly = survey(spark, sf)
-    train = table.where("date < '2000-01-01'")
-    chosen = M.best_subset(train, M.loyo_select(train))
-    ids = table.groupBy("basin").agg(F.first("stations").alias("stations"))
-    days = monthly.where("date >= '2000-01-01'").groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "value"))).alias("m")).join(F.broadcast(ids), "basin")
-    days = days.select("basin", "date", F.transform("stations", lambda s: F.element_at("m", s)).alias("x"))
-    return M.predict_days(train, chosen, days)
+    by = ("basin", "band", "test_wy")
+    train = M.split_years(table, range(1994, 2000)).select(*by, "date", "y", "x")
+    chosen = M.train(train, by)
+    tests = wide_days(table, monthly).withColumn("test_wy", water_year(F.col("date"))).where(F.col("test_wy").between(1994, 1999))
+    pred = M.predict_days(train, chosen, tests.select("basin", "test_wy", "date", "x"), by)
+    return M.in_units(pred, areas(spark, sf)).join(chosen.select(*by, "features", "score", "r2", "rmse"), list(by))
+
+
+def spec_table(spark, sf):
+    """(training rows, months to predict) of every mode, stack and season."""
+    labels, obs = V.labels(spark, sf), full(spark, sf)
+    cells = with_cells(spark, sf).groupBy("basin", "date").agg(F.avg("g1").alias("g1"))
+    gridded = obs.join(cells, ["basin", "date"], "left")
+    filled = {("drop", "peers"): obs, ("drop", "grid"): obs, ("impute", "peers"): M.impute_from_peers(obs, obs, since="1996-01-01"), ("impute", "grid"): M.impute_from_grid(gridded, gridded, ["g1"], since="1996-01-01")}
+    rows, days = [], []
+    for (mode, stack), values in filled.items():
+        monthly = written(values.groupBy("basin", "station", F.trunc("date", "month").alias("date")).agg(F.avg("value").alias("value")).where("value IS NOT NULL"), "spec-months")
+        table = written(M.survey_table(labels, monthly), "spec-table")
+        marks = {"mode": F.lit(mode), "stack": F.lit(stack)}
+        rows.append(table.withColumns(marks))
+        days.append(wide_days(table, monthly).withColumns(marks))
+    thresholds = labels.select(F.year("date").alias("year"), "band").distinct().withColumn("threshold", F.make_date("year", F.lit(6), F.lit(1)))
+    return M.season_tables(reduce(DataFrame.unionByName, rows), thresholds), reduce(DataFrame.unionByName, days)
+
+
+@query("m10_m12_specs_trained")
+def _(spark, sf):
+    """Every spec (band, mode, stack, season) trained, validated and used for every month, in three units."""
+    by = ("basin", "band", "mode", "stack", "season")
+    table, days = spec_table(spark, sf)
+    table = written(table.select(*by, "date", "y", "x"), "spec-rows")
+    chosen = M.train(table, by)
+    pred = M.predict_days(table, chosen, days.select("basin", "mode", "stack", "date", "x"), by)
+    return M.in_units(pred, areas(spark, sf)).join(chosen.select(*by, "features", "score", "r2", "rmse"), list(by))
 
 
 @query("q3_model_qa")

@@ -219,6 +219,89 @@ def test_peer_imputation_chains(spark):
     assert np.isclose(got[2][0], 41.0) and np.isclose(got[3][0], 60.0)
 
 
+def plain_peers(wide, target, valid, since, most=3):
+    """Chosen peers and their fit, by refits on the raw rows."""
+    chosen, best = [], -np.inf
+    for stage in range(most):
+        scores = {}
+        for p in [p for p in valid if p != target and p not in chosen]:
+            part = wide[[target, *chosen, p]].dropna()
+            part = part[part.index >= since] if stage else part
+            if len(part) > stage + 2:
+                y, x = part[target].to_numpy(), part[[*chosen, p]].to_numpy()
+                b = models.lstsq(x, y)
+                scores[p] = round(models.adjusted(models.r2_of(y, b[0] + x @ b[1:]), len(y), stage + 1), 10)
+        top = max(scores, key=lambda p: (scores[p], -valid.index(p)), default=None)
+        if top is None or scores[top] <= best:
+            break
+        best, chosen = scores[top], [*chosen, top]
+    part = wide[[target, *chosen]].dropna()
+    part = part[part.index >= since]
+    return (chosen, models.lstsq(part[chosen].to_numpy(), part[target].to_numpy())) if chosen and len(part) > 1 else None
+
+
+def test_peer_imputation_against_refits(spark):
+    """All gaps of a network with random ones, a copied station (ties), chains of filled stations and whole days missing."""
+    rng = np.random.default_rng(8)
+    days = pd.date_range("2012-06-01", periods=400)
+    level = np.cumsum(rng.normal(size=400)) + 50
+    wide = pd.DataFrame({s: level * (1 + s / 10) + rng.normal(size=400) * s for s in range(1, 6)}, index=days)
+    wide[6] = wide[2]
+    wide = wide.mask(rng.random(wide.shape) < 0.25)
+    wide.iloc[[7, 8]] = np.nan
+    rows = [(1, int(s), d.date(), None if np.isnan(v) else float(v)) for d, row in wide.iterrows() for s, v in row.items()]
+    df = spark.createDataFrame(rows, "basin int, station int, date date, value double")
+    got = {(r.station, r.date): r for r in models.impute_from_peers(df, df).collect()}
+    assert len(got) == len(rows)
+    since, n = pd.Timestamp("2013-01-01"), 0
+    for day, row in wide.iterrows():
+        have = row.dropna().to_dict()
+        able = bool(have)
+        for s in wide.columns:
+            r = got[s, day.date()]
+            if s in row.dropna().index:
+                assert (r.value, r.imputed) == (row[s], False)
+                continue
+            valid = sorted([*row.dropna().index, *[t for t in row[row.isna()].index if t < s]]) if able else []
+            fit = plain_peers(wide, s, valid, since)
+            if fit is None or any(p not in have for p in fit[0]):
+                assert r.value is None and not r.imputed
+                continue
+            have[s] = max(0.0, float(fit[1][0] + sum(b * have[p] for b, p in zip(fit[1][1:], fit[0], strict=True))))
+            assert r.imputed and np.isclose(r.value, have[s], atol=1e-6)
+            n += 1
+    assert n > 300
+
+
+def test_training_of_specs_sets_and_years(spark):
+    """Validation, seasons, test years, sets and units against their rules."""
+    table, rows = survey(spark)
+    by = ("basin", "band")
+    out = models.train(table, by, 3).first()
+    x, y = np.array([r[4] for r in rows])[:, out.features], np.array([r[3] for r in rows])
+    year = np.array([r[2].year for r in rows])
+    p = np.zeros(len(y))
+    for fold in np.unique(year):
+        b = models.lstsq(x[year != fold], y[year != fold])
+        p[year == fold] = b[0] + x[year == fold] @ b[1:]
+    assert out.n == len(y) and np.isclose(out.rmse, np.sqrt(np.mean((p - y) ** 2))) and np.isclose(out.r2, models.r2_of(y, p))
+    limits = spark.createDataFrame([(r, "total", D(r, 3, 1)) for r in range(2010, 2014)], "year int, band string, threshold date")
+    seasons = {r.season: r["count"] for r in models.season_tables(table, limits).groupBy("season").count().collect()}
+    assert seasons == {"season": 24, "accum": 8, "melt": 8}
+    years = {(r.test_wy, r["count"]) for r in models.split_years(table, [2011, 2013]).groupBy("test_wy").count().collect()}
+    assert years == {(2011, 4), (2013, 12)}
+    assert models.split_years(table, [2011], "others").count() == 20
+    sets, days = models.station_sets(
+        spark.createDataFrame([(1, D(2020, 1, d), s) for d, ss in ((1, (12, 3)), (2, (1, 23)), (3, (3, 12)), (4, (12,))) for s in ss], "basin int, date date, station int"),
+        spark.createDataFrame([(1, 3), (1, 9)], "basin int, station int"),
+    )
+    assert {(r.set_key, r.n_days) for r in sets.collect()} == {("3,12|3", 2), ("1,23|", 1), ("12|", 1)} and days.count() == 4
+    cut = models.only_stations(spark.createDataFrame([([3, 5, 9], [1.0, 2.0, 3.0], [9, 3, 4])], "stations array<int>, x array<double>, k array<int>"), "stations", "k").first()
+    assert cut.x == [3.0, 1.0, None]
+    units = models.in_units(spark.createDataFrame([(1, "total", 100.0)], "basin int, band string, pred double"), spark.createDataFrame([(1, "total", 2500.0)], "basin int, band string, area_m2 double")).first()
+    assert np.isclose(units.inches, 3.93701) and np.isclose(units.acre_ft, 100 * 0.001 * 2500 * 0.000810714) and units.mm == 100.0
+
+
 def test_imputation_keeps_negative_out(spark):
     df, *_ = rows_for_fit(spark, k=1)
     rows = df.limit(1).select("basin", "station", "date", F.lit(None).cast("double").alias("value"), F.lit(-1000.0).alias("x0"))
