@@ -5,38 +5,79 @@ unigram segmentation. The distinct new pre-tokens of a batch are the paths of a
 stands for a prefix, and its forward score (the best score of any segmentation of that prefix, and how many pieces it
 has) is computed once from its ancestors, however many pre-tokens share the prefix. In sorted order the open path is
 all of the trie that is ever needed. A terminal node's count is the pre-token's and is kept, up to a bound.
+
+The tokenizer's pieces are as its file has them. Their probabilities are those of a unigram model of the corpus: how
+often the public tokenizer itself gives each piece over all documents.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from math import log
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import arrow_map
 
-TERMINALS = 600_000
+#: Terminals that a worker keeps in each of two generations, and distinct pre-tokens that are counted at once.
+TERMINALS, COUNTED = 250_000, 200_000
 START = "▁"
 
 
-def piece_scores(path: str) -> dict[str, float]:
-    """Log-probabilities of a SentencePiece file's pieces: Zipf's law over their rank in the file, control pieces left out."""
+@lru_cache(maxsize=1)
+def tokenizer(path: str):
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-    norm = log(sum(1 / (r + 2) for r in range(len(pieces))))
-    return {p: -log(r + 2) - norm for r, p in enumerate(pieces)}
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def piece_counts(docs: DataFrame, path: str) -> DataFrame:
+    """Rows (piece int, n long): how often the tokenizer at ``path`` gives each piece over the pre-tokens of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = tokenizer(path)
+        total = np.zeros(model.get_piece_size(), np.int64)
+        words: Counter[bytes] = Counter()
+
+        def count() -> None:
+            ids = model.encode([w.decode() for w in words])
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(x) for x in ids])
+            np.add.at(total, np.fromiter((i for x in ids for i in x), np.int64, len(times)), times)
+            words.clear()
+
+        for batch in batches:
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                words.update((text or b"").split())
+                if len(words) > COUNTED:
+                    count()
+        if words:
+            count()
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["piece", "n"])
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def piece_scores(path: str, counts: dict[int, int]) -> dict[str, float]:
+    """Log-probabilities of a SentencePiece file's pieces by their ``counts`` plus one; control pieces are left out."""
+    model = tokenizer(path)
+    used = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    total = log(sum(counts.get(i, 0) + 1 for i in used) or 1)
+    return {model.id_to_piece(i): log(counts.get(i, 0) + 1) - total for i in used}
 
 
 class ForwardTrie:
     """Best (pieces, score) of pre-tokens, by forward scores along the paths of their trie.
 
     A character that no piece covers falls back to its UTF-8 bytes, each a token of ``byte_score``. Of equal scores
-    the one with fewer pieces counts. The terminals start anew once they are full, so memory is bounded.
+    the one with fewer pieces counts. Once the terminals are full they become the old ones, of which those stay that
+    are asked for again, so memory is bounded.
     """
 
     def __init__(self, pieces: dict[str, float], byte_score: float | None = None):
@@ -45,15 +86,19 @@ class ForwardTrie:
         self.ends = {p[i:] for p in pieces for i in range(len(p))}
         self.byte_score = min(pieces.values(), default=0.0) - 10.0 if byte_score is None else byte_score
         self.terminal: dict[str, tuple[int, float]] = {}
+        self.old: dict[str, tuple[int, float]] = {}
 
     def insert(self, words: set[str]) -> None:
         """Makes terminals of the words that are none yet, each node of their trie once."""
         if len(self.terminal) > TERMINALS:
-            self.terminal.clear()
+            self.old, self.terminal = self.terminal, {}
+        words = words - self.terminal.keys()
+        again = words & self.old.keys()
+        self.terminal.update((w, self.old[w]) for w in again)
         pieces, ends, low, terminal = self.pieces, self.ends, self.byte_score, self.terminal
         before = ""
         scores, counts = [0.0], [0]
-        for word in sorted(words - terminal.keys()):
+        for word in sorted(words - again):
             text = START + word
             d, n = 0, min(len(text), len(before))
             while d < n and text[d] == before[d]:  # the shared prefix
@@ -80,20 +125,32 @@ class ForwardTrie:
             before = text
 
 
-@lru_cache(maxsize=2)
-def trie_for(path: str) -> ForwardTrie:
-    return ForwardTrie(piece_scores(path))
+class Tries:
+    """The trie of a call (``token``), built once a worker."""
+
+    held: dict[str, ForwardTrie] = {}
+
+    @classmethod
+    def of(cls, token: str, pieces: dict[str, float]) -> ForwardTrie:
+        if token not in cls.held:
+            cls.held = {token: ForwardTrie(pieces)}
+        return cls.held[token]
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """Rows (doc_id long, n_words long, n_tokens long, score double): pre-tokens, tokens and log-probability of each text.
 
+    The pieces of the tokenizer at ``path`` have their probabilities in all of ``docs``.
+
     Null, empty and blank texts have none and score 0. Rows that share a doc_id are counted each on its own; other
     columns are ignored; an empty table gives an empty table.
     """
 
+    counts = {r.piece: r.n for r in piece_counts(docs, path).collect()}  # one number a piece of the file
+    shared, token = docs.sparkSession.sparkContext.broadcast(piece_scores(path, counts)), uuid.uuid4().hex
+
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        trie = trie_for(path)
+        trie = Tries.of(token, shared.value)
         n_words, n_tokens, scores = [], [], []
 
         def count(texts: list[list[bytes]]) -> None:
