@@ -4,7 +4,8 @@
    twice filter. Filters travel as compressed blocks and merge by block: once = or of the onces, twice = or of the
    twices and of what two onces share. A line found in two documents is therefore always in the merged twice filter.
 2. Lines that the twice filter has are suspects. Only these shuffle, as whole keys, and are counted exactly.
-3. Documents without suspects never leave their task; the others meet their confirmed keys by document id.
+3. Few confirmed keys (counted first) are broadcast, and one pass drops their lines where the documents are. Beyond
+   that documents without suspects never leave their task; the others meet their confirmed keys by document id.
 
 The filter has ``bits_per_line`` bits a line up to ``max_filter_bytes``. Beyond that bound more lines are suspects
 (in the end all of them shuffle); the result stays exact.
@@ -27,6 +28,8 @@ from fieldspark.llm.common import free_name, materialize
 
 SPACE = b" \t\n\x0b\x0c\r"
 BLOCK = 1 << 15
+#: Confirmed keys, and bytes of them, up to which they are broadcast.
+CONFIRMED, CONFIRMED_BYTES = 100_000, 8_000_000
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -165,6 +168,30 @@ class Suspects:
         return out
 
 
+def drop_in_place(docs: DataFrame, keep: dict[bytes, int | None]) -> DataFrame:
+    """``docs`` without the lines whose key ``keep`` has with another doc_id; adds line_count and line_dropped."""
+    shared = docs.sparkSession.sparkContext.broadcast(keep)
+    at, names = docs.columns.index("text"), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = shared.value
+        for batch in batches:
+            texts, counts, dropped = [], [], []
+            ids = batch.column(names.index("doc_id")).cast(pa.int64()).to_pylist()
+            for doc_id, text in zip(ids, batch.column(at).cast(pa.binary()).to_pylist(), strict=True):
+                lines, keys = (text or b"").split(b"\n"), line_keys(text or b"")
+                gone = {k for k in keys if k in keep and keep[k] != doc_id}
+                counts.append(len(lines))
+                kept = [x for x, k in zip(lines, keys, strict=True) if k not in gone] if gone else lines
+                dropped.append(len(lines) - len(kept))
+                texts.append(b"\n".join(kept) if gone else text)
+            columns = [batch.column(i) for i in range(len(names))]
+            columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, "line_count", "line_dropped"])
+
+    return docs.mapInArrow(run, StructType(list(docs.schema.fields)).add("line_count", LongType()).add("line_dropped", LongType()))
+
+
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per_line: int = 16, max_filter_bytes: int = 1 << 25) -> DataFrame:
     """Drop lines that many documents share.
 
@@ -178,10 +205,13 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per
     it is the only holder. An empty table gives an empty table; other columns pass through unchanged.
     """
     suspected, confirmed, (shared, token, bits) = repeated_lines(docs, min_chars, min_docs, bits_per_line, max_filter_bytes)
+    extra = [c for c in docs.columns if c not in ("line_count", "line_dropped")]
+    few = confirmed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("key")), F.lit(0))).first()
+    if few[0] <= CONFIRMED and few[1] <= CONFIRMED_BYTES:
+        return drop_in_place(docs.select(*extra), {r.key.encode(): r.keep_id for r in confirmed.collect()})
     drop_id, drop_keys = free_name(docs, "drop_id"), free_name(docs, "drop_keys")
     drop = suspected.join(confirmed, "key").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     drop = drop.groupBy("doc_id").agg(F.collect_set("key").alias(drop_keys)).withColumnRenamed("doc_id", drop_id)
-    extra = [c for c in docs.columns if c not in ("line_count", "line_dropped")]
     base = docs.select(*extra)
     schema = base.schema
     arrow_text = extra.index("text")

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -249,10 +250,14 @@ def test_components_of_a_long_path(spark):
 
 
 def test_token_counts(spark, texts):
-    pieces = token_counts.piece_scores(packing.vocabulary("piece_bpe_32k.model"))
+    path = packing.vocabulary("piece_bpe_32k.model")
+    model = token_counts.tokenizer(path)
+    given = Counter(i for t in texts.values() for w in (t or "").encode().split() for i in model.encode(w.decode()))
+    pieces = token_counts.piece_scores(path, given)
     trie = token_counts.ForwardTrie(pieces)
     longest = max(map(len, pieces))
 
+    @cache
     def plain(word):
         text = token_counts.START + word
         best = [(0.0, 0)]
@@ -264,13 +269,26 @@ def test_token_counts(spark, texts):
         return best[-1]
 
     got = {r.doc_id: r for r in QUERIES["op4_token_counts"](spark, SF).collect()}
-    for doc_id in list(texts)[:60]:
+    assert len(got) == len(texts)
+    for doc_id in texts:
         words = (texts[doc_id] or "").encode().split()
         want = [plain(w.decode()) for w in words]
         assert (got[doc_id].n_words, got[doc_id].n_tokens) == (len(words), sum(c for _, c in want))
         assert np.isclose(got[doc_id].score, sum(s for s, _ in want))
 
 
+def test_terminals_of_two_generations(monkeypatch):
+    pieces = {"▁a": -1.0, "▁": -3.0, "b": -2.0, "ab": -2.5, "a": -4.0}
+    words = [["a", "ab", "b"], ["bb", "aab"], ["ab", "c"], ["b", "a", "bb"], ["ab"]]
+    whole = token_counts.ForwardTrie(pieces)
+    whole.insert({w for ws in words for w in ws})
+    monkeypatch.setattr(token_counts, "TERMINALS", 2)
+    trie = token_counts.ForwardTrie(pieces)
+    for ws in words:
+        trie.insert(set(ws))
+        assert [trie.terminal[w] for w in ws] == [whole.terminal[w] for w in ws] and len(trie.terminal) < 7
+
+
 def test_policies_and_ablations(spark, docs):
     led = quality.ledger(docs).cache()
     rows = led.collect()
@@ -353,8 +371,9 @@ def test_long_and_repeated_urls(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 25, 1])
-def test_line_dedup_is_exact_whatever_the_filter(spark, docs, texts, max_bytes):
+@pytest.mark.parametrize("max_bytes,confirmed", [(1 << 25, lines.CONFIRMED), (1 << 25, 0), (1, 0), (1, lines.CONFIRMED)])
+def test_line_dedup_is_exact_whatever_the_filter(spark, docs, texts, monkeypatch, max_bytes, confirmed):
+    monkeypatch.setattr(lines, "CONFIRMED", confirmed)
     keys = {d: [x.strip(b" \t\n\x0b\x0c\r") for x in (t or "").encode().lower().split(b"\n")] for d, t in texts.items()}
     held = defaultdict(set)
     for d, ks in keys.items():
