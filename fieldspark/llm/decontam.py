@@ -85,7 +85,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingl
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
-    """The rows of ``docs`` that hold no test item; columns stay. Rows with a null doc_id stay."""
+    """The rows of ``docs`` that hold no test item; columns stay. Rows with a null doc_id stay.
+
+    The ids of the others are counted; few of them are broadcast, so that no text is shuffled.
+    """
     gone_id = free_name(docs, "gone_id")
-    gone = find_leaks(docs, items, threshold, shingle_words).select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
+    gone = materialize(find_leaks(docs, items, threshold, shingle_words).select(F.col("doc_id").alias(gone_id)).distinct(), "leak-gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, F.col("doc_id") == F.col(gone_id), "left_anti")
