@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import CELL_M2, acre_feet, convert
+from fieldspark.sources.tables import small_side
 
 
 def band_means(grid: DataFrame, cell_band: DataFrame, cell_m2: float = CELL_M2) -> DataFrame:
@@ -17,7 +18,7 @@ def band_means(grid: DataFrame, cell_band: DataFrame, cell_m2: float = CELL_M2)
     """
     areas = cell_band.groupBy("band").agg((F.count("*") * F.lit(cell_m2)).alias("area_m2"))
     means = grid.where("value IS NOT NULL").join(cell_band, ["y", "x"]).groupBy("date", "band").agg(F.avg("value").alias("mean_m"))
-    return means.join(F.broadcast(areas), "band").select("date", "band", "mean_m", "area_m2", acre_feet(F.col("mean_m"), F.col("area_m2")).alias("acre_ft"))
+    return means.join(small_side(areas), "band").select("date", "band", "mean_m", "area_m2", acre_feet(F.col("mean_m"), F.col("area_m2")).alias("acre_ft"))
 
 
 def band_acres(cell_band: DataFrame, mask: DataFrame | None = None, cell_m2: float = CELL_M2) -> DataFrame:
@@ -29,7 +30,7 @@ def band_acres(cell_band: DataFrame, mask: DataFrame | None = None, cell_m2: flo
 def survey_volumes(grid: DataFrame, cell_band: DataFrame, acres: DataFrame) -> DataFrame:
     """Mean of each survey's band in feet times the band's acres."""
     means = grid.where("value IS NOT NULL").join(cell_band, ["y", "x"]).groupBy("date", "band").agg(F.avg("value").alias("mean_m"))
-    return means.join(F.broadcast(acres), "band").select("date", "band", (convert(F.col("mean_m"), "m", "ft") * F.col("acres")).alias("acre_ft"))
+    return means.join(small_side(acres), "band").select("date", "band", (convert(F.col("mean_m"), "m", "ft") * F.col("acres")).alias("acre_ft"))
 
 
 def band_counts(cells: DataFrame, bands: DataFrame, value: str = "elev") -> DataFrame:

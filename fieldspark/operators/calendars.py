@@ -8,15 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import water_year
+from fieldspark.sources.tables import small_side
 
 KEYS = ("basin", "station")
 
 
-def daily_calendar(df: DataFrame, keys: Sequence[str] = KEYS, step: str = "1 day") -> DataFrame:
-    """Every date from the table's first to its last, for each series: gaps become null rows."""
+def daily_calendar(df: DataFrame, keys: Sequence[str] = KEYS, step: str = "1 day", most_days: int = 73_000) -> DataFrame:
+    """Every date from the table's first to its last, for each series: gaps become null rows.
+
+    A span over ``most_days`` (two centuries) is an error: one wrong date would make millions of rows a series.
+    """
     span = df.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     series = df.select(*keys).distinct().crossJoin(F.broadcast(span))  # one row
-    days = series.select(*keys, F.explode(F.sequence("lo", "hi", F.expr(f"interval {step}"))).alias("date"))
+    dates = F.when(F.date_diff("hi", "lo") > most_days, F.raise_error(F.concat(F.lit("dates span "), "lo", F.lit(" to "), "hi"))).otherwise(F.sequence("lo", "hi", F.expr(f"interval {step}")))
+    days = series.select(*keys, F.explode(dates).alias("date"))
     return days.join(df, [*keys, "date"], "left")
 
 
@@ -73,7 +78,7 @@ def exclude(df: DataFrame, ranges: DataFrame, value: str = "value") -> DataFrame
     r = ranges.select(
         F.col("station").alias("__s"), F.coalesce("start", F.lit("0001-01-01").cast("date")).alias("__lo"), F.coalesce("end", F.lit("9999-12-31").cast("date")).alias("__hi")
     )
-    spans = F.broadcast(r.groupBy("__s").agg(F.collect_list(F.struct("__lo", "__hi")).alias("__r")))
+    spans = small_side(r.groupBy("__s").agg(F.collect_list(F.struct("__lo", "__hi")).alias("__r")))
     joined = df.join(spans, F.col("station") == F.col("__s"), "left")
     hit = F.coalesce(F.exists("__r", lambda x: F.col("date").between(x["__lo"], x["__hi"])), F.lit(False))
     return joined.withColumn("excluded", hit).withColumn(value, F.when(~F.col("excluded"), F.col(value))).drop("__s", "__r")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import clip_negative
+from fieldspark.sources.tables import small_side
 
 
 def survey_with_stations(labels: DataFrame, obs: DataFrame, band: str = "total") -> DataFrame:
@@ -74,7 +75,7 @@ def season_part(df: DataFrame, thresholds: DataFrame, part: str, keys: Sequence[
 
     The table is a small dimension; repeated keys count once. The year is the calendar year.
     """
-    t = F.broadcast(thresholds.dropDuplicates(list(keys)).select(*keys, "threshold"))
+    t = small_side(thresholds.dropDuplicates(list(keys)).select(*keys, "threshold"))
     joined = df.join(t, list(keys))
     return joined.where(F.col("date") < F.col("threshold") if part == "accum" else F.col("date") >= F.col("threshold"))
 
@@ -108,7 +109,7 @@ def grid_at_stations(grid: DataFrame, cells: DataFrame, ranks: Sequence[str] = (
 
     The small cell table prunes the grid before anything is aggregated.
     """
-    picked = grid.join(F.broadcast(cells.where("y IS NOT NULL AND x IS NOT NULL")), ["y", "x"])
+    picked = grid.join(small_side(cells.where("y IS NOT NULL AND x IS NOT NULL")), ["y", "x"])
     return picked.groupBy("station", "date").pivot("rank", list(ranks)).agg(F.first(value, ignorenulls=True))
 
 

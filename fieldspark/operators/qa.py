@@ -16,6 +16,7 @@ from fieldspark.operators import peers as P
 from fieldspark.operators.calendars import KEYS, daily_calendar
 from fieldspark.operators.models import fit_ols, interval_score
 from fieldspark.operators.sequences import long_runs, null_to_value, row_difference, with_gate
+from fieldspark.sources.tables import small_side, written
 
 #: Reasons that are a method's own signal and not a hard check.
 OWN_SIGNALS = ("PEER_RESID", "VOTING", "PRED_RESID")
@@ -71,13 +72,14 @@ def static_qa(
     residual (1). The peer spread is the robust sigma of the history's differences from the daily median of today's
     peers, computed once for each distinct set of peers. Below the gate, without peers or spread the last is skipped.
     """
-    bounds = F.broadcast(envelope(history, q_lo, q_hi))
-    today = P.peer_median(test, ranked, k)
+    bounds = small_side(written(envelope(history, q_lo, q_hi), "qa-bounds"))
+    today = written(P.peer_median(test, ranked, k), "qa-today")
     sets = today.select("basin", "station", "peer_set").distinct()
     member = sets.withColumn("peer", F.explode("peer_set"))
     other = history.where("value IS NOT NULL").select("basin", F.col("station").alias("peer"), "date", F.col("value").alias("pv"))
     middle = member.join(other, ["basin", "peer"]).groupBy("basin", "station", "peer_set", "date").agg(F.median("pv").alias("m"))
     resid = middle.join(history, ["basin", "station", "date"]).where("value IS NOT NULL").withColumn("resid", F.col("value") - F.col("m"))
+    resid = written(resid.select("basin", "station", "peer_set", "resid"), "qa-resid")  # its median and then its spread
     sigma = P.robust_sigma(resid, ["basin", "station", "peer_set"], "resid", 5, True).select("basin", "station", "peer_set", "sigma")
     rows = with_steps(test).join(bounds, list(KEYS), "left").join(today, ["basin", "station", "date"], "left").join(sigma, ["basin", "station", "peer_set"], "left")
     v, m = F.col("value"), F.col("peer_median")
@@ -95,10 +97,11 @@ def static_qa(
 
 def pair_models(history: DataFrame, ranked: DataFrame, min_fit: int = 40) -> DataFrame:
     """Regression of the change on the peer's change, its robust residual spread and its weight."""
-    steps = history.withColumn("d", row_difference(F.col("value")))
+    steps = written(history.withColumn("d", row_difference(F.col("value"))).select("basin", "station", "date", "d"), "qa-steps")
     fits = P.pair_stats(steps, "d", min_fit).select("basin", "station", "peer", "slope", "intercept", F.coalesce(F.col("score"), F.lit(0.5)).alias("weight"))
-    fits = fits.join(ranked.select("basin", "station", "peer", "rk"), ["basin", "station", "peer"])
-    resid = P.pairs(steps, "d").join(fits, ["basin", "station", "peer"]).withColumn("e", F.col("y") - F.col("intercept") - F.col("slope") * F.col("x"))
+    fits = written(fits.join(ranked.select("basin", "station", "peer", "rk"), ["basin", "station", "peer"]), "qa-fits")
+    resid = P.pairs(steps, "d").join(small_side(fits), ["basin", "station", "peer"])
+    resid = written(resid.select("basin", "station", "peer", (F.col("y") - F.col("intercept") - F.col("slope") * F.col("x")).alias("e")), "qa-resid")
     sigma = P.robust_sigma(resid, ["basin", "station", "peer"], "e", 10, False)
     return fits.join(sigma.select("basin", "station", "peer", "sigma"), ["basin", "station", "peer"])
 
@@ -109,8 +112,8 @@ def voting_qa(history: DataFrame, test: DataFrame, ranked: DataFrame, k: int = 5
     A peer votes ok if the change is within the threshold of what its regression expects; the worst votes are
     trimmed; the day is flagged if the ok weight is below ``least_ok``, unless today and yesterday are below the gate.
     """
-    models = pair_models(history, ranked, min_fit)
-    steps = with_steps(test)
+    models = written(pair_models(history, ranked, min_fit), "qa-models")
+    steps = written(with_steps(test), "qa-days")
     votes = P.peers_today(steps, models, k, rank_first=False, value="delta").join(models.drop("rk"), ["basin", "station", "peer"])
     votes = votes.join(steps.select("basin", "station", "date", "delta"), ["basin", "station", "date"]).where("delta IS NOT NULL AND sigma IS NOT NULL")
     votes = votes.withColumn("expected", F.col("intercept") + F.col("slope") * F.col("peer_value")).withColumn("miss", F.abs(F.col("delta") - F.col("expected")))

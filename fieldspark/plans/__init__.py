@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.plans import feeds, models, series
 from fieldspark.plans.catalog import ORACLE, QUERIES, VIEWS, query, with_views
+from fieldspark.sources.tables import small_side, written
 
 __all__ = ["ORACLE", "QUERIES", "feeds", "flagship", "models", "series"]
 
@@ -20,7 +21,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.operators.calendars import KEYS
 
     days = series.full(spark, sf_dir)
-    rows = qa.with_steps(days).join(F.broadcast(qa.envelope(days, 0.05, 0.95)), list(KEYS))
+    rows = qa.with_steps(days).join(small_side(written(qa.envelope(days, 0.05, 0.95), "envelope")), list(KEYS))
     checks = [*qa.hard_checks(high=90.0), ("APPEARED", F.col("appeared"), 1), ("DELTA", (F.col("delta") < F.col("lo")) | (F.col("delta") > F.col("hi")), 2)]
     rows = qa.graded(rows, "static", checks)
     of = lambda code: F.count_if(F.col("reason_code") == code)
