@@ -34,9 +34,24 @@ def _(spark, sf):
     return fits.select("basin", "station", "n", F.round("intercept", 6).alias("intercept"), F.round(F.get("beta", F.lit(0)), 6).alias("slope"), F.round("sigma", 6).alias("sigma"))
 
 
-@query("m1_ols_three_predictors")
+def three_sql(rows: str, least: int) -> str:
+    """CTEs s (moments), d (adjugate of the covariances) and f: the three-predictor fit of ``rows`` in closed form."""
+    pairs = [("g1", "g1", "a11"), ("g1", "g2", "a12"), ("g1", "g3", "a13"), ("g2", "g2", "a22"), ("g2", "g3", "a23"), ("g3", "g3", "a33"), ("g1", "value", "b1"), ("g2", "value", "b2"), ("g3", "value", "b3"), ("value", "value", "yy")]
+    moments = ", ".join(f"covar_pop({x}, {y}) AS {name}" for x, y, name in pairs)
+    return (
+        f", s AS (SELECT basin, station, count(*) AS n, avg(value) AS my, avg(g1) AS m1, avg(g2) AS m2, avg(g3) AS m3, {moments} FROM {rows} GROUP BY ALL HAVING count(*) >= {least})"
+        ", d AS (SELECT *, a22 * a33 - a23 * a23 AS i11, a13 * a23 - a12 * a33 AS i12, a12 * a23 - a13 * a22 AS i13, a11 * a33 - a13 * a13 AS i22, a12 * a13 - a11 * a23 AS i23, a11 * a22 - a12 * a12 AS i33 FROM s)"
+        ", e AS (SELECT *, a11 * i11 + a12 * i12 + a13 * i13 AS det FROM d)"
+        ", p AS (SELECT *, (i11 * b1 + i12 * b2 + i13 * b3) / det AS p1, (i12 * b1 + i22 * b2 + i23 * b3) / det AS p2, (i13 * b1 + i23 * b2 + i33 * b3) / det AS p3 FROM e)"
+        ", f AS (SELECT *, my - p1 * m1 - p2 * m2 - p3 * m3 AS p0, sqrt(greatest(n * (yy - p1 * b1 - p2 * b2 - p3 * b3), 0) / (n - 4)) AS sigma FROM p)"
+    )
+
+
+@query("m1_ols_three_predictors", CELLS_SQL + three_sql("c", 5) + " SELECT basin, station, n, round(p0, 4) AS intercept, round(p1, 4) AS b1, round(p2, 4) AS b2, round(p3, 4) AS b3, round(sigma, 4) AS sigma FROM f")
 def _(spark, sf):
-    return M.fit_ols(with_cells(spark, sf), M.KEYS, "value", CELLS, 5).select("basin", "station", "n", "intercept", "beta", "sigma")
+    fits = M.fit_ols(with_cells(spark, sf), M.KEYS, "value", CELLS, 5)
+    beta = [F.round(F.get("beta", F.lit(i)), 4).alias(f"b{i + 1}") for i in range(3)]
+    return fits.select("basin", "station", "n", F.round("intercept", 4).alias("intercept"), *beta, F.round("sigma", 4).alias("sigma"))
 
 
 @query("m4_fitted", CELLS_SQL + ", f AS (SELECT basin, station, regr_intercept(value, g1) AS a, regr_slope(value, g1) AS b FROM c GROUP BY ALL) SELECT basin, station, date, round(a + b * g1, 6) AS yhat, round(value - a - b * g1, 6) AS resid FROM c JOIN f USING (basin, station)")
@@ -185,20 +200,40 @@ def _(spark, sf):
     return M.in_units(pred, areas(spark, sf)).join(chosen.select(*by, "features", "score", "r2", "rmse"), list(by))
 
 
-@query("q3_model_qa")
-def _(spark, sf):
-    rows = with_cells(spark, sf)
-    days = daily_calendar(rows)
+MODEL_SQL = (
+    CELLS_SQL
+    + ", h AS (SELECT * FROM c WHERE date < DATE '2000-10-01')"
+    + three_sql("h", 60)
+    + ", days AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM c)"
+    ", t AS (SELECT k.basin, k.station, y.date, c.value, c.g1, c.g2, c.g3 FROM (SELECT DISTINCT basin, station FROM c) k CROSS JOIN days y LEFT JOIN c USING (basin, station, date) WHERE y.date >= DATE '2000-10-01')"
+    ", v AS (SELECT t.*, f.*EXCLUDE (basin, station), g1 - m1 AS d1, g2 - m2 AS d2, g3 - m3 AS d3 FROM t LEFT JOIN f USING (basin, station))"
+    ", q AS (SELECT *, CASE WHEN g1 IS NOT NULL AND p0 IS NOT NULL THEN greatest(p0 + p1 * g1 + p2 * g2 + p3 * g3, 0) END AS pred, sigma * sqrt(1 + 1 / n + greatest((i11 * d1 * d1 + i22 * d2 * d2 + i33 * d3 * d3 + 2 * (i12 * d1 * d2 + i13 * d1 * d3 + i23 * d2 * d3)) / (det * n), 0)) AS se FROM v)"
+    ", r AS (SELECT *, CASE WHEN value IS NULL THEN 'MISSING' WHEN value < 0 OR value > 3000 THEN 'PHYSICAL' WHEN pred IS NULL OR se IS NULL OR pred < 10 THEN 'SKIPPED' WHEN abs(value - pred) > greatest(2 * se * 1.2, 25, 0.05 * greatest(abs(pred), 1)) THEN 'PRED_RESID' ELSE 'OK' END AS reason_code FROM q)"
+    " SELECT basin, station, date, method, round(pred, 3) AS pred, round(se, 3) AS se, reason_code, CAST(reason_code NOT IN ('OK', 'SKIPPED') AS INTEGER) AS flag FROM r, (VALUES ('base'), ('detrend')) w(method)"
+)
+
+
+def model_flags(spark, sf, methods):
+    days = written(daily_calendar(with_cells(spark, sf)), "model-days")
     hist, test = days.where("date < '2000-10-01'"), days.where("date >= '2000-10-01'")
-    parts = [Q.model_qa(hist, test, CELLS, m, gate=10.0).withColumn("method", F.lit(m)) for m in ("base", "seasonal", "detrend")]
-    columns = ["basin", "station", "date", "method", "pred", "se", "reason_code", "flag"]
-    return parts[0].select(columns).unionByName(parts[1].select(columns)).unionByName(parts[2].select(columns))
+    parts = [Q.model_qa(hist, test, CELLS, m, gate=10.0).withColumn("method", F.lit(m)) for m in methods]
+    columns = ["basin", "station", "date", "method", F.round("pred", 3).alias("pred"), F.round("se", 3).alias("se"), "reason_code", "flag"]
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+
+
+@query("q3_model_qa", MODEL_SQL)
+def _(spark, sf):
+    return model_flags(spark, sf, ("base", "detrend"))
+
+
+@query("q3_model_seasonal")
+def _(spark, sf):
+    return model_flags(spark, sf, ("seasonal",))
 
 
 @query("q5_all_methods")
 def _(spark, sf):
-    rows = with_cells(spark, sf)
-    days = daily_calendar(rows)
+    days = written(daily_calendar(with_cells(spark, sf)), "qa-days")
     hist, test = days.where("date < '2000-10-01'"), days.where("date >= '2000-10-01'")
     return Q.run_qa(hist, test, ranking(history(spark, sf)), CELLS)
 

@@ -14,6 +14,7 @@ from fieldspark.operators import qa as Q
 from fieldspark.operators import sequences as W
 from fieldspark.plans.catalog import query
 from fieldspark.sources import views as V
+from fieldspark.sources.tables import written
 
 FULL = ("obs", "days", "full_obs")
 SPLIT = "2000-10-01"
@@ -249,7 +250,7 @@ def test_days(spark, sf):
 
 
 def ranking(hist):
-    return P.ranked_peers(P.pair_stats(hist.withColumn("d", W.row_difference(F.col("value"))), "d"))
+    return written(P.ranked_peers(P.pair_stats(hist.withColumn("d", W.row_difference(F.col("value"))), "d")), "ranking")
 
 
 @query("j9_a11_a12_pairs", PAIRS + " SELECT basin, station, peer, n, round(r, 9) AS r, round(slope, 9) AS slope, round(intercept, 9) AS intercept FROM pr", FULL)
@@ -301,7 +302,8 @@ static AS (SELECT t.basin, t.station, t.date, CASE WHEN value IS NULL THEN 'MISS
 
 
 def static_result(spark, sf):
-    hist, test = history(spark, sf), test_days(spark, sf)
+    days = written(full(spark, sf), "qa-days")
+    hist, test = days.where(F.col("date") < SPLIT), days.where(F.col("date") >= SPLIT)
     return Q.static_qa(hist, test, ranking(hist), gate=None, q_lo=0.05, q_hi=0.95, buffer=1.0, high=90.0)
 
 
@@ -323,7 +325,8 @@ voting AS (SELECT t.basin, t.station, t.date, CASE WHEN value IS NULL THEN 'MISS
 
 
 def voting_result(spark, sf):
-    hist, test = history(spark, sf), test_days(spark, sf)
+    days = written(full(spark, sf), "qa-days")
+    hist, test = days.where(F.col("date") < SPLIT), days.where(F.col("date") >= SPLIT)
     return Q.voting_qa(hist, test, ranking(hist), gate=20.0, high=90.0)
 
 
