@@ -8,8 +8,10 @@ in one set alone, for which the chance is 0.2 ** 12, four in a billion, at a sim
 bucket the trie self-join of ``simhash`` gives the pairs within ``BUDGET`` differing bits, and the pairs are verified
 on the shingle hashes themselves.
 
-Equal sets are one node. A large bucket first meets its hubs only, the members nearest to its bitwise majority; the
-trie then takes what pairs are left between components. So a large group of near copies isn't compared pair by pair.
+Equal sets are one node. A large bucket first meets its hubs only, the members nearest to its bitwise majority. What
+is left between components is compared inside the bucket's task, where the sets travel along, by the trie again; it
+gives a link for each member that joins another component, never all pairs. A group of variants that resemble one
+another by less than the threshold still costs its task a comparison for each pair within the budget.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from fieldspark.llm.simhash import BUCKET, Labels, trie_pairs
 
 #: Members of a bucket up to which all its pairs are candidates at once; hubs of a larger one.
 SMALL, HUBS = 32, 8
-#: Frequent members put last in the order (any number gives the same result), and pairs in a batch.
-FREQUENT, PAIRS = 100_000, 500_000
+#: Frequent members put last in the order (any number gives the same result).
+FREQUENT = 100_000
 #: Differing bits of candidates. At a similarity of 0.8 a bit differs with a chance of 0.152, so 9.7 of 64 do (standard
 #: deviation 2.9); more than 24 have a chance below one in a million.
 BUDGET = 24
@@ -134,37 +136,88 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return materialize(rows.join(F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts, "h"), "near-buckets")
 
 
-def candidates(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of ``rows`` (h, sig, size, fp, n, label) in one bucket, of other labels, by the trie self-join.
-
-    A bucket above ``BUCKET`` is cut into cells of two of its parts each.
-    """
+def in_cells(rows: DataFrame) -> DataFrame:
+    """``rows`` with h and n, a bucket above ``BUCKET`` cut into cells of two of its parts each; without n."""
     parts = F.ceil(F.col("n") / BUCKET).cast("int")
     mine = F.pmod(F.xxhash64("sig", F.lit(7)), parts).cast("int")
     cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.xxhash64("h", F.least(j, mine), F.greatest(j, mine)))
-    rows = rows.select(F.explode(F.when(parts > 1, cells).otherwise(F.array("h"))).alias("h"), "sig", "size", "fp", "label")
+    return rows.select(F.explode(F.when(parts > 1, cells).otherwise(F.array("h"))).alias("h"), *[c for c in rows.columns if c not in ("h", "n")])
+
+
+def candidates(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``rows`` (h, sig, size, fp) in one small bucket, by the trie self-join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in in_groups(batches):
             x = x[:, np.lexsort((x[3].view(np.uint64), x[0]))]
-            h, sig, size, fp, label = x
-            labels = Labels(len(h))
-            labels.label = label
-            held: list[np.ndarray] = []
-            for i, j in trie_pairs(h, fp.view(np.uint64), BUDGET, labels, leaf=64):
+            h, sig, size, fp = x
+            for i, j in trie_pairs(h, fp.view(np.uint64), BUDGET, Labels(len(h)), leaf=64):
                 ok = np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9
-                held.append(np.stack([np.minimum(sig[i], sig[j])[ok], np.maximum(sig[i], sig[j])[ok]]))
-                if sum(p.shape[1] for p in held) > PAIRS:
-                    yield given(held)
-                    held = []
-            if held:
-                yield given(held)
-
-    def given(held: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.unique(np.concatenate(held, axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+                both = np.unique(np.stack([np.minimum(sig[i], sig[j])[ok], np.maximum(sig[i], sig[j])[ok]]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+    return rows.select("h", "sig", "size", "fp").repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+
+
+def shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members of ``one`` each of ``others`` has; all are rising."""
+    owner = np.repeat(np.arange(len(others)), [len(x) for x in others])
+    return np.bincount(owner, weights=among(np.concatenate(others), one), minlength=len(others))
+
+
+def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """Edges (src, dst) that join components of ``rows`` (h, sig, size, fp, label, pre: the set) inside buckets, verified."""
+
+    def solve(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        h, sig, fp, label = (t[c].to_numpy() for c in ("h", "sig", "fp", "label"))
+        pre = t["pre"].chunk(0) if t["pre"].num_chunks else t["pre"].combine_chunks()
+        values, size = pre.flatten().to_numpy().view(np.uint64), pre.value_lengths().to_numpy().astype(np.int64)
+        begin = np.cumsum(size) - size
+        order = np.lexsort((fp.view(np.uint64), h))
+        h, sig, fp, label, size, begin = (x[order] for x in (h, sig, fp, label, size, begin))
+        labels = Labels(len(h))
+        by = np.lexsort((label, h))
+        at = np.flatnonzero((h[by][1:] == h[by][:-1]) & (label[by][1:] == label[by][:-1]))
+        labels.link(by[at], by[at + 1])
+        before = labels.label.copy()
+        for i, j in trie_pairs(h, fp.view(np.uint64), BUDGET, labels, leaf=64):
+            ok = np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9
+            i, j = i[ok], j[ok]
+            by = np.argsort(i, kind="stable")
+            i, j = i[by], j[by]
+            cuts = np.flatnonzero(i[1:] != i[:-1]) + 1
+            for part in np.split(j, cuts) if len(j) else []:
+                one = i[0]
+                i = i[len(part) :]
+                part = part[labels.label[part] != labels.label[one]]
+                for k in range(0, len(part), 1000):
+                    some = part[k : k + 1000]
+                    common = shared(values[begin[one] : begin[one] + size[one]], [values[begin[x] : begin[x] + size[x]] for x in some])
+                    near = some[common >= threshold * (size[one] + size[some] - common) - 1e-9]
+                    if len(near):
+                        labels.link(np.full(len(near), one), near)
+        moved = np.flatnonzero(labels.label != before)
+        return pa.RecordBatch.from_arrays([pa.array(sig[moved]), pa.array(sig[labels.label[moved]])], names=["src", "dst"])
+
+    def run(batches: Iterator[pa.RecordBatch], chunk: int = 20_000) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= chunk:
+                t = pa.Table.from_batches(held)
+                h = t["h"].to_numpy()
+                cut = int(np.searchsorted(h, h[-1]))
+                if cut:
+                    yield solve(t.slice(0, cut))
+                held, size = t.slice(cut).to_batches(), len(h) - cut
+        if size:
+            yield solve(pa.Table.from_batches(held))
+
+    columns = ["h", "sig", "fp", "label", "pre"]
+    return in_cells(rows).select(*columns).repartition("h").sortWithinPartitions("h").mapInArrow(run, "src long, dst long")
 
 
 def hub_pairs(rows: DataFrame, threshold: float) -> DataFrame:
@@ -240,21 +293,19 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5)
         rows = listed(nodes.join(again, "sig", "left_anti")).unionByName(listed(late))
     buckets = shared_buckets(rows)
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(least, "sig").select(F.col("least_id").alias("doc_id"))
+    def sets_of(sigs: DataFrame) -> DataFrame:
+        ids = sigs.distinct().join(least, "sig").select(F.col("least_id").alias("doc_id"))
         return materialize(of_some(docs, ids, shingle_words, None, threshold), "near-sets")
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs.distinct(), "near-pairs")
-        return verified(pairs, sets_of(pairs), threshold)
-
     large = buckets.where(F.col("n") > SMALL)
-    pairs = candidates(buckets.where(F.col("n") <= SMALL).withColumn("label", F.col("sig")), threshold)
-    links = links_of(pairs.unionByName(hub_pairs(large, threshold)))
+    pairs = candidates(buckets.where(F.col("n") <= SMALL), threshold)
+    pairs = materialize(pairs.unionByName(hub_pairs(large, threshold)).distinct(), "near-pairs")
+    links = verified(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("sig"))), threshold)
     parts = materialize(connected_components(links, "near-cc").withColumnRenamed("node", "sig"), "near-parts")
     left = materialize(large.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig")), "near-left")
     mixed = left.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    more = links_of(candidates(left.join(mixed, "h"), threshold))
+    rest = materialize(left.join(mixed, "h"), "near-rest")
+    more = materialize(bucket_links(rest.join(sets_of(rest.select("sig")), "sig"), threshold), "near-links")
     if not more.isEmpty():
         parts = materialize(connected_components(links.unionByName(more), "near-cc").withColumnRenamed("node", "sig"), "near-parts")
     named = least.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
