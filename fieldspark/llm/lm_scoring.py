@@ -7,7 +7,9 @@
    the scores of each document.
 
 A frequent n-gram is one entry a block, so no bucket grows with how often it occurs. What is gathered is as large as
-the corpus has distinct n-grams in its blocks; nothing but the number of words reaches the driver.
+the corpus has distinct n-grams in its blocks; nothing but the numbers of words and blocks reaches the driver. The
+exploded n-grams travel as sorted, compressed arrays: as plain rows of a hash, a block and a count they took six times
+the input's size on disk.
 """
 
 from __future__ import annotations
@@ -86,8 +88,8 @@ def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
 
 def hash_bits(total: int) -> int:
-    """Width of n-gram hashes: a given n-gram meets another one's hash with a chance of about one in a million at any size."""
-    return min(64, 20 + max(1, total).bit_length())
+    """Width of n-gram hashes: a given n-gram meets another one's hash with a chance of about 1 in 16 million at any size."""
+    return min(64, 24 + max(1, total).bit_length())
 
 
 def ngrams(lens: np.ndarray, hashes: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -129,7 +131,7 @@ def partial_counts(blocks: DataFrame, order: int, buckets: int, bits: int) -> Da
     return blocks.mapInArrow(run, "bucket int, block_id long, ord int, hashes binary, counts binary")
 
 
-def answers(partial: DataFrame) -> DataFrame:
+def answers(partial: DataFrame, parts: int) -> DataFrame:
     """Rows (bucket, block_id, ord, counts): the corpus counts of what each block asked for, in its order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +157,7 @@ def answers(partial: DataFrame) -> DataFrame:
         if held:
             yield total()
 
-    dealt = partial.repartition("bucket", "ord").sortWithinPartitions("bucket", "ord")
+    dealt = partial.repartition(parts, "bucket", "ord").sortWithinPartitions("bucket", "ord")
     return dealt.mapInArrow(run, "bucket int, block_id long, ord int, counts binary")
 
 
@@ -192,13 +194,14 @@ def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count:
     """
     spark = docs.sparkSession
     blocks = materialize(make_blocks(docs, block_tokens), "lm-blocks")
-    total = blocks.agg(F.sum("n_words")).first()[0] or 0
+    total, n_blocks = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
     bits = hash_bits(total)
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 2_000_000, 1)
-    got = answers(partial_counts(blocks, order, buckets, bits))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(least, total // 2_000_000, 1)
+    got = answers(partial_counts(blocks, order, buckets, bits), buckets)
     both = blocks.withColumn("kind", F.lit(0)).unionByName(got.withColumn("kind", F.lit(1)), allowMissingColumns=True)
     columns = ["block_id", "kind", "ord", "bucket", "doc_ids", "lens", "words", "codes", "counts"]
-    dealt = both.select(*columns).repartition("block_id").sortWithinPartitions("block_id", "kind", "ord", "bucket")
+    dealt = both.select(*columns).repartition(max(least, n_blocks // 2), "block_id").sortWithinPartitions("block_id", "kind", "ord", "bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, held = None, {}
