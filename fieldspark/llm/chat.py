@@ -452,7 +452,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of what ``format_conversations`` made with TEMPLATE, read from its output alone.
 
     Rows (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars); takes the rows as
-    ``format_conversations`` gives them, a conversation's chunks one after another in one partition.
+    ``format_conversations`` gives them, a conversation's chunks one after another in one partition. A null conv_id is a
+    conversation; empty texts are read back as such; text that isn't whole turns is an error; no rows give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -344,13 +344,21 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identify(docs: DataFrame, max_docs_per_lang: int = 3000) -> DataFrame:
-    """Train on the labelled documents that aren't held out, then label all: doc_id, held_out, lang_pred, score, spans."""
+    """Train on the labelled documents that aren't held out, then label all: doc_id, held_out, lang_pred, score, spans.
+
+    Null and empty texts, rows that share a doc_id, very long texts and an empty table are treated as in ``label``; a null
+    doc_id counts as empty text for held_out; other columns are ignored.
+    """
     out = label(docs, train(docs, max_docs_per_lang))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.4, max_docs_per_lang: int = 3000) -> DataFrame:
-    """The rows of ``docs`` whose text has letters, at least ``min_score`` of them in one language; columns stay."""
+    """The rows of ``docs`` whose text has letters, at least ``min_score`` of them in one language; columns stay.
+
+    Null and empty texts go. Rows that share a doc_id are judged each on its own; null ids are judged like others;
+    an empty table stays empty, and if nothing can be learned all rows go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, max_docs_per_lang))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:

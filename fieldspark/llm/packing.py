@@ -186,7 +186,10 @@ def plan_table(spark: SparkSession, plan: list[tuple]) -> DataFrame:
 
 
 def assign(pieces: DataFrame, max_tokens: int, salts: int | None = None) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset."""
+    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
+
+    Lengths are 1 to ``max_tokens``. Null ids and repeated rows are placed each on its own; an empty table stays empty.
+    """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = plan_table(spark, best_fit_plan(histogram, max_tokens))

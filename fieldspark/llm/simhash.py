@@ -48,7 +48,10 @@ def fingerprint(text: bytes | None, shingle_words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
-    """Rows (doc_id, fp): fp is the fingerprint as a signed long. Null and empty texts have fingerprint zero."""
+    """Rows (doc_id, fp): fp is the fingerprint as a signed long. Null and empty texts have fingerprint zero.
+
+    Rows with null or repeated ids keep their own; very long texts are hashed in pieces; other columns are ignored.
+    """
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.fromiter((fingerprint(x, shingle_words) for x in batch.column("text").cast(pa.binary()).to_pylist()), np.uint64, batch.num_rows)

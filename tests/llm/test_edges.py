@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fieldspark.llm import chat, decontam, langid, lines, lm_scoring, packing, quality, simhash, token_counts, urls
+import corpus_pipeline
+from fieldspark.llm import chat, decontam, langid, lines, lm_scoring, neardup, packing, quality, simhash, token_counts, urls
 
 LONG = "a long line of words that goes on\n" * 3 + "wort " * 60_000
 ROWS = [
@@ -47,6 +48,8 @@ def operators(items):
         "line_dedup": (lines.line_dedup, "rows"),
         "find_leaks": (lambda d: decontam.find_leaks(d, items), None),
         "drop_leaks": (lambda d: decontam.drop_leaks(d, items), "filter"),
+        "near_copies": (neardup.near_copies, None),
+        **{f"stage {name}": ((lambda d, f=f: f(d.sparkSession, d, "/root/testdata/sf0.001")), "rows" if name == "line_dedup" else None if name == "packing" else "filter") for name, f in corpus_pipeline.STAGES},
     }
 
 
@@ -86,6 +89,25 @@ def test_null_texts_have_their_defined_results(docs, items):
     assert [r.length for r in packed] == [1, 1, 1]
 
 
+def test_stages_keep_columns_and_null_ids(spark, docs):
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+        assert out.where("doc_id IS NULL").count() == (1 if name == "language_id" else 2)
+    near = {r.doc_id: r.component_id for r in neardup.near_copies(docs).collect()}
+    assert near == {1: 1, 2: 2, 3: 2, 4: 2, 5: 5, 6: 6, 7: 7, 8: 8}
+
+
+def test_toxic_words_of_nothing(spark, docs):
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (5, None), (None, 1), (6, 0)], "doc_id long, toxic int")
+    assert quality.toxic_words(docs, labels) == () and quality.toxic_words(docs, labels.where("false")) == ()
+    many = spark.createDataFrame([(i, "Bad, words here" if i < 5 else "words Here") for i in range(9)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 5)) for i in range(9)], "doc_id long, toxic int")
+    assert quality.toxic_words(many, marks) == ("bad",)
+    one = {r.doc_id: r.n_toxic for r in quality.ledger(many, ("bad", "none")).collect()}
+    assert one == {i: int(i < 5) for i in range(9)}
+
+
 def test_leaks_of_edges(docs, items):
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()} == {(1, 1)}
     kept = {r.doc_id for r in decontam.drop_leaks(docs, items).collect()}
