@@ -1,48 +1,21 @@
-"""Shared pieces of the training-data operators: shared-folder tables, id/text views, components."""
+"""Shared pieces of the training-data operators: tables in the shared folder, Arrow maps, components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows up to which a two-column table of longs may be broadcast (16 MB of values).
-BROADCAST_ROWS = 1_000_000
+from fieldspark.sources.tables import BROADCAST_ROWS
+from fieldspark.sources.tables import written as materialize
+
 #: Rows of one node from which it is broadcast in ``with_least``.
 HUB_ROWS = 10_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, read from spark.checkpoint.dir; a private one only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir()
-    return path.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted ``rows`` are few, else unmarked (a shuffle join then follows)."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores behind it until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

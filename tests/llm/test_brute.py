@@ -249,6 +249,19 @@ def test_components_of_a_long_path(spark):
     assert got == {i: 0 for i in range(101)} | {200: 200, 500: 200}
 
 
+def test_components_with_many_nodes_and_hubs(spark, monkeypatch):
+    """The shuffle join of the ordinary nodes and the broadcast one of hubs, which only large graphs reach."""
+    from fieldspark.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 20)
+    monkeypatch.setattr(common, "HUB_ROWS", 5)
+    rng = random.Random(4)
+    pairs = [(1000, i) for i in range(40)] + [(rng.randrange(2000, 2060), rng.randrange(2000, 2060)) for _ in range(45)] + [(3000 + i, 3001 + i) for i in range(9)]
+    want = components({x for p in pairs for x in p}, pairs)
+    got = {r.node: r.label for r in common.connected_components(spark.createDataFrame(pairs, "src long, dst long")).collect()}
+    assert got == {n: c for n, c in want.items() if n in got} and {n for n, c in want.items() if sum(x == c for x in want.values()) > 1} == set(got)
+
+
 def test_token_counts(spark, texts):
     path = packing.vocabulary("piece_bpe_32k.model")
     model = token_counts.tokenizer(path)
