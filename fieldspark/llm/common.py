@@ -14,6 +14,8 @@ from fieldspark.sources.tables import written as materialize
 
 #: Rows of one node from which it is broadcast in ``with_least``.
 HUB_ROWS = 10_000
+#: Rows of a batch that become Python objects at once.
+SLICE = 2_000
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -25,12 +27,12 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch inside the tasks."""
+    """Apply ``fn`` to each Arrow batch inside the tasks, ``SLICE`` rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for k in range(0, batch.num_rows, SLICE):
+                yield fn(batch.slice(k, SLICE))
         pa.default_memory_pool().release_unused()  # workers live on and share the executor's memory with the JVM
 
     return df.mapInArrow(run, schema)
