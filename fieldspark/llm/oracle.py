@@ -104,4 +104,9 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10}
+OP11 = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents) WINDOW same AS (PARTITION BY t)
+"""
+
+ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10, "op11_exact_dedup": OP11}

@@ -89,4 +89,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.naming import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting, op11_exact_dedup)}
