@@ -73,13 +73,13 @@ def named_blocks(docs: DataFrame, size: int, salt: int, bits: int) -> DataFrame:
     return named(blocks.groupBy("block").agg(F.count("*").alias("n")), ["block"], [a.alias("a"), b.alias("b")], "naming-blocks")
 
 
-def with_names(rows: DataFrame, names: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``rows`` with their name; no frequent name's rows meet in one task."""
-    keys = list(keys)
-    if names.count() <= FEW_NAMES:
+def with_names(rows: DataFrame, names: DataFrame, keys: Sequence[str], few: int | None = None) -> DataFrame:
+    """``rows`` with their name; no frequent name's rows meet in one task. Up to ``few`` names are broadcast."""
+    keys, few = list(keys), FEW_NAMES if few is None else few
+    if names.count() <= few:
         return rows.join(F.broadcast(names.drop("n")), keys)
     hubs = names.where(F.col("n") > HUB_ROWS).drop("n")
-    if not 0 < hubs.count() <= FEW_NAMES:
+    if not 0 < hubs.count() <= few:
         return rows.join(names.drop("n"), keys)
     others = rows.join(F.broadcast(hubs.select(*keys)), keys, "left_anti").join(names.where(F.col("n") <= HUB_ROWS).drop("n"), keys)
     return rows.join(F.broadcast(hubs), keys).unionByName(others)

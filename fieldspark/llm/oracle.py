@@ -109,4 +109,48 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents) WINDOW same AS (PARTITION BY t)
 """
 
-ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10, "op11_exact_dedup": OP11}
+def crc32(text: str) -> str:
+    """DuckDB expression of the unsigned CRC-32 of a text's UTF-8 bytes."""
+    data = f"list_transform(range(1, 2 * strlen({text}), 2), lambda i: CAST('0x' || substr(hex(encode({text})), i, 2) AS BIGINT))"
+    step = "list_reduce(list_concat([xor(acc, b)], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"
+    return f"xor(list_reduce(list_concat([4294967295], {data}), lambda acc, b: {step}), 4294967295)"
+
+
+def leaf_sql(n_chars: str) -> str:
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(parts)})"
+
+
+def path_sql(name: str, base: str, nodes: str) -> str:
+    """Recursive table: each row of ``base`` (doc_id, grp, n, idx, acc, proof) folded up through ``nodes`` to its top."""
+    return f"""{name} AS (
+  {base}
+  UNION ALL
+  SELECT p.doc_id, p.grp, p.lvl + 1, (p.n + 1) // 2, p.idx // 2,
+    sha256(CASE WHEN p.idx % 2 = 0 THEN p.acc || coalesce(s.h, '') ELSE s.h || p.acc END), p.proof || coalesce(s.h, '')
+  FROM {name} p LEFT JOIN {nodes} s ON s.grp = p.grp AND s.lvl = p.lvl AND s.idx = xor(p.idx, 1) WHERE p.n > 1
+)"""
+
+
+def nodes_sql(name: str, base: str) -> str:
+    return f"""{name} AS (
+  {base}
+  UNION ALL
+  SELECT grp, lvl + 1, (n + 1) // 2, idx // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY grp, lvl, n, idx // 2
+)"""
+
+
+OP13 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS grp, {leaf_sql("n_chars")} AS leaf, CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {leaf_sql("(n_chars + 1)")} ELSE {leaf_sql("n_chars")} END AS tampered,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM documents
+), {nodes_sql("nodes", "SELECT grp, 0 AS lvl, n, idx, leaf AS h FROM leaves")}, heads AS (
+  SELECT '' AS grp, grp AS g, h, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+), {nodes_sql("uppers", "SELECT grp, 0 AS lvl, n, idx, h FROM heads")},
+{path_sql("low", "SELECT doc_id, grp, 0 AS lvl, n, idx, tampered AS acc, '' AS proof FROM leaves", "nodes")},
+{path_sql("high", "SELECT l.doc_id, '' AS grp, 0 AS lvl, h.n, h.idx, l.acc, l.proof FROM low l JOIN heads h ON h.g = l.grp WHERE l.n = 1", "uppers")}
+SELECT l.doc_id, l.leaf, h.h AS subroot, r.h AS root, sha256(p.proof) AS proof_sha256, p.acc AS folded_root, p.acc = r.h AS verified
+FROM leaves l JOIN heads h ON h.g = l.grp JOIN high p ON p.doc_id = l.doc_id AND p.n = 1 JOIN uppers r ON r.n = 1
+"""
+
+ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10, "op11_exact_dedup": OP11, "op13_merkle_manifest": OP13}

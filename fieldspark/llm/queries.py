@@ -95,4 +95,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting, op11_exact_dedup)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.merkle import verified_documents
+
+    return verified_documents(table(spark, sf_dir, "documents"), arity=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting, op11_exact_dedup, op13_merkle_manifest)}
