@@ -153,4 +153,28 @@ SELECT l.doc_id, l.leaf, h.h AS subroot, r.h AS root, sha256(p.proof) AS proof_s
 FROM leaves l JOIN heads h ON h.g = l.grp JOIN high p ON p.doc_id = l.doc_id AND p.n = 1 JOIN uppers r ON r.n = 1
 """
 
-ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10, "op11_exact_dedup": OP11, "op13_merkle_manifest": OP13}
+OP12 = f"""
+WITH RECURSIVE r AS (
+  SELECT CAST(doc_id AS VARCHAR) || ':' || run AS k, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents WHERE text IS NOT NULL
+  ) GROUP BY ALL
+), h AS (SELECT run, n, {crc32("k")} AS h FROM r), w AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h
+), words AS (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), less AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words
+), cut AS (SELECT DISTINCT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS c FROM less
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.c = b.c AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.c = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.c = b.word
+), best AS (SELECT word, count(*) AS n_near, max(m) AS m, min(other) FILTER (WHERE m = top) AS other FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM near) GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word
+), follow AS (
+  SELECT word, word AS root, form AS next FROM forms UNION ALL SELECT f.word, g.word, g.form FROM follow f JOIN forms g ON g.word = f.next
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN follow r ON r.word = f.word AND r.next IS NULL
+"""
+
+ORACLE = {"op5_lm_scoring": OP5, "op6_quality_rules": OP6, "quality_ablations": ABLATIONS, "op8_line_dedup": OP8, "op9_decontamination": OP9, "op10_chat_formatting": OP10, "op11_exact_dedup": OP11, "op12_spelling_variants": OP12, "op13_merkle_manifest": OP13}

@@ -95,10 +95,17 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.spelling import spelling_variants
+
+    out = spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=6, min_count=5, ratio=5, every=199)
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.merkle import verified_documents
 
     return verified_documents(table(spark, sf_dir, "documents"), arity=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting, op11_exact_dedup, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_simhash, op4_token_counts, op5_lm_scoring, op6_quality_rules, quality_ablations, op7_url_filters, op8_line_dedup, op9_decontamination, op10_chat_formatting, op11_exact_dedup, op12_spelling_variants, op13_merkle_manifest)}
