@@ -95,26 +95,41 @@ def static_qa(
     return graded(rows, "static", checks, skipped).drop("peer_set")
 
 
-def pair_models(history: DataFrame, ranked: DataFrame, min_fit: int = 40) -> DataFrame:
-    """Regression of the change on the peer's change, its robust residual spread and its weight."""
-    steps = written(history.withColumn("d", row_difference(F.col("value"))).select("basin", "station", "date", "d"), "qa-steps")
-    fits = P.pair_stats(steps, "d", min_fit).select("basin", "station", "peer", "slope", "intercept", F.coalesce(F.col("score"), F.lit(0.5)).alias("weight"))
-    fits = written(fits.join(ranked.select("basin", "station", "peer", "rk"), ["basin", "station", "peer"]), "qa-fits")
-    resid = P.pairs(steps, "d").join(small_side(fits), ["basin", "station", "peer"])
-    resid = written(resid.select("basin", "station", "peer", (F.col("y") - F.col("intercept") - F.col("slope") * F.col("x")).alias("e")), "qa-resid")
-    sigma = P.robust_sigma(resid, ["basin", "station", "peer"], "e", 10, False)
-    return fits.join(sigma.select("basin", "station", "peer", "sigma"), ["basin", "station", "peer"])
-
-
-def voting_qa(history: DataFrame, test: DataFrame, ranked: DataFrame, k: int = 5, min_fit: int = 40, min_votes: int = 3, least_ok: float = 0.6, gate: float = 50.0, high: float = 3000.0) -> DataFrame:
+def pair_fits(steps: DataFrame, ranked: DataFrame, min_fit: int = 40, stats: DataFrame | None = None) -> DataFrame:
+    """Regression of the change ``d`` on the peer's change, its weight and the peer's rank.
+
+    ``stats`` are these regressions if they are at hand (``peers.pair_stats`` of the same steps).
+    """
+    fits = P.pair_stats(steps, "d", min_fit) if stats is None else stats.where(F.col("n") >= min_fit)
+    fits = fits.select("basin", "station", "peer", "slope", "intercept", F.coalesce(F.col("score"), F.lit(0.5)).alias("weight"))
+    return fits.join(ranked.select("basin", "station", "peer", "rk"), ["basin", "station", "peer"])
+
+
+def pair_spreads(steps: DataFrame, fits: DataFrame, min_n: int = 10) -> DataFrame:
+    """``fits`` with ``sigma``, the robust spread of their residuals over ``steps`` (A9). Only these pairs' days are joined."""
+    pair = ["basin", "station", "peer"]
+    own = small_side(fits.select(*pair, "slope", "intercept"))
+    known = steps.where("d IS NOT NULL")
+    resid = known.select("basin", "station", "date", F.col("d").alias("y")).join(own, ["basin", "station"])
+    resid = resid.join(known.select("basin", F.col("station").alias("peer"), "date", F.col("d").alias("x")), ["basin", "peer", "date"])
+    resid = written(resid.select(*pair, (F.col("y") - F.col("intercept") - F.col("slope") * F.col("x")).alias("e")), "qa-resid")
+    return fits.join(P.robust_sigma(resid, pair, "e", min_n, False).select(*pair, "sigma"), pair)
+
+
+def voting_qa(history: DataFrame, test: DataFrame, ranked: DataFrame, k: int = 5, min_fit: int = 40, min_votes: int = 3, least_ok: float = 0.6, gate: float = 50.0, high: float = 3000.0, stats: DataFrame | None = None) -> DataFrame:
     """Votes of the best ranked peers that have a change today (Q2), one row a (basin, station, date) of ``test``.
 
     A peer votes ok if the change is within the threshold of what its regression expects; the worst votes are
     trimmed; the day is flagged if the ok weight is below ``least_ok``, unless today and yesterday are below the gate.
+    ``stats`` are the regressions of the history's changes if they are at hand.
     """
-    models = written(pair_models(history, ranked, min_fit), "qa-models")
+    past = written(history.withColumn("d", row_difference(F.col("value"))).select("basin", "station", "date", "d"), "qa-steps")
+    fits = written(pair_fits(past, ranked, min_fit, stats), "qa-fits")
     steps = written(with_steps(test), "qa-days")
-    votes = P.peers_today(steps, models, k, rank_first=False, value="delta").join(models.drop("rk"), ["basin", "station", "peer"])
+    votes = written(P.peers_today(steps, fits, k, rank_first=False, value="delta").drop("rk"), "qa-votes")
+    able = votes.select("basin", "station", "peer").distinct()
+    models = written(pair_spreads(past, written(fits.join(able, ["basin", "station", "peer"], "left_semi"), "qa-able")), "qa-models")
+    votes = votes.join(small_side(models.drop("rk")), ["basin", "station", "peer"])
     votes = votes.join(steps.select("basin", "station", "date", "delta"), ["basin", "station", "date"]).where("delta IS NOT NULL AND sigma IS NOT NULL")
     votes = votes.withColumn("expected", F.col("intercept") + F.col("slope") * F.col("peer_value")).withColumn("miss", F.abs(F.col("delta") - F.col("expected")))
     votes = votes.withColumn("ok", F.col("miss") <= threshold(F.col("sigma"), F.col("expected")))

@@ -13,6 +13,7 @@ ORACLE: dict[str, str] = {}
 #: SQL of the views in fieldspark.sources.views.
 VIEWS = {
     "obs": "SELECT n_regionkey AS basin, s_nationkey AS station, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL",
+    "obs_wide_load": "SELECT n_regionkey AS basin, l_suppkey AS station, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL",
     "labels": "SELECT n_regionkey AS basin, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, band, sum(o_totalprice) AS value FROM (SELECT *, unnest([o_orderpriority, 'total']) AS band FROM orders) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
     "grid": "SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, l_suppkey AS y, CAST(l_linenumber AS BIGINT) AS x, sum(l_quantity) AS value FROM lineitem GROUP BY ALL",
     "cells": "SELECT y, x, s_acctbal AS elev FROM (SELECT DISTINCT l_suppkey AS y, CAST(l_linenumber AS BIGINT) AS x FROM lineitem) JOIN supplier ON y = s_suppkey",

@@ -259,6 +259,16 @@ def _(spark, sf):
     return stats.select("basin", "station", "peer", "n", *[F.round(c, 9).alias(c) for c in ("r", "slope", "intercept")])
 
 
+@query(
+    "j9_wide_load",
+    " SELECT a.basin, a.station, b.station AS peer, count(*) AS n, round(corr(a.value, b.value), 8) AS r, round(regr_slope(a.value, b.value), 8) AS slope, round(regr_intercept(a.value, b.value), 6) AS intercept FROM obs_wide_load a JOIN obs_wide_load b ON a.basin = b.basin AND a.date = b.date AND a.station <> b.station GROUP BY ALL HAVING count(*) >= 10 AND var_pop(a.value) > 0 AND var_pop(b.value) > 0",
+    ("obs_wide_load",),
+)
+def _(spark, sf):
+    stats = P.pair_stats(V.obs_wide_load(spark, sf), "value", 10)
+    return stats.select("basin", "station", "peer", "n", F.round("r", 8).alias("r"), F.round("slope", 8).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
 @query("w5_ranked_peers", PAIRS + " SELECT basin, station, peer, CAST(rk AS INTEGER) AS rk FROM ranked", FULL)
 def _(spark, sf):
     return ranking(history(spark, sf)).select("basin", "station", "peer", "rk")
@@ -327,7 +337,8 @@ voting AS (SELECT t.basin, t.station, t.date, CASE WHEN value IS NULL THEN 'MISS
 def voting_result(spark, sf):
     days = written(full(spark, sf), "qa-days")
     hist, test = days.where(F.col("date") < SPLIT), days.where(F.col("date") >= SPLIT)
-    return Q.voting_qa(hist, test, ranking(hist), gate=20.0, high=90.0)
+    ranked = ranking(hist)
+    return Q.voting_qa(hist, test, ranked, gate=20.0, high=90.0, stats=ranked)
 
 
 @query("q2_voting_qa", VOTING + " SELECT basin, station, date, reason_code, CAST(reason_code NOT IN ('OK', 'SKIPPED') AS INT) AS flag FROM voting", FULL)

@@ -20,6 +20,15 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("basin", "station", "date").agg(F.sum("q").alias("value"))
 
 
+def obs_wide_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``obs`` with every supplier a station of its own: a thousand at sf0.1."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("value"))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").alias("basin"))
+    joined = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return joined.select("basin", F.col("l_suppkey").alias("station"), "date", "value")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly survey values by basin and band, with a ``total`` band (basin, date, band, value)."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", F.trunc("o_orderdate", "month").alias("date"), F.col("o_orderpriority").alias("band"), "o_totalprice")
