@@ -17,9 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import FACTORS, water_year
+from fieldspark.operators.gapfill import impute_from_peers
 from fieldspark.operators.joins import season_part
+from fieldspark.operators.linear import adjusted, lstsq, r2_of, solve
 from fieldspark.sources.tables import small_side, written
 
+__all__ = ["impute_from_peers"]
+
 KEYS = ("basin", "station")
 
 
@@ -31,20 +35,6 @@ def moments(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str]) -> Data
     return full.groupBy(*by).agg(F.count("*").alias("n"), F.array(*[F.avg(c) for c in names]).alias("mean"), F.array(*cov).alias("cov"))
 
 
-def solve(n: int, mean: np.ndarray, cov: np.ndarray) -> tuple[float, np.ndarray, float, np.ndarray]:
-    """(intercept, beta, sigma, inverse) of least squares; of minimal norm if the predictors are dependent.
-
-    sigma is null (nan) without degrees of freedom; inverse is of the centred X'X, for prediction errors.
-    """
-    k = len(mean) - 1
-    sxx, sxy = cov[1:, 1:] * n, cov[1:, 0] * n
-    inverse = np.linalg.pinv(sxx, rcond=1e-12, hermitian=True)
-    beta = inverse @ sxy
-    sse = max(0.0, cov[0, 0] * n - beta @ sxy)
-    sigma = np.sqrt(sse / (n - k - 1)) if n > k + 1 else np.nan
-    return float(mean[0] - beta @ mean[1:]), beta, float(sigma), inverse
-
-
 def fit_ols(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], min_n: int = 1) -> DataFrame:
     """Least squares with intercept for each group (M1): (by, n, intercept, beta, sigma, mean, inverse)."""
     stats = moments(df, by, y, xs).where(F.col("n") >= min_n)
@@ -105,109 +95,6 @@ def impute_from_grid(rows: DataFrame, history: DataFrame, predictors: Sequence[s
     return out.withColumn("imputed", fill.isNotNull()).withColumn(value, F.coalesce(value, fill)).drop("intercept", "beta", "__p")
 
 
-def adjusted(r2: float, n: int, k: int) -> float:
-    return 1 - (1 - r2) * (n - 1) / (n - k - 1) if n > k + 1 else -np.inf
-
-
-def station_values(df: DataFrame, value: str) -> DataFrame:
-    """(basin, date, m): a day's values by station; of repeated rows the least value."""
-    one = df.where(F.col(value).isNotNull()).groupBy("basin", "station", "date").agg(F.min(F.col(value).cast("double")).alias("v"))
-    return one.groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "v"))).alias("m"))  # a basin's stations
-
-
-def complete_days(sets: DataFrame, days: DataFrame, k: int) -> DataFrame:
-    """Rows (basin, station, chosen, y, c0..) of each set's station and its ``k`` chosen peers, on days that have all."""
-    rows = small_side(sets).join(days, "basin")
-    rows = rows.select(*KEYS, "chosen", "m", F.try_element_at("m", F.col("station")).alias("y"), *[F.try_element_at("m", F.get("chosen", F.lit(i))).alias(f"c{i}") for i in range(k)])
-    return rows.where(reduce(lambda a, c: a & F.col(c).isNotNull(), [f"c{i}" for i in range(k)], F.col("y").isNotNull()))
-
-
-def peer_scores(sets: DataFrame, days: DataFrame, k: int, first_peer_score: bool) -> DataFrame:
-    """(basin, station, chosen, peer, score): adjusted r² with each further peer, from the moments of complete days."""
-    rows = complete_days(sets, days, k).select(*KEYS, "chosen", "y", *[f"c{i}" for i in range(k)], F.explode("m").alias("peer", "pv"))
-    rows = rows.where((F.col("peer") != F.col("station")) & ~F.array_contains("chosen", F.col("peer")))
-    stats = moments(rows, [*KEYS, "chosen", "peer"], "y", [*[f"c{i}" for i in range(k)], "pv"]).where(F.col("n") > k + 2)
-
-    def score(n: int, mean: np.ndarray, cov: np.ndarray) -> float:
-        if cov[0, 0] <= 0:
-            r2 = 0.0
-        elif first_peer_score or not k:
-            r2 = cov[0, 1] ** 2 / (cov[0, 0] * cov[1, 1]) if cov[1, 1] > 0 else 0.0
-        else:
-            r2 = float(solve(n, mean, cov)[1] @ cov[1:, 0]) / cov[0, 0]
-        return round(adjusted(min(1.0, max(0.0, r2)), n, k + 1), 10)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[[*KEYS, "chosen", "peer"]].assign(score=[score(int(n), np.array(m), np.array(c).reshape(k + 2, k + 2)) for n, m, c in zip(pdf["n"], pdf["mean"], pdf["cov"], strict=True)])
-
-    kinds = dict(stats.dtypes)
-    return stats.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (*KEYS, "chosen", "peer")) + ", score double")
-
-
-def choose_peers(keys: DataFrame, days: DataFrame, since: str, most: int = 3, first_peer_score: bool = False) -> DataFrame:
-    """``keys`` (basin, station, valid) with ``chosen``: up to ``most`` valid peers, added while the score rises.
-
-    The first peer is scored over all ``days``, later ones from ``since`` on; of equal scores the first valid one wins.
-    ``first_peer_score`` scores later stages by the correlation with the first peer alone, on the days that the
-    candidate has, as the original procedure does. Each stage aggregates moments once for each distinct (station,
-    chosen), however many sets of valid peers share it.
-    """
-    key = [*KEYS, "valid"]
-    state = keys.select(*key, F.filter("valid", lambda _: F.lit(False)).alias("chosen"), F.lit(float("-inf")).alias("best"))
-    for stage in range(most):
-        state = written(state, "peers-chosen")
-        active = state.where(F.size("chosen") == stage)
-        sets = written(active.select(*KEYS, "chosen").distinct(), "peers-sets")
-        scores = peer_scores(sets, days if stage == 0 else days.where(F.col("date") >= F.lit(since).cast("date")), stage, first_peer_score)
-        able = active.join(scores, [*KEYS, "chosen"]).where(F.array_contains("valid", F.col("peer")) & (F.col("score") > F.col("best")))
-        top = able.groupBy(*key).agg(F.max_by(F.struct("peer", "score"), F.struct("score", -F.array_position("valid", F.col("peer")))).alias("top"))
-        joined = state.join(top, key, "left")
-        grown = F.when(F.col("top").isNotNull(), F.concat("chosen", F.array("top.peer"))).otherwise(F.col("chosen"))
-        state = joined.select(*key, grown.alias("chosen"), F.coalesce("top.score", "best").alias("best"))
-    return written(state.select(*key, "chosen"), "peers-chosen")
-
-
-def peer_models(sets: DataFrame, days: DataFrame, most: int = 3) -> DataFrame:
-    """(basin, station, chosen, intercept, beta): least squares on the complete days, of which there are two at least."""
-    parts = []
-    for k in range(1, most + 1):
-        rows = complete_days(sets.where(F.size("chosen") == k), days, k)
-        parts.append(fit_ols(rows, [*KEYS, "chosen"], "y", [f"c{i}" for i in range(k)], 2).select(*KEYS, "chosen", "intercept", "beta"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def impute_from_peers(rows: DataFrame, history: DataFrame, since: str = "2013-01-01", first_peer_score: bool = False, value: str = "value") -> DataFrame:
-    """Missing values of (basin, station, date) rows from up to three peers that are valid that day (M2).
-
-    Stations take their turn by id, and a filled value is a valid peer for later stations; a day without any value
-    stays as it is. Peers depend only on the target and the set of valid peers, the fit only on the target and the
-    chosen ones; both come from moments that Spark aggregates. A day's gaps are then filled in one ordered pass.
-    Clipped at zero. Adds ``imputed``.
-    """
-    gaps = rows.where(F.col(value).isNull()).groupBy("basin", "date").agg(F.sort_array(F.collect_set("station")).alias("missing"))
-    days = written(gaps.join(station_values(rows, value), ["basin", "date"]), "impute-days")
-    valid = F.sort_array(F.concat(F.map_keys("m"), F.filter("missing", lambda s: s < F.col("station"))))
-    wanted = days.select("basin", "date", "m", "missing", F.explode("missing").alias("station")).select("basin", "date", "m", "station", valid.alias("valid"))
-    past = written(station_values(history, value), "impute-history")
-    chosen = choose_peers(wanted.select(*KEYS, "valid").distinct(), past, since, 3, first_peer_score)
-    sets = written(chosen.where(F.size("chosen") > 0).select(*KEYS, "chosen").distinct(), "impute-sets")
-    models = written(peer_models(sets, past.where(F.col("date") >= F.lit(since).cast("date"))), "impute-models")
-    plan = chosen.join(small_side(models), [*KEYS, "chosen"])
-    todo = wanted.join(plan, [*KEYS, "valid"]).groupBy("basin", "date").agg(F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("station", "chosen", "intercept", "beta"))).alias("gaps"))
-
-    def fill(m: Column, gap: Column) -> Column:
-        terms = F.zip_with(gap["chosen"], gap["beta"], lambda peer, b: F.try_element_at(m, peer) * b)
-        p = F.aggregate(terms, gap["intercept"], lambda a, t: a + t)
-        return F.when(p.isNotNull(), F.map_concat(m, F.create_map(gap["station"], F.greatest(p, F.lit(0.0))))).otherwise(m)
-
-    kind = dict(rows.dtypes)["station"]
-    done = todo.select("basin", "date", "gaps", F.aggregate("gaps", F.col("m").cast(f"map<{kind},double>"), fill).alias("m"))
-    found = done.select("basin", "date", "m", F.explode("gaps.station").alias("station")).select(*KEYS, "date", F.try_element_at("m", F.col("station")).alias("__f"))
-    out = rows.join(found, [*KEYS, "date"], "left")
-    return out.withColumn("imputed", F.col(value).isNull() & F.col("__f").isNotNull()).withColumn(value, F.coalesce(value, "__f")).drop("__f")
-
-
 # Selection over survey tables: rows (group..., date, y, x array<double>) with one array position a station
 
 
@@ -226,18 +113,6 @@ def survey_table(labels: DataFrame, obs: DataFrame, by: Sequence[str] = ("basin"
     return labels.join(rows.select("basin", "date", x.alias("x"), ids.alias("stations")), ["basin", "date"]).select(*by, "date", F.col("value").cast("double").alias("y"), "x", "stations")
 
 
-def r2_of(y: np.ndarray, p: np.ndarray) -> float:
-    """Squared correlation; zero where one side doesn't vary."""
-    if len(y) < 2 or y.std() == 0 or p.std() == 0:
-        return 0.0
-    r = float(np.corrcoef(y, p)[0, 1])
-    return r * r if np.isfinite(r) else 0.0
-
-
-def lstsq(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.linalg.lstsq(np.column_stack([np.ones(len(x)), x]), y, rcond=None)[0]
-
-
 def add_station(chosen: list[int], x: np.ndarray, y: np.ndarray) -> list[int] | None:
     """``chosen`` and the station that gives the greatest r² of the fit; ties go to the lowest position (M5)."""
     scores = {}

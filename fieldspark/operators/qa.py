@@ -95,14 +95,17 @@ def static_qa(
     return graded(rows, "static", checks, skipped).drop("peer_set")
 
 
-def pair_fits(steps: DataFrame, ranked: DataFrame, min_fit: int = 40, stats: DataFrame | None = None) -> DataFrame:
+def pair_fits(steps: DataFrame, ranked: DataFrame, min_fit: int = 40, fitted: bool = False) -> DataFrame:
     """Regression of the change ``d`` on the peer's change, its weight and the peer's rank.
 
-    ``stats`` are these regressions if they are at hand (``peers.pair_stats`` of the same steps).
+    ``fitted``: ``ranked`` already has the regressions of these steps (``peers.pair_stats``).
     """
-    fits = P.pair_stats(steps, "d", min_fit) if stats is None else stats.where(F.col("n") >= min_fit)
-    fits = fits.select("basin", "station", "peer", "slope", "intercept", F.coalesce(F.col("score"), F.lit(0.5)).alias("weight"))
-    return fits.join(ranked.select("basin", "station", "peer", "rk"), ["basin", "station", "peer"])
+    keys = ["basin", "station", "peer"]
+    if fitted:
+        fits = ranked.where(F.col("n") >= min_fit)
+    else:
+        fits = P.pair_stats(steps, "d", min_fit).join(ranked.select(*keys, "rk"), keys)
+    return fits.select(*keys, "slope", "intercept", F.coalesce(F.col("score"), F.lit(0.5)).alias("weight"), "rk")
 
 
 def pair_spreads(steps: DataFrame, fits: DataFrame, min_n: int = 10) -> DataFrame:
@@ -116,19 +119,20 @@ def pair_spreads(steps: DataFrame, fits: DataFrame, min_n: int = 10) -> DataFram
     return fits.join(P.robust_sigma(resid, pair, "e", min_n, False).select(*pair, "sigma"), pair)
 
 
-def voting_qa(history: DataFrame, test: DataFrame, ranked: DataFrame, k: int = 5, min_fit: int = 40, min_votes: int = 3, least_ok: float = 0.6, gate: float = 50.0, high: float = 3000.0, stats: DataFrame | None = None) -> DataFrame:
+def voting_qa(history: DataFrame, test: DataFrame, ranked: DataFrame, k: int = 5, min_fit: int = 40, min_votes: int = 3, least_ok: float = 0.6, gate: float = 50.0, high: float = 3000.0, fitted: bool = False) -> DataFrame:
     """Votes of the best ranked peers that have a change today (Q2), one row a (basin, station, date) of ``test``.
 
     A peer votes ok if the change is within the threshold of what its regression expects; the worst votes are
     trimmed; the day is flagged if the ok weight is below ``least_ok``, unless today and yesterday are below the gate.
-    ``stats`` are the regressions of the history's changes if they are at hand.
+    ``fitted``: ``ranked`` has the regressions of the history's changes (it comes from ``peers.pair_stats`` of these).
     """
     past = written(history.withColumn("d", row_difference(F.col("value"))).select("basin", "station", "date", "d"), "qa-steps")
-    fits = written(pair_fits(past, ranked, min_fit, stats), "qa-fits")
+    fits = pair_fits(past, ranked, min_fit, fitted)
+    fits = fits if fitted else written(fits, "qa-fits")
     steps = written(with_steps(test), "qa-days")
     votes = written(P.peers_today(steps, fits, k, rank_first=False, value="delta").drop("rk"), "qa-votes")
     able = votes.select("basin", "station", "peer").distinct()
-    models = written(pair_spreads(past, written(fits.join(able, ["basin", "station", "peer"], "left_semi"), "qa-able")), "qa-models")
+    models = written(pair_spreads(past, fits.join(able, ["basin", "station", "peer"], "left_semi")), "qa-models")
     votes = votes.join(small_side(models.drop("rk")), ["basin", "station", "peer"])
     votes = votes.join(steps.select("basin", "station", "date", "delta"), ["basin", "station", "date"]).where("delta IS NOT NULL AND sigma IS NOT NULL")
     votes = votes.withColumn("expected", F.col("intercept") + F.col("slope") * F.col("peer_value")).withColumn("miss", F.abs(F.col("delta") - F.col("expected")))

@@ -119,7 +119,7 @@ def _(spark, sf):
 
 @query("m2_impute_from_peers")
 def _(spark, sf):
-    days = full(spark, sf)
+    days = written(full(spark, sf), "impute-rows")
     return M.impute_from_peers(days, days, since="1996-01-01").select("basin", "station", "date", "imputed", "value")
 
 

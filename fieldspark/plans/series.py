@@ -337,8 +337,7 @@ voting AS (SELECT t.basin, t.station, t.date, CASE WHEN value IS NULL THEN 'MISS
 def voting_result(spark, sf):
     days = written(full(spark, sf), "qa-days")
     hist, test = days.where(F.col("date") < SPLIT), days.where(F.col("date") >= SPLIT)
-    ranked = ranking(hist)
-    return Q.voting_qa(hist, test, ranked, gate=20.0, high=90.0, stats=ranked)
+    return Q.voting_qa(hist, test, ranking(hist), gate=20.0, high=90.0, fitted=True)
 
 
 @query("q2_voting_qa", VOTING + " SELECT basin, station, date, reason_code, CAST(reason_code NOT IN ('OK', 'SKIPPED') AS INT) AS flag FROM voting", FULL)
