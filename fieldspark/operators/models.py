@@ -1,8 +1,8 @@
 """Linear models as distributed jobs: least squares from aggregated moments, gap filling, selection, cross-validation.
 
 Fits never gather raw rows on one place: Spark aggregates means and covariances for each group, and only the k x k
-solve of one such row runs in numpy. Selection works on survey tables, which have one row a survey date; each
-(group, fold) and each block of station subsets is a task of its own.
+solve of one such row runs in numpy. Selection works on survey tables, which have one row a survey date: folds, station
+sets and test years are sums and parts of the years' Gram matrices (``folds``), blocks of station subsets are rows.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldspark.functions.units import FACTORS, water_year
+from fieldspark.functions.units import FACTORS
+from fieldspark.operators.folds import SPAN, fold_fits, held_out, in_span, one_ask, survey_grams, with_years
 from fieldspark.operators.gapfill import impute_from_peers
 from fieldspark.operators.joins import season_part
 from fieldspark.operators.linear import adjusted, lstsq, r2_of, solve
-from fieldspark.sources.tables import small_side, written
+from fieldspark.sources.tables import exists, small_side, written
 
 __all__ = ["impute_from_peers"]
 
@@ -113,61 +114,17 @@ def survey_table(labels: DataFrame, obs: DataFrame, by: Sequence[str] = ("basin"
     return labels.join(rows.select("basin", "date", x.alias("x"), ids.alias("stations")), ["basin", "date"]).select(*by, "date", F.col("value").cast("double").alias("y"), "x", "stations")
 
 
-def add_station(chosen: list[int], x: np.ndarray, y: np.ndarray) -> list[int] | None:
-    """``chosen`` and the station that gives the greatest r² of the fit; ties go to the lowest position (M5)."""
-    scores = {}
-    for i in range(x.shape[1]):
-        if i not in chosen:
-            part = x[:, [*chosen, i]]
-            b = lstsq(part, y)
-            scores[i] = round(r2_of(y, b[0] + part @ b[1:]), 12)
-    return [*chosen, max(scores, key=lambda i: (scores[i], -i))] if scores else None
+def loyo_select(table: DataFrame, by: Sequence[str] = ("basin", "band"), most: int | None = None, asks: DataFrame | None = None, grams: DataFrame | None = None) -> DataFrame:
+    """Leave-one-year-out selection (M7): rows (by, fold, date, y, pred, features), with ``ask`` behind ``by`` if ``asks`` are given.
 
-
-def grow(x: np.ndarray, y: np.ndarray, x_out: np.ndarray, y_out: np.ndarray, most: int | None = None) -> list[int]:
-    """Stations added while the held-out RMSE doesn't rise and fewer than n - 1 are used (M6).
-
-    The held-out values steer the choice, as in the original procedure, so its validation is optimistic.
-    """
-    most = len(y) - 1 if most is None else most
-    chosen: list[int] = []
-    best = np.inf
-    while len(chosen) < most:
-        new = add_station(chosen, x, y)
-        if new is None:
-            break
-        b = lstsq(x[:, new], y)
-        error = float(np.sqrt(np.mean((b[0] + x_out[:, new] @ b[1:] - y_out) ** 2)))
-        if error > best:
-            break
-        best, chosen = error, new
-    return chosen
-
-
-def loyo_select(table: DataFrame, by: Sequence[str] = ("basin", "band"), most: int | None = None) -> DataFrame:
-    """Leave-one-year-out selection (M7): rows (by, fold, date, y, pred, features).
-
-    Each fold is a calendar year and a task of its own; missing predictors count as zero; dates stay with their rows.
-    Features are positions in ``x``.
+    Each fold is a calendar year; missing predictors count as zero; predictions are clipped at zero; dates stay with
+    their rows. A group of one year is predicted as zero. Features are positions in ``x``. Folds are solved on sums of
+    the years' Gram matrices (``folds``; ``grams`` if they are at hand).
     """
-    years = table.select(*by, F.year("date").alias("fold")).distinct()
-    folds = table.join(years, list(by))
-    kinds = dict(table.dtypes)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        x, y = np.nan_to_num(np.array(pdf["x"].tolist(), float)), pdf["y"].to_numpy(float)
-        out = pd.to_datetime(pdf["date"]).dt.year.to_numpy() == pdf["fold"].iloc[0]
-        if out.all():
-            return pdf.assign(pred=0.0, features=[[]] * len(pdf)).drop(columns="x")
-        chosen = grow(x[~out], y[~out], x[out], y[out], most)
-        b = lstsq(x[~out][:, chosen], y[~out]) if chosen else np.array([0.0])
-        held = pdf[out].drop(columns="x")
-        return held.assign(pred=b[0] + x[out][:, chosen] @ b[1:] if chosen else 0.0, features=[chosen] * len(held))
-
-    cols = [*by, "fold", "date", "y", "x"]
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", fold int, date date, y double, pred double, features array<int>"
-    return folds.select(*cols).groupBy(*by, "fold").applyInPandas(lambda pdf: run(pdf)[[*by, "fold", "date", "y", "pred", "features"]], schema)
+    grams = written(survey_grams(table, by), "loyo-grams") if grams is None else grams
+    fits = written(fold_fits(grams, one_ask(table, by) if asks is None else asks, by, most), "loyo-fits")
+    out = held_out(table, fits, by)
+    return out.drop("ask") if asks is None else out
 
 
 def loo(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -215,37 +172,57 @@ def fold_stations(cv: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataF
     return folds.select(*by, F.explode("features").alias("feature")).groupBy(*by, "feature").agg(F.count("*").alias("n_folds")).orderBy(*by, F.desc("n_folds"), "feature")
 
 
-def best_subset(table: DataFrame, cv: DataFrame, by: Sequence[str] = ("basin", "band"), most: int = 5, block: int = 512) -> DataFrame:
-    """The station subset of greatest adjusted leave-one-out r² among those that any fold chose (M8a): (by, features, score).
+def survey_arrays(table: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, wy, y, x): a group's surveys as arrays, in order of date."""
+    rows = with_years(table.where("y IS NOT NULL")).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("date", "wy", "y", "x"))).alias("rows"))  # a group's surveys
+    return rows.select(*by, F.col("rows.wy").alias("wy"), F.col("rows.y").alias("y"), F.col("rows.x").alias("x"))
+
+
+def surveys(wy, y, x, before, without) -> tuple[np.ndarray, np.ndarray]:
+    """(x with missing as nan, y) of the surveys that count."""
+    y, x = np.array(y, float), np.array(list(x), float).reshape(len(y), -1)
+    ok = in_span(wy, before, without)
+    return x[ok], y[ok]
+
+
+def unbounded(chosen: DataFrame) -> DataFrame:
+    """``chosen`` with the columns ``before`` and ``without``, null where it has none."""
+    return chosen.withColumns({c: F.lit(None).cast("int") for c in SPAN if c not in chosen.columns})
+
+
+def best_subset(table: DataFrame, cv: DataFrame, by: Sequence[str] = ("basin", "band"), most: int = 5, block: int = 512, asks: DataFrame | None = None) -> DataFrame:
+    """The station subset of greatest adjusted leave-one-out r² among those that any fold chose (M8a): (by, [ask, before, without], features, score).
 
     Subsets are numbered and dealt in blocks of ``block`` numbers, each block a row that any task can score; the
-    survey table of its group rides along as arrays. Of equal scores the lowest number wins.
+    survey table of its group rides along as arrays, and serves all asks. Of equal scores the lowest number wins.
     """
-    used = fold_stations(cv, by).groupBy(*by).agg(F.sort_array(F.collect_set("feature")).alias("used"))
-    data = table.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("date", "y", "x"))).alias("rows"))
-    data = data.select(*by, F.col("rows.y").alias("y"), F.col("rows.x").alias("x"))
+    keys = [*by, "ask"] if asks is not None else list(by)
+    used = fold_stations(cv, keys).groupBy(*keys).agg(F.sort_array(F.collect_set("feature")).alias("used"))
+    used = used.join(asks.select(*keys, *SPAN), keys) if asks is not None else unbounded(used)
     n = F.size("used")
     total = F.lit(0).cast("long")
     c = F.lit(1).cast("double")
     for size in range(1, most + 1):
         c = c * (n - size + 1) / size
         total = total + F.greatest(F.round(c), F.lit(0.0)).cast("long")
-    blocks = used.withColumn("total", total).select(*by, "used", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(block).cast("long"))).alias("lo"))
-    work = blocks.join(data, list(by)).repartition(*by, "lo")
-    kinds = dict(table.dtypes)
+    blocks = used.withColumn("total", total).select(*keys, *SPAN, "used", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(block).cast("long"))).alias("lo"))
+    work = blocks.join(survey_arrays(table, by), list(by)).repartition(*keys, "lo")
+    kinds = dict(work.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             best = []
-            for used_, total_, lo, y, x in zip(pdf["used"], pdf["total"], pdf["lo"], pdf["y"], pdf["x"], strict=True):
-                y, x, used_ = np.array(y, float), np.nan_to_num(np.array(list(x), float)), [int(i) for i in used_]
+            for used_, total_, lo, *rows in zip(*[pdf[c] for c in ("used", "total", "lo", "wy", "y", "x", *SPAN)], strict=True):
+                x, y = surveys(*rows)
+                x, used_ = np.nan_to_num(x), [int(i) for i in used_]
                 scored = ((loo_score(x[:, s], y), -r, s) for r in range(lo, min(total_, lo + block)) for s in (subset_at(r, used_, most),))
                 best.append(max(scored, key=lambda t: t[:2]))
-            yield pdf[list(by)].assign(score=[b[0] for b in best], rank=[-b[1] for b in best], features=[b[2] for b in best])
+            yield pdf[[*keys, *SPAN]].assign(score=[b[0] for b in best], rank=[-b[1] for b in best], features=[b[2] for b in best])
 
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", score double, rank long, features array<int>"
-    scored = work.select(*by, "used", "total", "lo", "y", "x").mapInPandas(run, schema)
-    return scored.groupBy(*by).agg(F.max_by(F.struct("features", "score"), F.struct("score", -F.col("rank"))).alias("b")).select(*by, "b.features", "b.score")
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*keys, *SPAN)) + ", score double, rank long, features array<int>"
+    scored = work.mapInPandas(run, schema)
+    out = scored.groupBy(*keys, *SPAN).agg(F.max_by(F.struct("features", "score"), F.struct("score", -F.col("rank"))).alias("b")).select(*keys, *SPAN, "b.features", "b.score")
+    return out if asks is not None else out.drop(*SPAN)
 
 
 def frequent_subset(table: DataFrame, cv: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataFrame:
@@ -271,71 +248,113 @@ def frequent_subset(table: DataFrame, cv: DataFrame, by: Sequence[str] = ("basin
     return order.join(data, list(by)).select(*by, "used", "y", "x").mapInPandas(run, schema)
 
 
-def predict_days(table: DataFrame, chosen: DataFrame, days: DataFrame, by: Sequence[str] = ("basin", "band"), zero_row: bool = True) -> DataFrame:
-    """Daily predictions with the chosen stations (M12): (by, date, pred), clipped at zero.
+def fit_chosen(table: DataFrame, chosen: DataFrame, by: Sequence[str] = ("basin", "band"), zero_row: bool = True) -> DataFrame:
+    """``chosen`` (by, [ask, before, without], features) with ``intercept`` and ``beta``: the fit that predicts days.
 
-    ``days`` has the date, x in the order of the table's stations and those of the group's columns that x depends on.
-    One fit a group on its survey rows and, if ``zero_row``, an all-zero one; scaling by a factor scales the result, so
-    units are converted afterwards (``in_units``).
+    Surveys without a value or without one of the chosen stations are left out; with ``zero_row`` an all-zero survey is
+    added.
     """
-    rows = table.join(chosen.select(*by, "features"), list(by)).select(*by, "y", "x", "features")
-    data = rows.groupBy(*by).agg(F.collect_list(F.struct("y", "x")).alias("rows"), F.first("features").alias("features")).select(*by, F.col("rows.y").alias("y"), F.col("rows.x").alias("x"), "features")
-    kinds = dict(table.dtypes)
+    work = unbounded(chosen).join(survey_arrays(table, by), list(by))
+    kinds = dict(work.dtypes)
+    names = [c for c in work.columns if c not in ("wy", "y", "x")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fits = []
-            for y, x, f in zip(pdf["y"], pdf["x"], pdf["features"], strict=True):
-                x, y = np.nan_to_num(np.array(list(x), float))[:, [int(i) for i in f]], np.array(y, float)
+            for f, *rows in zip(*[pdf[c] for c in ("features", "wy", "y", "x", *SPAN)], strict=True):
+                x, y = surveys(*rows)
+                x = x[:, [int(i) for i in f]]
+                ok = ~np.isnan(x).any(axis=1)
+                x, y = x[ok], y[ok]
                 if zero_row:
-                    x, y = np.vstack([x, np.zeros(x.shape[1])]), np.append(y, 0.0)
-                fits.append(lstsq(x, y))
-            yield pdf[[*by, "features"]].assign(intercept=[b[0] for b in fits], beta=[b[1:] for b in fits])
+                    x, y = np.vstack([x, np.zeros((1, x.shape[1]))]), np.append(y, 0.0)
+                fits.append(lstsq(x, y) if len(y) else np.full(x.shape[1] + 1, np.nan))
+            yield pdf[names].assign(intercept=[None if np.isnan(b[0]) else b[0] for b in fits], beta=[b[1:] for b in fits])
+
+    fits = work.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in names) + ", intercept double, beta array<double>")
+    return fits.drop(*[c for c in SPAN if c not in chosen.columns])
 
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", features array<int>, intercept double, beta array<double>"
-    fits = written(data.mapInPandas(run, schema), "day-fits")
-    joined = days.join(small_side(fits), [c for c in by if c in days.columns])
+
+def served(days: DataFrame, fits: DataFrame, keys: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """Days with the predictions of their fits (M12): (keys, columns, date, pred), clipped at zero.
+
+    ``days`` has the date, x in the order of the table's stations and those of the keys that it depends on. A day whose
+    keys have no fit, or that lacks a chosen station, has a null prediction.
+    """
+    joined = days.join(small_side(written(fits, "day-fits")), [c for c in keys if c in days.columns], "left")
     terms = F.zip_with("features", "beta", lambda f, b: F.get("x", f) * b)
     pred = F.aggregate(terms, F.col("intercept"), lambda a, t: a + t)
-    return joined.select(*by, "date", F.when(pred.isNotNull(), F.greatest(pred, F.lit(0.0))).alias("pred"))
+    return joined.select(*keys, *columns, "date", F.when(pred.isNotNull(), F.greatest(pred, F.lit(0.0))).alias("pred"))
+
+
+def predict_days(table: DataFrame, chosen: DataFrame, days: DataFrame, by: Sequence[str] = ("basin", "band"), zero_row: bool = True) -> DataFrame:
+    """Daily predictions with the chosen stations (M12): (by, date, pred), clipped at zero; days of groups without a choice are left out.
+
+    One fit a group (``fit_chosen``); scaling by a factor scales the result, so units are converted afterwards (``in_units``).
+    """
+    return served(days, fit_chosen(table, chosen.select(*by, "features"), by, zero_row), by).where(F.col(by[-1]).isNotNull())
 
 
 def in_units(pred: DataFrame, areas: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataFrame:
     """Predictions in mm as mm, inches and, over the group's area (``area_m2``), acre-feet."""
     mm = F.col("pred")
-    joined = pred.join(small_side(areas.select(*by, "area_m2")), list(by), "left")
+    joined = pred.join(small_side(written(areas.select(*by, "area_m2"), "areas")), list(by), "left")
     acre_feet = mm * 0.001 * F.col("area_m2") * F.lit(FACTORS["m3", "acreft"])
     return joined.select("*", mm.alias("mm"), (mm * F.lit(FACTORS["mm", "in"])).alias("inches"), acre_feet.alias("acre_ft")).drop("pred", "area_m2")
 
 
-def validate(table: DataFrame, chosen: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataFrame:
-    """Leave-one-year-out again with the chosen stations: (by, n, r2, rmse) of the held-out predictions (M8)."""
-    data = table.join(small_side(chosen.select(*by, "features")), list(by)).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("date", "y", "x"))).alias("rows"), F.first("features").alias("features"))
-    data = data.select(*by, F.transform("rows.date", lambda d: F.year(d)).alias("year"), F.col("rows.y").alias("y"), F.col("rows.x").alias("x"), "features")  # a group's surveys
-    kinds = dict(table.dtypes)
+def validate(table: DataFrame, chosen: DataFrame, by: Sequence[str] = ("basin", "band"), grams: DataFrame | None = None) -> DataFrame:
+    """The selection by years run again inside the chosen stations (M8): (by, [ask], n, r2, rmse) of its held-out predictions.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for year, y, x, f in zip(pdf["year"], pdf["y"], pdf["x"], pdf["features"], strict=True):
-                year, y, x = np.array(year), np.array(y, float), np.nan_to_num(np.array(list(x), float))[:, [int(i) for i in f]]
-                p = np.zeros(len(y))
-                for fold in np.unique(year):
-                    held = year == fold
-                    if not held.all():
-                        b = lstsq(x[~held], y[~held])
-                        p[held] = b[0] + x[held] @ b[1:]
-                out.append((len(y), r2_of(y, p), float(np.sqrt(np.mean((p - y) ** 2)))))
-            yield pdf[list(by)].assign(n=[o[0] for o in out], r2=[o[1] for o in out], rmse=[o[2] for o in out])
-
-    return data.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in by) + ", n long, r2 double, rmse double")
-
-
-def train(table: DataFrame, by: Sequence[str] = ("basin", "band"), most: int = 5) -> DataFrame:
-    """The whole training of each group: selection by years, best subset, validation (M10): (by, features, score, n, r2, rmse)."""
+    As in the original procedure each fold may take fewer of them; negative predictions are zero before any statistic.
+    """
+    keys = [*by, "ask"] if "ask" in chosen.columns else list(by)
+    asks = unbounded(chosen if "ask" in chosen.columns else chosen.withColumn("ask", F.lit(""))).select(*by, "ask", F.col("features").alias("use"), *SPAN)
+    held = loyo_select(table, by, asks=asks, grams=grams)
+    r = F.corr("pred", "y")
+    r2 = F.when(r.isNull() | F.isnan(r), 0.0).otherwise(r * r)
+    return held.groupBy(*keys).agg(F.count("*").alias("n"), r2.alias("r2"), F.sqrt(F.avg(F.pow(F.col("pred") - F.col("y"), 2))).alias("rmse"))
+
+
+def train(table: DataFrame, by: Sequence[str] = ("basin", "band"), most: int = 5, asks: DataFrame | None = None) -> DataFrame:
+    """The whole training of each group: selection by years, best subset, validation (M10): (by, [ask, before, without], features, score, n, r2, rmse).
+
+    ``asks`` (see ``folds``) train a group several times, on other stations or other years.
+    """
     table = written(table, "train-table")
-    chosen = written(best_subset(table, written(loyo_select(table, by), "train-folds"), by, most), "train-chosen")
-    return chosen.join(validate(table, chosen, by), list(by))
+    grams = written(survey_grams(table, by), "train-grams")
+    cv = written(loyo_select(table, by, asks=asks, grams=grams), "train-folds")
+    chosen = written(best_subset(table, cv, by, most, asks=asks), "train-chosen")
+    return chosen.join(validate(table, chosen, by, grams), [*by, "ask"] if asks is not None else list(by))
+
+
+# Trained models as a table
+
+
+def data_key(table: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, data): a number that changes with the group's surveys, so that stored models of other surveys aren't used."""
+    return table.groupBy(*by).agg(F.sum(F.xxhash64("date", "y", "x").cast("decimal(20,0)")).cast("string").alias("data"))
+
+
+def stored_models(table: DataFrame, asks: DataFrame, path: str, by: Sequence[str] = ("basin", "band"), most: int = 5, zero_row: bool = True) -> DataFrame:
+    """Coefficients of all ``asks`` (M11): (by, ask, data, features, intercept, beta, score, n, r2, rmse), kept as Parquet under ``path``.
+
+    Only asks that the table of earlier runs lacks (an anti-join on the group, the ask and the key of its surveys) are
+    trained and appended; a run without new ones trains nothing. One writer at a time.
+    """
+    spark = table.sparkSession
+    keys = [*by, "ask", "data"]
+    asks = written(asks.join(data_key(table, by), list(by)), "model-asks")
+    missing = asks
+    if exists(spark, path):
+        missing = written(asks.join(spark.read.parquet(path).select(*keys), keys, "left_anti"), "model-missing")
+    if not missing.isEmpty():
+        fresh = train(table, by, most, missing.drop("data"))
+        fits = fit_chosen(table, fresh, by, zero_row).join(missing.select(*keys), [*by, "ask"])
+        fits.select(*keys, "features", "intercept", "beta", "score", "n", "r2", "rmse").write.mode("append").parquet(path)
+    if not exists(spark, path):  # nothing was asked
+        return asks.select(*keys).where(F.lit(False)).selectExpr("*", "CAST(NULL AS array<int>) features", "0D intercept", "CAST(NULL AS array<double>) beta", "0D score", "0L n", "0D r2", "0D rmse")
+    return spark.read.parquet(path).join(asks.select(*keys), keys, "left_semi")
 
 
 def station_sets(usable: DataFrame, baseline: DataFrame, by: Sequence[str] = ("basin",)) -> tuple[DataFrame, DataFrame]:
@@ -345,19 +364,41 @@ def station_sets(usable: DataFrame, baseline: DataFrame, by: Sequence[str] = ("b
     station); ``set_key`` spells both out.
     """
     base = baseline.select(*by, "station").distinct().withColumn("__b", F.lit(True))
-    rows = usable.select(*by, "date", "station").distinct().join(small_side(base), [*by, "station"], "left")
+    rows = usable.select(*by, "date", "station").distinct().join(small_side(written(base, "baseline")), [*by, "station"], "left")
     listed = lambda c: F.sort_array(F.collect_list(F.when(c, F.col("station"))))
     days = rows.groupBy(*by, "date").agg(listed(F.lit(True)).alias("usable"), listed(F.col("__b")).alias("baseline"))
-    text = lambda c: F.array_join(F.transform(c, lambda s: s.cast("string")), ",")
-    days = days.withColumn("set_key", F.concat(text("usable"), F.lit("|"), text("baseline")))
+    days = days.withColumn("set_key", F.concat(set_text(F.col("usable")), F.lit("|"), set_text(F.col("baseline"))))
     sets = days.groupBy(*by, "set_key").agg(F.first("usable").alias("usable"), F.first("baseline").alias("baseline"), F.count("*").alias("n_days"))
     return sets, days.select(*by, "date", "set_key")
 
 
-def only_stations(rows: DataFrame, stations: str, keep: str) -> DataFrame:
-    """``rows`` with x (in the order of ``stations``) cut to the stations in ``keep``, in that order; both are arrays."""
-    at = F.map_from_arrays(F.col(stations), F.col("x"))
-    return rows.withColumn("x", F.transform(keep, lambda s: F.try_element_at(at, s)))
+def set_asks(table: DataFrame, sets: DataFrame, by: Sequence[str] = ("basin", "band")) -> DataFrame:
+    """Asks (see ``folds``) to train each group of ``table`` (by, stations) on each of its basin's station sets (basin, set).
+
+    The ask is the set's text (``set_text``). Stations that the table lacks are left out; empty sets aren't asked for.
+    """
+    groups = table.groupBy(*by).agg(F.first("stations").alias("stations"))
+    rows = groups.join(small_side(written(sets.select("basin", "set").distinct(), "ask-sets")), "basin")
+    use = F.filter(F.transform("set", lambda s: (F.array_position("stations", s) - 1).cast("int")), lambda i: i >= 0)
+    return unbounded(rows.select(*by, set_text(F.col("set")).alias("ask"), use.alias("use")).where(F.size("use") > 0)).select(*by, "ask", "use", *SPAN)
+
+
+def set_text(stations: Column) -> Column:
+    """A sorted array of stations as text."""
+    return F.array_join(F.transform(stations, lambda s: s.cast("string")), ",")
+
+
+def year_asks(table: DataFrame, years: DataFrame, by: Sequence[str] = ("basin", "band"), train: str = "earlier") -> DataFrame:
+    """Asks (see ``folds``) to train each group for each test water year ``wy`` of ``years`` (M15, F2): on earlier water years, or on all others.
+
+    The ask is the year. Years without surveys to train on are left out.
+    """
+    own = with_years(table).groupBy(*by).agg(F.collect_set("wy").alias("own"))
+    test = F.col("test")
+    rows = own.join(F.broadcast(years.agg(F.collect_set(F.col("wy").cast("int")).alias("tests")))).withColumn("test", F.explode("tests"))
+    rows = rows.where(F.exists("own", lambda y: y < test if train == "earlier" else y != test))
+    none = F.lit(None).cast("int")
+    return rows.select(*by, test.cast("string").alias("ask"), F.lit(None).cast("array<int>").alias("use"), (test if train == "earlier" else none).alias("before"), (none if train == "earlier" else test).alias("without"))
 
 
 def season_tables(table: DataFrame, thresholds: DataFrame, seasons: Sequence[str] = ("season", "accum", "melt")) -> DataFrame:
@@ -370,13 +411,6 @@ def season_tables(table: DataFrame, thresholds: DataFrame, seasons: Sequence[str
     return reduce(lambda a, b: a.unionByName(b), [p.drop("year").withColumn("season", F.lit(s)) for p, s in zip(parts, seasons, strict=True)])
 
 
-def split_years(table: DataFrame, years: Sequence[int], train: str = "earlier") -> DataFrame:
-    """The training rows of each test water year, with the column ``test_wy`` (M15): the earlier rows, or all others."""
-    wy = water_year(F.col("date"))
-    tests = F.array(*[F.lit(y) for y in years])
-    return table.withColumn("test_wy", F.explode(F.filter(tests, lambda y: wy < y if train == "earlier" else wy != y)))
-
-
 def model_specs(table: DataFrame, modes: Sequence[str] = ("drop", "impute"), stacks: Sequence[str] = ("peers", "grid"), seasons: Sequence[str] = ("season", "accum", "melt")) -> DataFrame:
     """Every (basin, band, mode, stack, season) to train."""
     out = table.select("basin", "band").distinct()

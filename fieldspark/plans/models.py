@@ -14,7 +14,7 @@ from fieldspark.operators.calendars import daily_calendar
 from fieldspark.plans.catalog import query
 from fieldspark.plans.series import full, history, ranking
 from fieldspark.sources import views as V
-from fieldspark.sources.tables import small_side, written
+from fieldspark.sources.tables import scratch, small_side, written
 
 CELLS = ["g1", "g2", "g3"]
 CELLS_SQL = "WITH c AS (SELECT n_regionkey AS basin, s_nationkey AS station, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS value, sum(l_extendedprice) / 1000 AS g1, sum(l_tax) * 100 AS g2, CAST(count(*) AS DOUBLE) AS g3 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)"
@@ -103,18 +103,23 @@ def usable_days(spark, sf):
 
 @query("m11_sets_served")
 def _(spark, sf):
-    """One training for each distinct (usable, baseline) set; every day is predicted with its own set's model."""
-    table, monthly = survey(spark, sf)
-    months = lambda d: d.withColumn("date", F.trunc("date", "month"))
+    """One training for each distinct station set; every day of every basin is predicted with its own set's model, in both modes.
+
+    Mode ``impute`` uses the day's usable stations, ``drop`` those of them that are in the baseline. A day whose set is
+    empty has a null prediction.
+    """
+    table = survey(spark, sf)[0]
     usable, baseline = usable_days(spark, sf)
-    sets, days = M.station_sets(months(usable).join(table.select("basin", F.explode("stations").alias("station")).distinct(), ["basin", "station"]), baseline)
-    sets = written(sets.where(F.size("baseline") > 0), "served-sets")
-    by = ("basin", "band", "set_key")
-    rows = M.only_stations(table.join(small_side(sets), "basin"), "stations", "baseline")
-    chosen = M.train(rows.select(*by, "date", "y", "x"), by)
-    tests = M.only_stations(wide_days(table, monthly).join(days, ["basin", "date"]).join(small_side(sets), ["basin", "set_key"]), "stations", "baseline")
-    pred = M.predict_days(rows, chosen, tests.select("basin", "set_key", "date", "x"), by)
-    return pred.join(chosen.select(*by, "features", "score", "r2", "rmse"), list(by))
+    known = table.select("basin", F.explode("stations").alias("station")).distinct()
+    sets, days = M.station_sets(usable.join(known, ["basin", "station"], "left_semi"), baseline)
+    sets = written(sets.select("basin", "set_key", F.explode(F.create_map(F.lit("impute"), "usable", F.lit("drop"), "baseline")).alias("mode", "set")), "served-sets")
+    fits = M.stored_models(table.select("basin", "band", "date", "y", "x"), M.set_asks(table, sets), scratch(spark, "served-models"))
+    asked = sets.select("basin", "set_key", "mode", M.set_text(F.col("set")).alias("ask"))
+    modes = F.explode(F.array(F.lit("impute"), F.lit("drop"))).alias("mode")
+    tests = wide_days(table, full(spark, sf)).join(days, ["basin", "date"], "left").select("*", modes).join(small_side(asked), ["basin", "set_key", "mode"], "left")
+    tests = tests.join(small_side(table.select("basin", "band").distinct()), "basin")
+    pred = M.served(tests.select("basin", "band", "mode", "ask", "date", "x"), fits, ("basin", "band", "ask"), ("mode", "features", "score", "r2", "rmse"))
+    return pred
 
 
 @query("m2_impute_from_peers")
@@ -148,10 +153,10 @@ def _(spark, sf):
     return a.unionByName(M.frequent_subset(table, cv).withColumn("rule", F.lit("frequency")))
 
 
-def wide_days(table, monthly):
-    """Every month (basin, date, stations, x) with the values of the table's stations in their order."""
+def wide_days(table, values):
+    """Every date of ``values`` (basin, date, stations, x) with the values of the table's stations in their order."""
     ids = table.groupBy("basin").agg(F.first("stations").alias("stations"))
-    days = monthly.groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "value"))).alias("m")).join(small_side(ids), "basin")
+    days = values.groupBy("basin", "date").agg(F.map_from_entries(F.collect_list(F.struct("station", "value"))).alias("m")).join(small_side(ids), "basin")
     return days.select("basin", "date", "stations", F.transform("stations", lambda s: F.try_element_at("m", s)).alias("x"))
 
 
@@ -162,36 +167,43 @@ def areas(spark, sf):
 
 @query("m12_m15_predict_days")
 def _(spark, sf):
-    """Back-test: each water year is predicted by what was trained on the years before it, in three units."""
-    table, monthly = survey(spark, sf)
-    by = ("basin", "band", "test_wy")
-    train = M.split_years(table, range(1994, 2000)).select(*by, "date", "y", "x")
-    chosen = M.train(train, by)
-    tests = wide_days(table, monthly).withColumn("test_wy", water_year(F.col("date"))).where(F.col("test_wy").between(1994, 1999))
-    pred = M.predict_days(train, chosen, tests.select("basin", "test_wy", "date", "x"), by)
-    return M.in_units(pred, areas(spark, sf)).join(chosen.select(*by, "features", "score", "r2", "rmse"), list(by))
+    """Back-test: every day of each water year that has earlier surveys is predicted by what was trained on these, in three units.
+
+    Surveys of one calendar year can't be held out against others; days that have only these before them get nulls.
+    """
+    table = survey(spark, sf)[0]
+    by = ("basin", "band")
+    days = wide_days(table, full(spark, sf)).withColumn("ask", water_year(F.col("date")).cast("string"))
+    asks = written(M.year_asks(table, days.select(F.col("ask").cast("int").alias("wy")).distinct()), "test-years")
+    surveys = table.select(*by, "date", "y", "x")
+    chosen = written(M.train(surveys, by, asks=asks), "test-models")
+    fits = M.fit_chosen(surveys, chosen, by)
+    tests = days.select("basin", "ask", "date", "x").join(small_side(asks.select(*by, "ask")), ["basin", "ask"])
+    pred = M.served(tests, fits, (*by, "ask"), ("features", "score", "r2", "rmse"))
+    return M.in_units(pred, areas(spark, sf)).withColumn("test_wy", F.col("ask").cast("int")).drop("ask")
 
 
 def spec_table(spark, sf):
-    """(training rows, months to predict) of every mode, stack and season."""
+    """(training rows, days to predict) of every mode, stack and season."""
     labels, obs = V.labels(spark, sf), full(spark, sf)
     cells = with_cells(spark, sf).groupBy("basin", "date").agg(F.avg("g1").alias("g1"))
     gridded = obs.join(cells, ["basin", "date"], "left")
     filled = {("drop", "peers"): obs, ("drop", "grid"): obs, ("impute", "peers"): M.impute_from_peers(obs, obs, since="1996-01-01"), ("impute", "grid"): M.impute_from_grid(gridded, gridded, ["g1"], since="1996-01-01")}
     rows, days = [], []
     for (mode, stack), values in filled.items():
+        values = written(values.select("basin", "station", "date", "value"), "spec-values")
         monthly = written(values.groupBy("basin", "station", F.trunc("date", "month").alias("date")).agg(F.avg("value").alias("value")).where("value IS NOT NULL"), "spec-months")
         table = written(M.survey_table(labels, monthly), "spec-table")
         marks = {"mode": F.lit(mode), "stack": F.lit(stack)}
         rows.append(table.withColumns(marks))
-        days.append(wide_days(table, monthly).withColumns(marks))
+        days.append(wide_days(table, values).withColumns(marks))
     thresholds = labels.select(F.year("date").alias("year"), "band").distinct().withColumn("threshold", F.make_date("year", F.lit(6), F.lit(1)))
     return M.season_tables(reduce(DataFrame.unionByName, rows), thresholds), reduce(DataFrame.unionByName, days)
 
 
 @query("m10_m12_specs_trained")
 def _(spark, sf):
-    """Every spec (band, mode, stack, season) trained, validated and used for every month, in three units."""
+    """Every spec (band, mode, stack, season) trained, validated and used for every day, in three units."""
     by = ("basin", "band", "mode", "stack", "season")
     table, days = spec_table(spark, sf)
     table = written(table.select(*by, "date", "y", "x"), "spec-rows")

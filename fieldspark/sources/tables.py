@@ -23,11 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def hadoop(spark: SparkSession, path: str):
+    """(Hadoop's path, its file system)."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, files = hadoop(spark, path)
+    return files.exists(hadoop_path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one, deleted when the driver ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    hadoop_path, files = hadoop(spark, path)
+    files.deleteOnExit(hadoop_path)
     return path
 
 

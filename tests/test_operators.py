@@ -6,6 +6,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import plain_models as plain
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,26 +279,23 @@ def test_training_of_specs_sets_and_years(spark):
     table, rows = survey(spark)
     by = ("basin", "band")
     out = models.train(table, by, 3).first()
-    x, y = np.array([r[4] for r in rows])[:, out.features], np.array([r[3] for r in rows])
-    year = np.array([r[2].year for r in rows])
-    p = np.zeros(len(y))
-    for fold in np.unique(year):
-        b = models.lstsq(x[year != fold], y[year != fold])
-        p[year == fold] = b[0] + x[year == fold] @ b[1:]
+    x, y = np.array([r[4] for r in rows]), np.array([r[3] for r in rows])
+    p, _ = plain.loyo([r[2] for r in rows], x, y, sorted(out.features))
     assert out.n == len(y) and np.isclose(out.rmse, np.sqrt(np.mean((p - y) ** 2))) and np.isclose(out.r2, models.r2_of(y, p))
     limits = spark.createDataFrame([(r, "total", D(r, 3, 1)) for r in range(2010, 2014)], "year int, band string, threshold date")
     seasons = {r.season: r["count"] for r in models.season_tables(table, limits).groupBy("season").count().collect()}
     assert seasons == {"season": 24, "accum": 8, "melt": 8}
-    years = {(r.test_wy, r["count"]) for r in models.split_years(table, [2011, 2013]).groupBy("test_wy").count().collect()}
-    assert years == {(2011, 4), (2013, 12)}
-    assert models.split_years(table, [2011], "others").count() == 20
+    wanted = spark.createDataFrame([(2010,), (2011,), (2013,)], "wy int")
+    assert {(r.ask, r.before, r.without) for r in models.year_asks(table, wanted).collect()} == {("2011", 2011, None), ("2013", 2013, None)}
+    assert {(r.ask, r.before, r.without) for r in models.year_asks(table, wanted, train="others").collect()} == {(str(y), None, y) for y in (2010, 2011, 2013)}
     sets, days = models.station_sets(
         spark.createDataFrame([(1, D(2020, 1, d), s) for d, ss in ((1, (12, 3)), (2, (1, 23)), (3, (3, 12)), (4, (12,))) for s in ss], "basin int, date date, station int"),
         spark.createDataFrame([(1, 3), (1, 9)], "basin int, station int"),
     )
     assert {(r.set_key, r.n_days) for r in sets.collect()} == {("3,12|3", 2), ("1,23|", 1), ("12|", 1)} and days.count() == 4
-    cut = models.only_stations(spark.createDataFrame([([3, 5, 9], [1.0, 2.0, 3.0], [9, 3, 4])], "stations array<int>, x array<double>, k array<int>"), "stations", "k").first()
-    assert cut.x == [3.0, 1.0, None]
+    stations = table.withColumn("stations", F.array(*[F.lit(s) for s in (3, 5, 9, 12)]))
+    asked = models.set_asks(stations, spark.createDataFrame([(1, [9, 3, 4]), (1, []), (1, [4])], "basin int, set array<int>")).collect()
+    assert [(r.ask, r.use) for r in asked] == [("9,3,4", [2, 0])]
     units = models.in_units(spark.createDataFrame([(1, "total", 100.0)], "basin int, band string, pred double"), spark.createDataFrame([(1, "total", 2500.0)], "basin int, band string, area_m2 double")).first()
     assert np.isclose(units.inches, 3.93701) and np.isclose(units.acre_ft, 100 * 0.001 * 2500 * 0.000810714) and units.mm == 100.0
 
