@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import CELL_M2, acre_feet, convert
-from fieldspark.sources.tables import small_side
+from fieldspark.sources.tables import small_side, written
 
 
 def band_means(grid: DataFrame, cell_band: DataFrame, cell_m2: float = CELL_M2) -> DataFrame:
@@ -18,7 +19,7 @@ def band_means(grid: DataFrame, cell_band: DataFrame, cell_m2: float = CELL_M2)
     """
     areas = cell_band.groupBy("band").agg((F.count("*") * F.lit(cell_m2)).alias("area_m2"))
     means = grid.where("value IS NOT NULL").join(cell_band, ["y", "x"]).groupBy("date", "band").agg(F.avg("value").alias("mean_m"))
-    return means.join(small_side(areas), "band").select("date", "band", "mean_m", "area_m2", acre_feet(F.col("mean_m"), F.col("area_m2")).alias("acre_ft"))
+    return means.join(small_side(written(areas, "band-areas")), "band").select("date", "band", "mean_m", "area_m2", acre_feet(F.col("mean_m"), F.col("area_m2")).alias("acre_ft"))
 
 
 def band_acres(cell_band: DataFrame, mask: DataFrame | None = None, cell_m2: float = CELL_M2) -> DataFrame:
@@ -30,7 +31,7 @@ def band_acres(cell_band: DataFrame, mask: DataFrame | None = None, cell_m2: flo
 def survey_volumes(grid: DataFrame, cell_band: DataFrame, acres: DataFrame) -> DataFrame:
     """Mean of each survey's band in feet times the band's acres."""
     means = grid.where("value IS NOT NULL").join(cell_band, ["y", "x"]).groupBy("date", "band").agg(F.avg("value").alias("mean_m"))
-    return means.join(small_side(acres), "band").select("date", "band", (convert(F.col("mean_m"), "m", "ft") * F.col("acres")).alias("acre_ft"))
+    return means.join(small_side(written(acres, "band-acres")), "band").select("date", "band", (convert(F.col("mean_m"), "m", "ft") * F.col("acres")).alias("acre_ft"))
 
 
 def band_counts(cells: DataFrame, bands: DataFrame, value: str = "elev") -> DataFrame:
@@ -54,24 +55,70 @@ def baseline(table: DataFrame, value: str = "value") -> DataFrame:
     return known.join(dates, ["basin", "date"], "left_semi").select("basin", "station", "date", value)
 
 
-def metrics(df: DataFrame, by: Sequence[str], y: str, p: str, mask: float = 50.0) -> DataFrame:
-    """Regression metrics of each group (A17, A18); log errors take values above -1, percentages y of at least ``mask``."""
+def exact_medians(df: DataFrame, by: Sequence[str], x: str, alias: str = "median", bins: int = 4096, few: int = 100_000) -> DataFrame:
+    """(by, alias): the exact median of each group, equal to ``F.median``, in memory that doesn't grow with the groups.
+
+    Histograms of counts, refined: each pass counts the rows of ``bins`` equal parts of the span that holds the wanted
+    rank and keeps the part where it lies; after two or three passes a part holds one value, or few rows, which are
+    then ranked. Nulls are left out, groups without values too; nan is greater than all, as in Spark's order.
+    """
+    keys = [f"__k{i}" for i in range(len(by))]
+    key = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys, strict=True)] or [F.lit(True)]
+    rows = df.where(F.col(x).isNotNull()).select(*by, F.col(x).cast("double").alias("__x"))
+    rows = written(rows.select(*by, F.when(~F.isnan("__x"), F.col("__x")).alias("__x"), F.isnan("__x").alias("__nan")), "median-rows")
+    ends = rows.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)]).agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count("__x").alias("n"), F.count("*").alias("all")).where(F.col("all") > 0)
+    ranks = F.explode(F.array_distinct(F.array(F.floor((F.col("all") + 1) / 2), F.floor(F.col("all") / 2) + 1))).alias("rank")
+    state = written(ends.select(*keys, "lo", "hi", "n", "all", ranks).withColumns({"below": F.lit(0).cast("long"), "inside": F.col("n")}), "median-state")
+    own = [*keys, "rank"]
+    while True:
+        open_ = state.where((F.col("rank") <= F.col("n")) & (F.col("lo") < F.col("hi")))
+        many = open_.where(F.col("inside") > few)
+        if many.isEmpty():
+            break
+        met = rows.join(small_side(many), reduce(lambda a, b: a & b, key)).where(F.col("__x").between(F.col("lo"), F.col("hi")))
+        place = F.least(F.floor((F.col("__x") / bins - F.col("lo") / bins) / (F.col("hi") / bins - F.col("lo") / bins) * bins), F.lit(bins - 1))
+        counts = met.groupBy(*own, "n", "all", "below", place.alias("bin")).agg(F.count("*").alias("inside"), F.min("__x").alias("lo"), F.max("__x").alias("hi"))
+        upto = F.sum("inside").over(Window.partitionBy(*own).orderBy("bin"))  # at most ``bins`` rows
+        part = counts.withColumn("upto", upto).where(F.col("rank").between(F.col("below") + F.col("upto") - F.col("inside") + 1, F.col("below") + F.col("upto")))
+        part = part.withColumn("below", F.col("below") + F.col("upto") - F.col("inside"))
+        settled = state.join(many.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(own)]), reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__o{i}")) for i, c in enumerate(own)]), "left_anti")
+        state = written(settled.unionByName(part.select(*state.columns)), "median-state")
+    met = rows.join(small_side(open_), reduce(lambda a, b: a & b, key)).where(F.col("__x").between(F.col("lo"), F.col("hi")))
+    nth = met.withColumn("__i", F.row_number().over(Window.partitionBy(*own).orderBy("__x"))).where(F.col("__i") == F.col("rank") - F.col("below"))
+    alone = state.where((F.col("rank") > F.col("n")) | (F.col("lo") >= F.col("hi")))
+    value = F.when(F.col("rank") > F.col("n"), F.lit(float("nan"))).otherwise(F.col("lo"))
+    found = nth.select(*keys, "rank", F.col("__x").alias("v")).unionByName(alone.select(*keys, "rank", value.alias("v")))
+    middle = 0.5 * F.min_by("v", "rank") + 0.5 * F.max_by("v", "rank")
+    return found.groupBy(*keys).agg(middle.alias(alias)).select(*[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], alias)
+
+
+def metrics(df: DataFrame, by: Sequence[str], y: str, p: str, mask: float = 50.0, large: bool = False) -> DataFrame:
+    """Regression metrics of each group (A17, A18); log errors take values above -1, percentages y of at least ``mask``.
+
+    ``large``: the medians come from refined histograms (``exact_medians``), so that no group's values are held at once.
+    """
     a, b = F.col(y), F.col(p)
     e = a - b
     big = a >= mask
     rows = df.where(a.isNotNull() & b.isNotNull())
-    return rows.groupBy(*by).agg(
+    middle = F.lit(None).cast("double") if large else F.median(F.abs(e))
+    out = rows.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.when(F.var_pop(a) > 0, 1 - F.var_pop(e) / F.var_pop(a)).alias("explained_variance"),
         F.avg(F.abs(e)).alias("mae"),
         F.avg(e * e).alias("mse"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.when((a > -1) & (b > -1), F.pow(F.log1p(a) - F.log1p(b), F.lit(2)))).alias("msle"),
-        F.median(F.abs(e)).alias("median_ae"),
+        middle.alias("median_ae"),
         F.pow(F.corr(a, b), F.lit(2)).alias("r2"),
         F.max(F.when(big, F.abs(e))).alias("max_abs"),
         F.max(F.when(big, F.abs(e) / a * 100)).alias("max_pct"),
     )
+    if not large:
+        return out
+    medians = exact_medians(rows.select(*by, F.abs(e).alias("__e")), by, "__e", "__m").select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(by)], "__m")
+    same = reduce(lambda p, q: p & q, [F.col(c).eqNullSafe(F.col(f"__b{i}")) for i, c in enumerate(by)], F.lit(True))
+    return out.join(medians, same, "left").withColumn("median_ae", F.col("__m")).select(*out.columns)
 
 
 def product_kpi(products: DataFrame, survey: DataFrame, total: str = "total") -> DataFrame:
@@ -90,8 +137,9 @@ def bias(df: DataFrame, survey: str, model: str) -> DataFrame:
 
 
 def bias_factor(df: DataFrame) -> DataFrame:
-    """The median of the ratios, by which a model's totals are multiplied."""
-    return df.agg(F.median("ratio").alias("factor"), F.avg("ratio").alias("mean_ratio"), F.count("ratio").alias("n"))
+    """The median of the ratios, by which a model's totals are multiplied (A20); the ratios never meet in one buffer."""
+    known = df.agg(F.avg("ratio").alias("mean_ratio"), F.count("ratio").alias("n"))
+    return known.join(F.broadcast(exact_medians(df, [], "ratio", "factor")), how="left").select("factor", "mean_ratio", "n")  # one row each
 
 
 def common_window(df: DataFrame, series: str = "series", value: str = "value") -> DataFrame:
@@ -128,6 +176,17 @@ def selection_matrix(df: DataFrame, column: str, dates: Sequence) -> DataFrame:
     return selection_rows(df, column).groupBy("station").pivot("date", list(dates)).agg(F.lit(1)).na.fill(0)
 
 
+def selection_presence(df: DataFrame, column: str) -> DataFrame:
+    """(station, date, picked): 1 where the date's lists have the station, else 0, for every date and every station that any list has.
+
+    The long form of the matrix, for any number of dates.
+    """
+    picked = selection_rows(df, column).select("station", "date").distinct()
+    stations, dates = written(picked.select("station").distinct(), "presence-stations"), df.select("date").distinct()
+    every = dates.join(small_side(stations))  # the result has this many rows
+    return every.join(picked.withColumn("picked", F.lit(1)), ["station", "date"], "left").na.fill(0, ["picked"])
+
+
 def selection_codes(df: DataFrame, codes: dict[str, int], season: str = "season", by: Sequence[str] = ("station", "date")) -> DataFrame:
     """Bits of the seasons that select a station on a date, joined by or."""
     bit = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])[F.col(season)]

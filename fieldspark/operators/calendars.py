@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import water_year
-from fieldspark.sources.tables import small_side
+from fieldspark.sources.tables import small_side, written
 
 KEYS = ("basin", "station")
 
@@ -78,7 +78,7 @@ def exclude(df: DataFrame, ranges: DataFrame, value: str = "value") -> DataFrame
     r = ranges.select(
         F.col("station").alias("__s"), F.coalesce("start", F.lit("0001-01-01").cast("date")).alias("__lo"), F.coalesce("end", F.lit("9999-12-31").cast("date")).alias("__hi")
     )
-    spans = small_side(r.groupBy("__s").agg(F.collect_list(F.struct("__lo", "__hi")).alias("__r")))
+    spans = small_side(written(r.groupBy("__s").agg(F.collect_list(F.struct("__lo", "__hi")).alias("__r")), "exclusions"))
     joined = df.join(spans, F.col("station") == F.col("__s"), "left")
     hit = F.coalesce(F.exists("__r", lambda x: F.col("date").between(x["__lo"], x["__hi"])), F.lit(False))
     return joined.withColumn("excluded", hit).withColumn(value, F.when(~F.col("excluded"), F.col(value))).drop("__s", "__r")
@@ -112,7 +112,3 @@ def fill_failed_days(pred: DataFrame, calendar: DataFrame, layout: Sequence[str]
     """Every calendar date for each (model, mode, …) of the layout; days without a prediction have nulls."""
     rows = calendar.select("date").distinct().crossJoin(F.broadcast(pred.select(*layout).distinct()))  # a few models and modes
     return rows.join(pred, ["date", *layout], "left")
-
-
-def in_water_year(date: Column, wy: int) -> Column:
-    return water_year(date) == wy

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import clip_negative
-from fieldspark.sources.tables import small_side
+from fieldspark.sources.tables import small_side, written
 
 
 def survey_with_stations(labels: DataFrame, obs: DataFrame, band: str = "total") -> DataFrame:
@@ -75,7 +75,7 @@ def season_part(df: DataFrame, thresholds: DataFrame, part: str, keys: Sequence[
 
     The table is a small dimension; repeated keys count once. The year is the calendar year.
     """
-    t = small_side(thresholds.dropDuplicates(list(keys)).select(*keys, "threshold"))
+    t = small_side(written(thresholds.dropDuplicates(list(keys)).select(*keys, "threshold"), "thresholds"))
     joined = df.join(t, list(keys))
     return joined.where(F.col("date") < F.col("threshold") if part == "accum" else F.col("date") >= F.col("threshold"))
 
@@ -109,7 +109,7 @@ def grid_at_stations(grid: DataFrame, cells: DataFrame, ranks: Sequence[str] = (
 
     The small cell table prunes the grid before anything is aggregated.
     """
-    picked = grid.join(small_side(cells.where("y IS NOT NULL AND x IS NOT NULL")), ["y", "x"])
+    picked = grid.join(small_side(written(cells.where("y IS NOT NULL AND x IS NOT NULL"), "station-cells")), ["y", "x"])
     return picked.groupBy("station", "date").pivot("rank", list(ranks)).agg(F.first(value, ignorenulls=True))
 
 
@@ -132,6 +132,42 @@ def in_polygon(points: DataFrame, polygon: Sequence[tuple[float, float]], lon: s
     return points.where(box & (F.size(F.filter(edges, crosses)) % 2 == 1))
 
 
+def polygon_edges(corners: DataFrame, area: str = "area") -> DataFrame:
+    """(area, x1, y1, x2, y2) of closed rings given as (area, ring, seq, x, y): each corner and the next, the last and the first."""
+    ring = Window.partitionBy(area, "ring")
+    nxt = lambda c: F.coalesce(F.lead(c).over(ring.orderBy("seq")), F.first(c).over(ring.orderBy("seq")))
+    ends = corners.select(area, F.col("x").cast("double").alias("x1"), F.col("y").cast("double").alias("y1"), nxt(F.struct("x", "y")).alias("b"))
+    return ends.select(area, "x1", "y1", F.col("b.x").cast("double").alias("x2"), F.col("b.y").cast("double").alias("y2"))
+
+
+def edge_index(edges: DataFrame, height: float, area: str = "area") -> DataFrame:
+    """(row, area, lo, hi, edges): for each row of cells of ``height`` the edges of an area that cross it, and their extent in x."""
+    top, low = F.greatest("y1", "y2"), F.least("y1", "y2")
+    sloped = edges.where("y1 <> y2")  # a level edge crosses no ray
+    rows = sloped.select(area, "x1", "y1", "x2", "y2", F.explode(F.sequence(F.floor(low / height), F.floor(top / height))).alias("row"))
+    return rows.groupBy("row", area).agg(F.min(F.least("x1", "x2")).alias("lo"), F.max(F.greatest("x1", "x2")).alias("hi"), F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+
+
+def areas_of_points(points: DataFrame, corners: DataFrame, height: float, area: str = "area", lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``points`` with each area that holds them (J15), one row an area; points in no area are left out.
+
+    ``corners`` is a table of polygons (area, ring, seq, x, y) of any number; several rings of an area count by parity,
+    so inner rings are holes. Points meet only the edges that cross their own row of cells of ``height``. A ray to the
+    right decides: a point on a left or lower edge is inside, on a right or upper edge outside, so areas that share an
+    edge share no point.
+    """
+    index = written(edge_index(polygon_edges(corners, area), height, area), "polygon-rows")
+    placed = points.withColumn("row", F.floor(F.col(lat) / height))
+    near = placed.join(small_side(index), "row").where(F.col(lon).between(F.col("lo"), F.col("hi")))
+
+    def crosses(e: Column) -> Column:
+        spans = (e["y1"] > F.col(lat)) != (e["y2"] > F.col(lat))
+        at = (e["x2"] - e["x1"]) * (F.col(lat) - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        return spans & (F.col(lon) < at)
+
+    return near.where(F.size(F.filter("edges", crosses)) % 2 == 1).select(*points.columns, area)
+
+
 def daily_status(raw: DataFrame, qa: DataFrame, excluded: DataFrame | None = None, best_case: bool = False, value: str = "value") -> DataFrame:
     """missing / excluded / failed / usable for each (basin, station, date) of ``raw``.
 

@@ -119,6 +119,34 @@ def _(spark, sf):
     return S.append_new_dates(means, path, ["basin", "date"])
 
 
+@query("s17_replace_and_checklist", "SELECT basin, date, count(*) AS n, sum(value) AS total, CASE WHEN date < DATE '1999-01-01' AND day(date) <> 17 THEN 1 ELSE 2 END AS run FROM obs GROUP BY ALL", ("obs",))
+def _(spark, sf):
+    """Daily means committed three times: with wrong days, corrected and continued, and repeated without any change."""
+    path, log = scratch(spark, "means"), scratch(spark, "checklist")
+    means = V.obs(spark, sf).groupBy("basin", "date").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    wrong = means.withColumn("total", F.when(F.day("date") == 17, F.col("total") + 1000).otherwise(F.col("total")))
+    S.commit_dates(wrong.where("date < '1999-01-01'"), path, log)
+    S.commit_dates(means, path, log)
+    return S.commit_dates(means, path, log).join(S.checklist(spark, log).select("date", "run"), "date")
+
+
+PREDICTED = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice AS value, CASE o_custkey % 3 WHEN 0 THEN 'peers' WHEN 1 THEN 'grid' END AS model, CASE o_custkey % 4 WHEN 0 THEN 'accum' WHEN 1 THEN 'melt' ELSE 'season' END AS season FROM orders"
+
+
+@query("s14_s15_last_rows_of_files", f"SELECT model, season, o_orderkey, date, value FROM ({PREDICTED}) WHERE model IS NOT NULL QUALIFY row_number() OVER (PARTITION BY model, season ORDER BY date DESC, o_orderkey DESC) <= 2")
+def _(spark, sf):
+    """Prediction files by model and season, written in order of date; the last two rows of each of a known model."""
+    k = F.col("o_custkey")
+    name = F.concat(F.when(k % 3 == 0, "peers").when(k % 3 == 1, "grid").otherwise("other"), F.when(k % 4 == 0, "_accum").when(k % 4 == 1, "_melt").otherwise(""))
+    rows = V.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("value"), name.alias("run"))
+    path = scratch(spark, "predictions")
+    rows.repartition("run").sortWithinPartitions("run", "date", "o_orderkey").write.partitionBy("run").parquet(path)
+    found = S.scan_files(spark.read.parquet(path))
+    model, season = S.model_of_path(F.regexp_extract("file", "(run=[^/]*/[^/]*)$", 1))
+    found = S.last_of_files(found.withColumns({"model": model, "season": season}).where("model IS NOT NULL"))
+    return found.select("model", "season", "o_orderkey", "date", "value")
+
+
 @query("s19_register_survey", "SELECT date, y, x, value FROM grid WHERE date = DATE '1998-03-01' AND y IN (SELECT y FROM cells WHERE elev >= 4000)", ("grid", "cells"))
 def _(spark, sf):
     path = scratch(spark, "survey")

@@ -11,8 +11,8 @@ from fieldspark.functions.units import CELL_M2, water_year
 from fieldspark.operators import models as M
 from fieldspark.operators import qa as Q
 from fieldspark.operators.calendars import daily_calendar
-from fieldspark.plans.catalog import query
-from fieldspark.plans.series import full, history, ranking
+from fieldspark.plans.catalog import query, with_views
+from fieldspark.plans.series import FULL, STATIC, VOTING, full, history, ranking
 from fieldspark.sources import views as V
 from fieldspark.sources.tables import scratch, small_side, written
 
@@ -243,7 +243,17 @@ def _(spark, sf):
     return model_flags(spark, sf, ("seasonal",))
 
 
-@query("q5_all_methods")
+def methods_sql() -> str:
+    """The union of the three methods' SQL with the driver's gates and the operators' own limits."""
+    static = STATIC.replace("quantile_cont(d, 0.05)", "quantile_cont(d, 0.005)").replace("quantile_cont(d, 0.95)", "quantile_cont(d, 0.995)").replace("lo * 1.0", "lo * 1.5").replace("hi * 1.0", "hi * 1.5").replace("value > 90", "value > 3000")
+    voting = VOTING.replace("value > 90", "value > 3000").replace("value < 20 AND value - delta < 20", "value < 50 AND value - delta < 50")
+    base = MODEL_SQL.replace("pred < 10", "pred < 50").replace("(VALUES ('base'), ('detrend'))", "(VALUES ('model'))")
+    parts = {"static": f"{with_views(*FULL)}{static} SELECT * FROM static", "voting": f"{with_views(*FULL)}{voting} SELECT * FROM voting", "model": base}
+    rows = " UNION ALL ".join(f"SELECT basin, station, date, '{name}' AS method, reason_code FROM ({sql})" for name, sql in parts.items())
+    return f"SELECT *, CASE reason_code WHEN 'OK' THEN 0 WHEN 'SKIPPED' THEN 0 WHEN 'MISSING' THEN 2 WHEN 'PHYSICAL' THEN 2 WHEN 'DELTA' THEN 2 ELSE 1 END AS severity, CAST(reason_code NOT IN ('OK', 'SKIPPED') AS INTEGER) AS flag FROM ({rows})"
+
+
+@query("q5_all_methods", methods_sql())
 def _(spark, sf):
     days = written(daily_calendar(with_cells(spark, sf)), "qa-days")
     hist, test = days.where("date < '2000-10-01'"), days.where("date >= '2000-10-01'")

@@ -219,6 +219,25 @@ def _(spark, sf):
     return J.in_polygon(points, [(0.0, 2.0), (8000.0, 2.0), (0.0, 18.0)])
 
 
+#: An arrow-shaped ring a region, and a square hole in each (offsets from the region's corner).
+ARROW = [(0.0, 0.0), (2500.0, 4.0), (5000.0, 0.0), (2500.0, 12.0)]
+HOLE = [(2000.0, 5.0), (3000.0, 5.0), (3000.0, 7.0), (2000.0, 7.0)]
+
+
+@query(
+    "j15_areas",
+    "WITH c AS (SELECT r_regionkey AS area, ring, seq, x + 1500 * r_regionkey AS x, y + 3 * r_regionkey AS y FROM region, (VALUES "
+    + ", ".join(f"({ring}, {i}, {x}::DOUBLE, {y}::DOUBLE)" for ring, own in enumerate((ARROW, HOLE)) for i, (x, y) in enumerate(own))
+    + ") v(ring, seq, x, y)), e AS (SELECT area, x AS x1, y AS y1, coalesce(lead(x) OVER w, first(x) OVER w) AS x2, coalesce(lead(y) OVER w, first(y) OVER w) AS y2 FROM c WINDOW w AS (PARTITION BY area, ring ORDER BY seq))"
+    " SELECT c_custkey, area FROM (SELECT c_custkey, c_acctbal AS lon, CAST(c_nationkey AS DOUBLE) AS lat FROM customer) JOIN e ON (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1",
+)
+def _(spark, sf):
+    rings = F.explode(F.array(*[F.struct(F.lit(ring).alias("ring"), F.lit(i).alias("seq"), F.lit(x).alias("dx"), F.lit(y).alias("dy")) for ring, own in enumerate((ARROW, HOLE)) for i, (x, y) in enumerate(own)])).alias("c")
+    corners = V.table(spark, sf, "region").select(F.col("r_regionkey").alias("area"), rings).select("area", "c.ring", "c.seq", (F.col("c.dx") + 1500 * F.col("area")).alias("x"), (F.col("c.dy") + 3 * F.col("area")).alias("y"))
+    points = V.table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("lon"), F.col("c_nationkey").cast("double").alias("lat"))
+    return J.areas_of_points(points, corners, 2.0).select("c_custkey", "area")
+
+
 @query(
     "j16_daily_status",
     CLEANED + ", st AS (SELECT o.basin, o.station, o.date, CASE WHEN o.value IS NULL THEN 'missing' WHEN o.station = 7 THEN 'excluded' WHEN c.value IS NULL THEN 'failed' ELSE 'usable' END AS status FROM full_obs o LEFT JOIN clean c ON c.basin = o.basin AND c.station = o.station AND c.date = o.date) SELECT basin, date, coalesce(list_sort(list(DISTINCT station) FILTER (WHERE status = 'usable')), []) AS usable, count(*) FILTER (WHERE status = 'failed') AS failed FROM st GROUP BY ALL",
@@ -436,7 +455,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = V.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("band"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_quantity") * 1.5).alias("p"))
-    m = A.metrics(rows, ["band"], "y", "p")
+    m = A.metrics(rows, ["band"], "y", "p", large=True)
     digits = {"explained_variance": 9, "msle": 9, "r2": 9, "mse": 5}
     return m.select("band", "n", *[F.round(c, digits.get(c, 6)).alias(c) for c in m.columns[2:]])
 
@@ -475,19 +494,27 @@ def _(spark, sf):
     return A.histogram(V.table(spark, sf, "supplier"), "s_acctbal", 20)
 
 
-LISTS = ", sel AS (SELECT basin, date, string_agg(CAST(station AS VARCHAR), ', ' ORDER BY station) AS stations FROM obs WHERE value > 60 AND date < DATE '1995-04-01' GROUP BY ALL)"
-
-
 def station_lists(spark, sf):
-    rows = V.obs(spark, sf).where("value > 60 AND date < '1995-04-01'")
+    rows = V.obs(spark, sf).where("value > 60")
     return rows.groupBy("basin", "date").agg(F.array_join(F.transform(F.sort_array(F.collect_set("station")), lambda x: x.cast("string")), ", ").alias("stations"))
 
 
-@query("a25_selection_matrix", " SELECT CAST(station AS VARCHAR) AS station, CAST(coalesce(max(1) FILTER (WHERE date = DATE '1995-02-01'), 0) AS INT) AS a, CAST(coalesce(max(1) FILTER (WHERE date = DATE '1995-02-02'), 0) AS INT) AS b FROM obs WHERE value > 60 AND date < DATE '1995-04-01' GROUP BY 1", ("obs",))
+@query(
+    "a25_selection_matrix",
+    ", s AS (SELECT DISTINCT station, date FROM obs WHERE value > 60) SELECT CAST(a.station AS VARCHAR) AS station, d.date, CAST(s.station IS NOT NULL AS INTEGER) AS picked FROM (SELECT DISTINCT station FROM s) a CROSS JOIN (SELECT DISTINCT date FROM s) d LEFT JOIN s ON s.station = a.station AND s.date = d.date",
+    ("obs",),
+)
+def _(spark, sf):
+    return A.selection_presence(station_lists(spark, sf), "stations")
+
+
+MONTHS = [f"m{i:02d}" for i in range(1, 13)]
+
+
+@query("a25_selection_by_month", " SELECT CAST(station AS VARCHAR) AS station, " + ", ".join(f"CAST(max(CAST(month(date) = {i} AS INT)) AS INT) AS m{i:02d}" for i in range(1, 13)) + " FROM obs WHERE value > 60 GROUP BY 1", ("obs",))
 def _(spark, sf):
-    lists = station_lists(spark, sf).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-    m = A.selection_matrix(lists, "stations", ["1995-02-01", "1995-02-02"])
-    return m.withColumnsRenamed({"1995-02-01": "a", "1995-02-02": "b"})
+    lists = station_lists(spark, sf).withColumn("date", F.date_format("date", "'m'MM"))
+    return A.selection_matrix(lists, "stations", MONTHS)
 
 
 @query("a26_selection_codes", " SELECT station, date, CAST(bit_or(CASE CAST(value % 3 AS INT) WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END) AS INTEGER) AS code FROM obs GROUP BY ALL", ("obs",))

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from fieldspark.sources.tables import exists, small_side, written
 
 THRESHOLD_SCHEMA = "water_year int, elev_bin int, threshold_1 date, threshold_2 date, threshold_best date"
 MODELS = ("peers", "grid")
+CHECKLIST = "date date, n_rows long, digest string, run int"
 
 
 def read_series(spark: SparkSession, path: str, date: str = "Date", schema: StructType | str | None = None) -> DataFrame:
@@ -69,6 +72,54 @@ def append_new_dates(df: DataFrame, path: str, keys: Sequence[str] = ("date",))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checklist(spark: SparkSession, path: str) -> DataFrame:
+    """Processed dates of ``commit_dates`` as they stand (S17): (date, n_rows, digest, run); empty before the first run."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], CHECKLIST)
+    log = spark.read.schema(CHECKLIST).parquet(path)
+    return log.groupBy("date").agg(F.max_by(F.struct("n_rows", "digest", "run"), "run").alias("last")).select("date", "last.*")
+
+
+def commit_dates(df: DataFrame, path: str, log: str, date: str = "date") -> DataFrame:
+    """Put the dates of ``df`` into the table at ``path``, new ones added and changed ones replaced, and read the table.
+
+    A date's rows count as changed if their number or their digest (of all columns, in any order) isn't the one in the
+    checklist at ``log``, which gets an entry for each date that is written. Months with such dates are written anew as
+    partitions, first the data, then the checklist: a run that is repeated or was broken off adds nothing twice. Dates
+    that ``df`` lacks stay; rows without a date are left out. One writer at a time.
+    """
+    spark, names = df.sparkSession, df.columns
+    rows = written(df.where(F.col(date).isNotNull()).withColumn("__date", F.col(date).cast("date")), "commit-rows")
+    digest = F.sum(F.xxhash64(*names).cast("decimal(20,0)")).cast("string")
+    today = rows.groupBy(F.col("__date").alias("date")).agg(F.count("*").alias("n_rows"), digest.alias("digest"))
+    done = checklist(spark, log)
+    run = (done.agg(F.max("run")).first()[0] or 0) + 1
+    changed = written(today.join(done.select("date", "n_rows", "digest"), ["date", "n_rows", "digest"], "left_anti").withColumn("run", F.lit(run)), "commit-dates")
+    table = lambda: spark.read.schema(StructType([*df.schema.fields, StructField("month", StringType())])).parquet(path)
+    if not changed.isEmpty():
+        dates = changed.select(F.col("date").alias("__date"))
+        month = F.date_format("__date", "yyyy-MM")
+        fresh = rows.join(dates, "__date", "left_semi").withColumn("month", month)
+        if exists(spark, path):
+            months = dates.select(month.alias("month")).distinct()
+            kept = table().join(F.broadcast(months), "month", "left_semi").withColumn("__date", F.col(date).cast("date"))
+            fresh = fresh.unionByName(kept.join(dates, "__date", "left_anti"))
+        write_partitioned(written(fresh.select(*names, "month"), "commit-months"), path, ["month"])
+        changed.write.mode("append").parquet(log)
+    return table().select(*names) if exists(spark, path) else df.where(F.lit(False))
+
+
+def scan_files(df: DataFrame) -> DataFrame:
+    """A Parquet scan with ``file``, the path of a row's file, and ``place``, its row number there."""
+    return df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+
+
+def last_of_files(rows: DataFrame, n: int = 2) -> DataFrame:
+    """The last ``n`` rows of each file of ``scan_files`` (S15): each file's end is an aggregate, so no file is one task's work."""
+    ends = rows.groupBy("file").agg(F.max("place").alias("__end"))
+    return rows.join(small_side(ends), "file").where(F.col("place") > F.col("__end") - n).drop("__end")
+
+
 def read_grid(spark: SparkSession, base: str, variable: str, water_years: Sequence[int] = ()) -> DataFrame:
     """Files whose name has the variable, of the given water years' partitions."""
     df = spark.read.option("basePath", base).parquet(base, pathGlobFilter=f"*{variable}*")
@@ -105,12 +156,6 @@ def last_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int
     return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n).drop("__n")
 
 
-def first_field(df: DataFrame, candidates: Sequence[str], alias: str) -> Column:
-    """The first non-null of the candidate columns that the table has; null if it has none."""
-    have = [F.col(c) for c in candidates if c in df.columns]
-    return (F.coalesce(*have) if have else F.lit(None)).alias(alias)
-
-
 def json_fields(text: Column, dates: Sequence[str], values: Sequence[str]) -> tuple[Column, Column]:
     """Date and value texts of a JSON object by candidate field names."""
     pick = lambda names: F.coalesce(*[F.get_json_object(text, f"$.{n}") for n in names])
