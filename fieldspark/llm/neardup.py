@@ -3,21 +3,22 @@
 A fingerprint of all bits can't be searched at the distance that a similarity of 0.8 means (15 % of the bits), so a
 shared shingle deals the documents to buckets: two sets of similarity ``t`` share one of the first n - ceil(t n) + 1
 members of each in any common order. The order is by hash with frequent members last; it decides the cost only. More
-than PREFIX members aren't needed: for none of so many to be shared, the least PREFIX members of the union must all be
-in one set alone, for which the chance is 0.2 ** 12, four in a billion, at a similarity of 0.8 and less above. Inside a
-bucket the trie self-join of ``simhash`` gives the pairs within ``BUDGET`` differing bits, and the pairs are verified
-on the shingle hashes themselves.
+than ``prefix_members`` aren't needed: for none of so many to be shared, the least ones of the union must all be in one
+set alone, for which the chance is 1 - t a member, four in a billion in all (at 0.8 twelve members). Inside a bucket the
+trie self-join of ``simhash`` gives the pairs within ``bit_budget`` differing bits, and the pairs are verified on the
+shingle hashes themselves. Both bounds follow from the threshold. Few shingles make bits a poor guide, so pairs of sets
+of at most ``SHORT`` are verified whatever their bits.
 
 Equal sets are one node. A large bucket first meets its hubs only, the members nearest to its bitwise majority. What
 is left between components is compared inside the bucket's task, where the sets travel along, by the trie again; it
 gives a link for each member that joins another component, never all pairs. A group of variants that resemble one
-another by less than the threshold still costs its task a comparison for each pair within the budget.
+another by less than the threshold still costs its task a comparison for each pair within the budget, or of short sets for each pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import acos, ceil, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +33,27 @@ from fieldspark.llm.simhash import BUCKET, Labels, trie_pairs
 SMALL, HUBS = 32, 8
 #: Frequent members put last in the order (any number gives the same result).
 FREQUENT = 100_000
-#: Differing bits of candidates. At a similarity of 0.8 a bit differs with a chance of 0.152, so 9.7 of 64 do (standard
-#: deviation 2.9); more than 24 have a chance below one in a million.
-BUDGET = 24
-PREFIX = 12
+#: Shingles up to which a set is short.
+SHORT = 32
+#: Chance that no prefix member is shared, and standard deviations of the differing bits that the budget allows.
+MISS, DEVIATIONS = 4.1e-9, 5.0
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def bit_budget(threshold: float) -> int:
+    """Differing bits of candidates. Sets of similarity t have a cosine of at least 2t / (1 + t), so a bit differs with a chance of acos(..) / pi at most.
+
+    At 0.8 that is 0.152, 9.7 of 64 bits with a standard deviation of 2.9; more than 24 have a chance of about one in a million.
+    """
+    p = acos(min(1.0, 2 * threshold / (1 + threshold))) / pi
+    return min(64, round(64 * p + DEVIATIONS * sqrt(64 * p * (1 - p))))
+
+
+def prefix_members(threshold: float) -> int:
+    """Members of a prefix that are enough: none of them is shared with a chance of ``MISS``."""
+    return max(1, ceil(log(MISS) / log(max(1 - threshold, MISS)) - 1e-3))
+
+
 def shingle_hashes(text: bytes | None, n: int) -> np.ndarray:
     """Rising distinct hashes of the runs of ``n`` words; fewer words are one run, none are none. Words as in ``simhash``."""
     words = (text or b"").lower().split()
@@ -66,7 +81,7 @@ def majority(h: np.ndarray) -> int:
 
 
 def prefix(h: np.ndarray, threshold: float) -> np.ndarray:
-    return h[: min(PREFIX, len(h) - ceil(len(h) * threshold - 1e-9) + 1)]
+    return h[: min(prefix_members(threshold), len(h) - ceil(len(h) * threshold - 1e-9) + 1)]
 
 
 def among(h: np.ndarray, rising: np.ndarray) -> np.ndarray:
@@ -144,6 +159,20 @@ def in_cells(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.when(parts > 1, cells).otherwise(F.array("h"))).alias("h"), *[c for c in rows.columns if c not in ("h", "n")])
 
 
+def tried(h: np.ndarray, fp: np.ndarray, size: np.ndarray, threshold: float, labels: Labels) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of one bucket within the bit budget, and all pairs of short sets, but for those of one label."""
+    yield from trie_pairs(h, fp, bit_budget(threshold), labels, leaf=64)
+    short = np.flatnonzero(size <= SHORT)
+    if len(short) > 1:
+        own = Labels(len(short))
+        by = np.lexsort((labels.label[short], h[short]))
+        at = np.flatnonzero((h[short][by][1:] == h[short][by][:-1]) & (labels.label[short][by][1:] == labels.label[short][by][:-1]))
+        own.link(by[at], by[at + 1])
+        for i, j in trie_pairs(h[short], fp[short], 64, own, leaf=64):
+            apart = labels.label[short[i]] != labels.label[short[j]]
+            yield short[i[apart]], short[j[apart]]
+
+
 def candidates(rows: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of ``rows`` (h, sig, size, fp) in one small bucket, by the trie self-join."""
 
@@ -151,7 +180,7 @@ def candidates(rows: DataFrame, threshold: float) -> DataFrame:
         for x in in_groups(batches):
             x = x[:, np.lexsort((x[3].view(np.uint64), x[0]))]
             h, sig, size, fp = x
-            for i, j in trie_pairs(h, fp.view(np.uint64), BUDGET, Labels(len(h)), leaf=64):
+            for i, j in tried(h, fp.view(np.uint64), size, threshold, Labels(len(h))):
                 ok = np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9
                 both = np.unique(np.stack([np.minimum(sig[i], sig[j])[ok], np.maximum(sig[i], sig[j])[ok]]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
@@ -181,7 +210,7 @@ def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
         at = np.flatnonzero((h[by][1:] == h[by][:-1]) & (label[by][1:] == label[by][:-1]))
         labels.link(by[at], by[at + 1])
         before = labels.label.copy()
-        for i, j in trie_pairs(h, fp.view(np.uint64), BUDGET, labels, leaf=64):
+        for i, j in tried(h, fp.view(np.uint64), size, threshold, labels):
             ok = np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9
             i, j = i[ok], j[ok]
             by = np.argsort(i, kind="stable")
@@ -230,7 +259,8 @@ def hub_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     hub = near.groupBy("h", F.pmod(F.xxhash64("sig"), F.lit(HUBS)).alias("eighth")).agg(F.min(F.struct("far", "sig", "size", "fp")).alias("hub"))
     hub = materialize(hub.select("h", F.col("hub.sig").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.fp").alias("hub_fp")), "near-hubs")
     met = rows.join(F.broadcast(hub) if hub.count() <= BROADCAST_ROWS // 2 else hub, "h")
-    close = (F.col("sig") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub_fp"))) <= BUDGET)
+    near_bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub_fp"))) <= bit_budget(threshold)
+    close = (F.col("sig") != F.col("hub")) & (near_bits | (F.greatest("size", "hub_size") <= SHORT))
     alike = F.least("size", "hub_size") >= F.greatest("size", "hub_size") * threshold - 1e-9
     return met.where(close & alike).select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b"))
 

@@ -95,3 +95,45 @@ def test_trie_descends_on_the_corpus(spark):
     tally = {}
     simhash.trie_self_join(rows.bucket.to_numpy()[order], rows.fp.to_numpy()[order].view(np.uint64), 4, tally)
     assert tally["split"] > 0 and tally["pruned"] > 0
+
+
+def test_bounds_follow_the_threshold():
+    assert (neardup.bit_budget(0.8), neardup.prefix_members(0.8)) == (24, 12)
+    assert neardup.bit_budget(0.4) > 30 and neardup.prefix_members(0.4) > 30 and neardup.bit_budget(1.0) == 0
+
+
+def test_short_sets_are_candidates_whatever_their_bits():
+    """Pairs of 8 and 9 words, four of five shingles shared: some differ in more bits than the budget."""
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 1 << 63, (200_000, 5), dtype=np.uint64)
+    bits = ((h[:, :, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int8)
+    far = np.flatnonzero(((bits.sum(axis=1) > 2.5) != (bits[:, :4].sum(axis=1) > 2)).sum(axis=1) > neardup.bit_budget(0.8))
+    assert len(far)
+    for k in far:
+        a, b = np.sort(h[k]), np.sort(h[k, :4])
+        fp = np.sort(np.array([neardup.majority(a), neardup.majority(b)], np.uint64))
+        assert len(list(neardup.tried(np.zeros(2, np.int64), fp, np.array([5, 4]), 0.8, simhash.Labels(2)))) == 1
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.6, 0.8, 0.9])
+@pytest.mark.parametrize("small", [neardup.SMALL, 2])
+def test_short_texts_at_any_threshold(spark, monkeypatch, threshold, small):
+    monkeypatch.setattr(neardup, "SMALL", small)
+    rng = random.Random(int(threshold * 10))
+    rows = []
+    for g in range(60):
+        base = [f"w{rng.randrange(900)}" for _ in range(rng.choice([5, 8, 9, 12, 20, 45]))]
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(rng.randint(0, 2)):
+                copy[rng.choice([0, -1, rng.randrange(len(copy))])] = f"w{rng.randrange(900)}"
+            rows.append((len(rows), " ".join(copy + ["tail"] * rng.randint(0, 1))))
+    sets = {d: shingle_set(t) for d, t in rows}
+    up = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]) - 1e-9:
+                old, new = max(up[a], up[b]), min(up[a], up[b])
+                up = {d: new if u == old else u for d, u in up.items()}
+    out = {r.doc_id: r.component_id for r in neardup.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), threshold).collect()}
+    assert out == up and 60 <= len(set(out.values())) < len(rows)
