@@ -30,6 +30,8 @@ SPACE = b" \t\n\x0b\x0c\r"
 BLOCK = 1 << 15
 #: Confirmed keys, and bytes of them, up to which they are broadcast.
 CONFIRMED, CONFIRMED_BYTES = 100_000, 8_000_000
+#: Of more confirmed keys: documents and bytes of a key that is broadcast, and how many may be.
+HUB_ROWS, HUB_BYTES, MANY_HUBS = 10_000, 1_024, 20_000
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -133,7 +135,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits
 
     suspected = materialize(view.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "key string, doc_id long"), "line-suspects")
     confirmed = (
-        suspected.distinct().groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id")).where(F.col("n_docs") >= min_docs).select("key", "keep_id")
+        suspected.distinct().groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id")).where(F.col("n_docs") >= min_docs).select("key", "keep_id", "n_docs")
     )
     return suspected, materialize(confirmed, "line-confirmed"), (shared, token, bits)
 
@@ -168,6 +170,20 @@ class Suspects:
         return out
 
 
+def with_confirmed(suspected: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """The rows of ``suspected`` whose key is confirmed, with its keep_id.
+
+    Keys of more than ``HUB_ROWS`` documents and at most ``HUB_BYTES`` are broadcast (few, as the rows bound them), so that
+    a line of a million documents is no task of its own; the others meet by a shuffle.
+    """
+    hub = (F.col("n_docs") > HUB_ROWS) & (F.octet_length("key") <= HUB_BYTES)
+    hubs = confirmed.where(hub).select("key", "keep_id")
+    if not 0 < hubs.count() <= MANY_HUBS:
+        return suspected.join(confirmed.select("key", "keep_id"), "key")
+    others = suspected.join(F.broadcast(hubs.select("key")), "key", "left_anti").join(confirmed.where(~hub).select("key", "keep_id"), "key")
+    return suspected.join(F.broadcast(hubs), "key").unionByName(others)
+
+
 def drop_in_place(docs: DataFrame, keep: dict[bytes, int | None]) -> DataFrame:
     """``docs`` without the lines whose key ``keep`` has with another doc_id; adds line_count and line_dropped."""
     shared = docs.sparkSession.sparkContext.broadcast(keep)
@@ -210,7 +226,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per
     if few[0] <= CONFIRMED and few[1] <= CONFIRMED_BYTES:
         return drop_in_place(docs.select(*extra), {r.key.encode(): r.keep_id for r in confirmed.collect()})
     drop_id, drop_keys = free_name(docs, "drop_id"), free_name(docs, "drop_keys")
-    drop = suspected.join(confirmed, "key").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    drop = with_confirmed(suspected, confirmed).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     drop = drop.groupBy("doc_id").agg(F.collect_set("key").alias(drop_keys)).withColumnRenamed("doc_id", drop_id)
     base = docs.select(*extra)
     schema = base.schema

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import arrow_map, connected_components, free_name, materialize
+from fieldspark.llm.naming import with_names
 
 PIECE = 200_000
 #: Rows of buckets that a task holds at once, and node pairs that it expands at once.
@@ -250,14 +251,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, budget: int = 4, n_
     null where no member has an id). An empty table gives an empty table; other columns are ignored.
     """
     fps = materialize(fingerprints(docs, shingle_words), "simhash-fps")
-    least = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
+    least = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "simhash-distinct")
     edges = link_fingerprints(least.select("fp"), budget, n_blocks or blocks_for(least.count()))
     parts = connected_components(materialize(edges, "simhash-links"), "simhash-cc").withColumnRenamed("node", "fp")
-    linked = materialize(least.join(parts, "fp"), "simhash-linked")
+    linked = materialize(least.drop("n").join(parts, "fp"), "simhash-linked")
     own = linked.groupBy("label").agg(F.min("least_id").alias("part_id"))
     linked = linked.join(own, "label").select("fp", "part_id")
-    member = materialize(least.join(linked, "fp", "left").select("fp", F.coalesce("part_id", "least_id").alias("component_id")), "simhash-members")
-    return fps.join(member, "fp").select("doc_id", "fp", "component_id")
+    member = materialize(least.join(linked, "fp", "left").select("fp", "n", F.coalesce("part_id", "least_id").alias("component_id")), "simhash-members")
+    return with_names(fps, member, ["fp"]).select("doc_id", "fp", "component_id")  # a fingerprint of very many documents is no hot key
 
 
 def keep_first(docs: DataFrame, shingle_words: int = 4, budget: int = 4) -> DataFrame:

@@ -18,11 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import BROADCAST_ROWS, arrow_map, materialize
+from fieldspark.llm.naming import with_names
 
 #: Words of names that sell what a corpus doesn't want: the supervision, a parameter of ``judge``.
 SEEDS = ("adult", "bet", "bets", "betting", "casino", "escort", "gambling", "jackpot", "lottery", "malware", "phishing", "pills", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "win", "xxx")
 #: Letters of the longest word of the unigram model; longer words, and those of one letter, are unknown to it.
 MAX_WORD = 24
+#: Rows of a table of names, words or tokens up to which it is broadcast.
+FEW = BROADCAST_ROWS // 4
 
 
 @dataclass(frozen=True)
@@ -87,7 +90,7 @@ def best_split(name: str, logp: dict[str, float], floor: float) -> list[str]:
 
 def counted(df: DataFrame) -> DataFrame:
     """The written table ``df``, marked for broadcast if its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS // 4 else df
+    return F.broadcast(df) if df.count() <= FEW else df
 
 
 def unigrams(pages: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
@@ -132,14 +135,15 @@ def tokenized(urls: DataFrame, words: DataFrame) -> DataFrame:
     parts = F.concat(F.transform(runs(F.col("host")), marked("h")), F.transform(runs(F.lower("path")), marked("p")))
     rows = materialize(urls.select("id", F.posexplode(parts)).select("id", "pos", "col.where", "col.name"), "url-parts")
     digits = F.col("name").rlike(r"^\p{Nd}")
-    split = counted(materialize(segments(rows.where(~digits), words), "url-segments"))
-    named = rows.where(~digits).join(split, "name").select("id", "pos", F.transform("words", lambda w: F.concat(F.col("where"), F.lit(":"), w)).alias("t"))
+    often = rows.where(~digits).groupBy("name").agg(F.count("*").alias("n"))
+    split = materialize(segments(often, words).join(often, "name"), "url-segments")
+    named = with_names(rows.where(~digits), split, ["name"], FEW).select("id", "pos", F.transform("words", lambda w: F.concat(F.col("where"), F.lit(":"), w)).alias("t"))
     named = named.unionByName(rows.where(digits).select("id", "pos", F.array(F.concat(F.col("where"), F.lit(":#"))).alias("t")))
     return named.groupBy("id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"])).alias("tokens"))
 
 
 def bayes(rows: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, float, float]:
-    """(rows (t, odds), odds of a token never seen, prior): multinomial naive Bayes of ``rows`` (tokens, n, blocked).
+    """(rows (t, odds, n), odds of a token never seen, prior): multinomial naive Bayes of ``rows`` (tokens, n, blocked).
 
     Every token of every row counts, ``n`` times.
     """
@@ -149,7 +153,7 @@ def bayes(rows: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, float, float]
     bad, good, size = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0)), F.count("*")).first()
     bad, good = bad + alpha * (size + 1), good + alpha * (size + 1)
     odds = F.log((F.col("bad") + alpha) / F.lit(bad)) - F.log((F.col("good") + alpha) / F.lit(good))
-    return counts.select("t", odds.alias("odds")), log(alpha / bad) - log(alpha / good) if n_bad else 0.0, log((n_bad + 1) / (n_good + 1))
+    return counts.select("t", odds.alias("odds"), (F.col("bad") + F.col("good")).alias("n")), log(alpha / bad) - log(alpha / good) if n_bad else 0.0, log((n_bad + 1) / (n_good + 1))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS, threshold: float = 0.0) -> DataFrame:
@@ -165,9 +169,10 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, .
     urls = materialize(own.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "url-distinct")
     tokens = urls.join(tokenized(urls, unigrams(pages, seeds)), "id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
     tokens = materialize(tokens.withColumn("blocked", F.exists("tokens", lambda t: F.substring(t, 3, MAX_WORD + 1).isin(*seeds))), "url-tokenized")
-    odds, unknown, prior = bayes(tokens)
-    told = tokens.select("id", F.explode("tokens").alias("t")).join(counted(materialize(odds, "url-odds")), "t", "left")
-    scores = told.groupBy("id").agg(F.round(F.sum(F.coalesce("odds", F.lit(unknown))), 9).alias("sum"))
+    odds, _, prior = bayes(tokens)
+    # every token is in the table of odds; ``h:com`` or ``h:www`` are in nearly every URL
+    told = with_names(tokens.select("id", F.explode("tokens").alias("t")), materialize(odds, "url-odds"), ["t"], FEW)
+    scores = told.groupBy("id").agg(F.round(F.sum("odds"), 9).alias("sum"))
     scored = tokens.join(scores, "id", "left").select("host", "path", "tokens", (F.lit(prior) + F.coalesce("sum", F.lit(0.0))).alias("score"))
     out = match_rules(own, rules).join(counted(materialize(scored, "url-scores")), ["host", "path"])
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") > threshold, "block").otherwise("allow"))
