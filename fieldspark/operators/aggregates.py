@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.units import CELL_M2, acre_feet, convert
@@ -258,9 +258,15 @@ SHEET_COLUMNS = (
 )
 
 
-def sheet_description(spark: SparkSession) -> DataFrame:
-    """One row for each column of the prediction sheets with what it means."""
-    return spark.createDataFrame(list(SHEET_COLUMNS), "column string, meaning string")
+def sheet_description(sheet: DataFrame) -> DataFrame:
+    """What each column of a long prediction sheet means, and how many values it has (M14): (column, meaning, n_values, n_distinct).
+
+    Columns without a known meaning have a null one.
+    """
+    counts = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n_values"), F.count_distinct(c).alias("n_distinct")) for c in sheet.columns]
+    found = sheet.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    meaning = F.create_map(*[F.lit(x) for pair in SHEET_COLUMNS for x in pair])[F.col("column")]
+    return found.select("column", meaning.alias("meaning"), "n_values", "n_distinct")
 
 
 def combine_networks(a: DataFrame, b: DataFrame, names_b: dict[str, str], feet_b: Sequence[str] = ()) -> DataFrame:

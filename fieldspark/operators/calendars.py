@@ -109,5 +109,5 @@ def todo_dates(done: DataFrame, until: str) -> DataFrame:
 
 def fill_failed_days(pred: DataFrame, calendar: DataFrame, layout: Sequence[str]) -> DataFrame:
     """Every calendar date for each (model, mode, …) of the layout; days without a prediction have nulls."""
-    rows = calendar.select("date").distinct().crossJoin(F.broadcast(pred.select(*layout).distinct()))  # a few models and modes
+    rows = calendar.select("date").distinct().crossJoin(small_side(written(pred.select(*layout).distinct(), "layout")))  # the result has these rows
     return rows.join(pred, ["date", *layout], "left")

@@ -542,6 +542,17 @@ def _(spark, sf):
     return A.band_sheet(V.labels(spark, sf), ["basin", "date"], BANDS5).select("basin", "date", *[F.round(f"`{b}`", 2).alias(b) for b in BANDS5])
 
 
+@query(
+    "m14_sheet_description",
+    " SELECT 'date' AS \"column\", 'day of the prediction' AS meaning, count(date) AS n_values, count(DISTINCT date) AS n_distinct FROM labels UNION ALL SELECT 'band', 'elevation band; total is the basin', count(band), count(DISTINCT band) FROM labels"
+    " UNION ALL SELECT 'value', 'volume in acre-feet, whole', count(v), count(DISTINCT v) FROM (SELECT CASE WHEN value >= 1e5 THEN CAST(trunc(value) AS BIGINT) END AS v FROM labels) UNION ALL SELECT 'basin', NULL, count(basin), count(DISTINCT basin) FROM labels",
+    ("labels",),
+)
+def _(spark, sf):
+    sheet = V.labels(spark, sf).select("date", "band", F.when(F.col("value") >= 1e5, F.col("value").cast("long")).alias("value"), "basin")
+    return A.sheet_description(sheet)
+
+
 @query("a30_rmse_sheet", ", m AS (SELECT basin, band, sqrt(avg((value - 1e6) * (value - 1e6))) AS value FROM labels GROUP BY ALL) SELECT basin, " + SHEET + " FROM m GROUP BY basin", ("labels",))
 def _(spark, sf):
     e = F.col("value") - 1e6
