@@ -1,5 +1,6 @@
 """Each operator against a plain version of its rule."""
 
+import bisect
 import hashlib
 import math
 import random
@@ -162,12 +163,24 @@ def test_packing(spark, texts):
         assert at <= 4096
     tokens = sum(r.length for r in rows)
     assert len(sequences) <= 1.05 * tokens / 4096 + 2
+    assert len(sequences) == plain_best_fit([r.length for r in rows], 4096)
+
+
+def plain_best_fit(lengths, size):
+    """How many sequences best-fit decreasing takes, piece by piece."""
+    left = []
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(left, length)
+        room = left.pop(at) if at < len(left) else size
+        bisect.insort(left, room - length)
+    return len(left)
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), max_size=12), st.integers(40, 60))
 def test_plan_places_every_piece_once(histogram, size):
     plan = packing.best_fit_plan(histogram, size)
+    assert len({seq + rank // each for _, lo, hi, seq, each, _ in plan for rank in range(hi - lo)}) == plain_best_fit([x for x, n in histogram.items() for _ in range(n)], size)
     placed, room = defaultdict(int), defaultdict(list)
     for length, lo, hi, seq, each, base in plan:
         placed[length] += hi - lo
