@@ -183,6 +183,55 @@ def _(spark, sf):
     return M.in_units(pred, areas(spark, sf)).withColumn("test_wy", F.col("ask").cast("int")).drop("ask")
 
 
+#: Surveys (s) against the first station that has a monthly mean on every survey date of its basin.
+ONE_STATION = (
+    ", m AS (SELECT basin, station, CAST(date_trunc('month', date) AS DATE) AS date, avg(value) AS value FROM obs GROUP BY ALL), d AS (SELECT DISTINCT basin, date FROM labels), nd AS (SELECT basin, count(*) AS n FROM d GROUP BY 1)"
+    ", fs AS (SELECT basin, min(station) AS station FROM (SELECT m.basin, m.station, count(DISTINCT m.date) AS n FROM m JOIN d USING (basin, date) GROUP BY ALL) JOIN nd USING (basin, n) GROUP BY 1)"
+    ", s AS (SELECT l.basin, l.band, l.date, l.value AS y, m.value AS x, year(l.date) + CAST(month(l.date) >= 10 AS INT) AS wy FROM labels l JOIN fs USING (basin) JOIN m ON m.basin = l.basin AND m.station = fs.station AND m.date = l.date)"
+)
+
+
+def first_station(asks):
+    """``asks`` restricted to the first station."""
+    return asks.withColumn("use", F.array(F.lit(0)))
+
+
+@query(
+    "m5_m9_one_station",
+    ONE_STATION
+    + ", k AS (SELECT DISTINCT basin, band, year(date) AS fold FROM s), f AS (SELECT s.basin, s.band, k.fold, regr_intercept(s.y, s.x) AS a, regr_slope(s.y, s.x) AS b FROM s JOIN k ON k.basin = s.basin AND k.band = s.band AND k.fold <> year(s.date) GROUP BY ALL)"
+    ", p AS (SELECT s.basin, s.band, s.y, greatest(a + b * x, 0) AS p FROM s JOIN f ON f.basin = s.basin AND f.band = s.band AND f.fold = year(s.date)), v AS (SELECT basin, band, count(*) AS n, coalesce(pow(corr(p, y), 2), 0) AS r2, sqrt(avg((p - y) * (p - y))) AS rmse FROM p GROUP BY ALL)"
+    ", o AS (SELECT i.basin, i.band, i.date, i.y, greatest(regr_intercept(j.y, j.x) + regr_slope(j.y, j.x) * i.x, 0) AS p FROM s i JOIN s j ON j.basin = i.basin AND j.band = i.band AND j.date <> i.date GROUP BY i.basin, i.band, i.date, i.y, i.x)"
+    ", w AS (SELECT basin, band, 1 - (1 - pow(corr(p, y), 2)) * (count(*) - 1) / (count(*) - 2) AS score FROM o GROUP BY ALL)"
+    " SELECT basin, band, [0::INT] AS features, round(score, 7) AS score, n, round(r2, 7) AS r2, round(rmse, 2) AS rmse FROM v JOIN w USING (basin, band)",
+    ("obs", "labels"),
+)
+def _(spark, sf):
+    """The whole training with one station to choose from: held-out years, leave-one-out score and validation have closed forms."""
+    table = survey(spark, sf)[0].select("basin", "band", "date", "y", "x")
+    out = M.train(table, asks=first_station(M.one_ask(table, ("basin", "band"))))
+    return out.select("basin", "band", "features", F.round("score", 7).alias("score"), "n", F.round("r2", 7).alias("r2"), F.round("rmse", 2).alias("rmse"))
+
+
+@query(
+    "m12_m15_one_station",
+    ONE_STATION
+    + ", t AS (SELECT date, year(date) + CAST(month(date) >= 10 AS INT) AS wy FROM days), r AS (SELECT s.basin, s.band, y.wy, s.y, s.x, year(s.date) AS cy FROM s JOIN (SELECT DISTINCT wy FROM t) y ON s.wy < y.wy)"
+    ", g AS (SELECT basin, band, wy, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, count(DISTINCT cy) AS years FROM (SELECT * FROM r UNION ALL SELECT DISTINCT basin, band, wy, 0, 0, NULL::BIGINT FROM r) GROUP BY ALL)"
+    " SELECT g.basin, g.band, g.wy AS test_wy, t.date, CASE WHEN g.years > 1 AND o.value IS NOT NULL THEN round(greatest(a + b * o.value, 0), 4) END AS pred FROM g JOIN t USING (wy) JOIN fs USING (basin) LEFT JOIN obs o ON o.basin = g.basin AND o.station = fs.station AND o.date = t.date",
+    ("obs", "labels", "days"),
+)
+def _(spark, sf):
+    """The back-test of every day with one station to choose from: each year's fit is a regression on earlier surveys and the zero row."""
+    table, by = survey(spark, sf)[0], ("basin", "band")
+    days = written(wide_days(table, full(spark, sf)).select("basin", water_year(F.col("date")).cast("string").alias("ask"), "date", "x"), "test-days")
+    asks = written(first_station(M.year_asks(table, days.select(F.col("ask").cast("int").alias("wy")).distinct())), "test-years")
+    surveys = table.select(*by, "date", "y", "x")
+    fits = M.fit_chosen(surveys, written(M.train(surveys, by, asks=asks), "test-models"), by)
+    pred = M.served(days.join(small_side(asks.select(*by, "ask")), ["basin", "ask"]), fits, (*by, "ask"))
+    return pred.select(*by, F.col("ask").cast("int").alias("test_wy"), "date", F.round("pred", 4).alias("pred"))
+
+
 def spec_table(spark, sf):
     """(training rows, days to predict) of every mode, stack and season."""
     labels, obs = V.labels(spark, sf), full(spark, sf)
