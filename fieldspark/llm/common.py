@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,6 +18,7 @@ from fieldspark.sources.tables import written as materialize
 HUB_ROWS = 10_000
 #: Rows of a batch that become Python objects at once.
 SLICE = 2_000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -26,6 +29,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Plans that run inside hand Arrow batches of at most ``rows`` rows to Python: fewer wide rows are held at once, on both sides."""
+    was = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, was)
+
+
+def free_memory() -> None:
+    """Give freed memory back: Python workers live on and share the executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch inside the tasks, ``SLICE`` rows at a time."""
 
@@ -33,7 +55,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         for batch in batches:
             for k in range(0, batch.num_rows, SLICE):
                 yield fn(batch.slice(k, SLICE))
-        pa.default_memory_pool().release_unused()  # workers live on and share the executor's memory with the JVM
+        free_memory()
 
     return df.mapInArrow(run, schema)
 

@@ -26,11 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import BROADCAST_ROWS, arrow_map, connected_components, free_name, materialize
+from fieldspark.llm.common import BROADCAST_ROWS, arrow_map, batches_of, connected_components, free_memory, free_name, materialize
 from fieldspark.llm.simhash import BUCKET, Labels, trie_pairs
 
 #: Members of a bucket up to which all its pairs are candidates at once; hubs of a larger one.
 SMALL, HUBS = 32, 8
+#: Rows of an Arrow batch with whole shingle sets, and with texts.
+SETS, TEXTS = 500, 2_000
 #: Frequent members put last in the order (any number gives the same result).
 FREQUENT = 100_000
 #: Shingles up to which a set is short.
@@ -244,6 +246,7 @@ def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
                 held, size = t.slice(cut).to_batches(), len(h) - cut
         if size:
             yield solve(pa.Table.from_batches(held))
+        free_memory()
 
     columns = ["h", "sig", "fp", "label", "pre"]
     return in_cells(rows).select(*columns).repartition("h").sortWithinPartitions("h").mapInArrow(run, "src long, dst long")
@@ -285,7 +288,8 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         out = batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
         return pa.RecordBatch.from_arrays(out.columns, names=["src", "dst"])
 
-    return materialize(arrow_map(both.select("a", "b", "x", "y"), check, "src long, dst long"), "near-links")
+    with batches_of(pairs.sparkSession, SETS):
+        return materialize(arrow_map(both.select("a", "b", "x", "y"), check, "src long, dst long"), "near-links")
 
 
 def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5) -> DataFrame:
@@ -297,7 +301,8 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5)
     (ties don't arise). An empty table gives an empty table; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    own = materialize(sketches(docs, threshold, shingle_words).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    with batches_of(docs.sparkSession, TEXTS):
+        own = materialize(sketches(docs, threshold, shingle_words).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
     least = own.groupBy("sig").agg(F.min(F.struct("doc_id", "row")).alias("x")).select("sig", F.col("x.doc_id").alias("least_id"), "x.row")
     least = materialize(least, "near-distinct")
     least = F.broadcast(least) if least.count() <= BROADCAST_ROWS else least
@@ -319,13 +324,16 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5)
         again = materialize(arrow_map(nodes.select("sig", "pre"), holds, "sig long, again boolean").where("again").select("sig"), "near-again")
         again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
         late = of_some(docs, least.join(again, "sig").select(F.col("least_id").alias("doc_id")), shingle_words, often, threshold)
-        late = materialize(late.join(again, "sig").dropDuplicates(["sig"]), "near-late").join(nodes.drop("pre"), "sig")
+        with batches_of(docs.sparkSession, TEXTS):
+            late = materialize(late.join(again, "sig").dropDuplicates(["sig"]), "near-late")
+        late = late.join(nodes.drop("pre"), "sig")
         rows = listed(nodes.join(again, "sig", "left_anti")).unionByName(listed(late))
     buckets = shared_buckets(rows)
 
     def sets_of(sigs: DataFrame) -> DataFrame:
         ids = sigs.distinct().join(least, "sig").select(F.col("least_id").alias("doc_id"))
-        return materialize(of_some(docs, ids, shingle_words, None, threshold), "near-sets")
+        with batches_of(docs.sparkSession, SETS):
+            return materialize(of_some(docs, ids, shingle_words, None, threshold), "near-sets")
 
     large = buckets.where(F.col("n") > SMALL)
     pairs = candidates(buckets.where(F.col("n") <= SMALL), threshold)
@@ -335,7 +343,9 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, shingle_words: int = 5)
     left = materialize(large.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig")), "near-left")
     mixed = left.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
     rest = materialize(left.join(mixed, "h"), "near-rest")
-    more = materialize(bucket_links(rest.join(sets_of(rest.select("sig")), "sig"), threshold), "near-links")
+    wide = rest.join(sets_of(rest.select("sig")), "sig")
+    with batches_of(docs.sparkSession, SETS):
+        more = materialize(bucket_links(wide, threshold), "near-links")
     if not more.isEmpty():
         parts = materialize(connected_components(links.unionByName(more), "near-cc").withColumnRenamed("node", "sig"), "near-parts")
     named = least.join(parts, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
