@@ -327,6 +327,16 @@ def test_policies_and_ablations(spark, docs):
     assert kept == sum(not x.fail_bits & 3 for x in rows)
 
 
+def test_url_odds_beyond_the_seeds(spark):
+    """Words that stand beside seed words block without them; a hidden seed with nothing beside it doesn't."""
+    rows = [f"https://casino-bonus{i}.net/roulette/{i}" for i in range(40)] + [f"https://green-garden{i}.net/tools/{i}" for i in range(80)]
+    rows += ["https://bonus-roulette.net/roulette/1", "https://garden-tools.net/green/1", "https://poker7.net/tools/1"]
+    df = spark.createDataFrame([(i, u, None) for i, u in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(df, rules=(urls.Rule("allow", "none.example", "/"),), seeds=("casino",)).collect()}
+    assert [got[i] for i in range(120)] == ["block"] * 40 + ["allow"] * 80
+    assert [got[i] for i in range(120, 123)] == ["block", "allow", "allow"]
+
+
 def test_url_rules(spark):
     got = QUERIES["op7_url_filters"](spark, SF).collect()
     url = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
