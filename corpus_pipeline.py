@@ -9,20 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import free_name, materialize
+from fieldspark.llm.common import batches_of, free_name, materialize
 from fieldspark.llm.decontam import drop_leaks
 from fieldspark.llm.langid import keep_identified
 from fieldspark.llm.lines import line_dedup
 from fieldspark.llm.neardup import keep_first_near
 from fieldspark.llm.packing import pack, vocabulary
 
+#: Rows of an Arrow batch of whole texts: the JVM's buffers and Python's share the executor's memory.
+TEXT_ROWS = 1_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters (null and empty texts too), or without a language over 40 % of their letters, go.
 
     Repeated rows are judged each on its own; columns of any name stay; an empty table stays empty.
     """
-    return keep_identified(docs, min_score=0.4)
+    with batches_of(spark, TEXT_ROWS):  # holds for plans that run here, so the rows are written here
+        return materialize(keep_identified(docs, min_score=0.4), "pipeline-identified")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +65,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share a doc_id are packed each on its own; other columns are left out; an empty table gives no rows.
     """
-    return pack(docs, vocabulary("word_bpe_49k.json"), max_tokens=4096, end_id=1)
+    with batches_of(spark, TEXT_ROWS):
+        return pack(docs, vocabulary("word_bpe_49k.json"), max_tokens=4096, end_id=1)
 
 
 STAGES = [

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import arrow_map, materialize
+from fieldspark.llm.common import KEPT_BY_WORKER, arrow_map, materialize
 
 #: Pre-tokens kept by a worker in each of two generations.
 KEPT = 100_000
@@ -106,6 +106,9 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+KEPT_BY_WORKER[__name__] = word_tokenizer.cache_clear
+
+
 def token_pieces(docs: DataFrame, path: str, max_tokens: int = 4096, end_id: int = 1) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32): each document's ids and ``end_id``, cut at every ``max_tokens``."""
 
