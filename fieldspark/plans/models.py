@@ -132,7 +132,7 @@ def survey(spark, sf):
     """The surveys of every basin's bands against gap-free stations: monthly means, so that all stations have a value."""
     monthly = V.obs(spark, sf).groupBy("basin", "station", F.trunc("date", "month").alias("date")).agg(F.avg("value").alias("value"))
     monthly = written(monthly, "survey-months")
-    return written(M.survey_table(V.labels(spark, sf), monthly), "survey-table"), monthly
+    return written(M.survey_table(written(V.labels(spark, sf), "survey-labels"), monthly), "survey-table"), monthly
 
 
 @query("m5_m7_loyo_selection")
@@ -234,9 +234,10 @@ def _(spark, sf):
 
 def spec_table(spark, sf):
     """(training rows, days to predict) of every mode, stack and season."""
-    labels, obs = V.labels(spark, sf), full(spark, sf)
-    cells = with_cells(spark, sf).groupBy("basin", "date").agg(F.avg("g1").alias("g1"))
-    gridded = obs.join(cells, ["basin", "date"], "left")
+    labels = written(V.labels(spark, sf), "spec-labels")  # read many times below, as are the others; the tables behind them once
+    obs = written(daily_calendar(written(V.obs(spark, sf), "spec-obs")), "spec-days")
+    cells = written(with_cells(spark, sf).groupBy("basin", "date").agg(F.avg("g1").alias("g1")), "spec-cells")
+    gridded = written(obs.join(cells, ["basin", "date"], "left"), "spec-grid")
     filled = {("drop", "peers"): obs, ("drop", "grid"): obs, ("impute", "peers"): M.impute_from_peers(obs, obs, since="1996-01-01"), ("impute", "grid"): M.impute_from_grid(gridded, gridded, ["g1"], since="1996-01-01")}
     rows, days = [], []
     for (mode, stack), values in filled.items():
